@@ -1,0 +1,5 @@
+"""Intentionally empty: the workflow this library serves is batch only.
+
+The column expressions in :mod:`featloom.functions` are stateless, so they can be used on a
+streaming DataFrame as they are; nothing else is offered for streams.
+"""
