@@ -103,15 +103,14 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
     if spec.categorical:
         indexed = [f"__index_{c}" for c in spec.categorical]
         slots = [f"__slots_{c}" for c in spec.categorical]
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            learn_levels(filled, spec),
-            inputCols=[f"__level_{c}" for c in spec.categorical],
-            outputCols=indexed,
-            handleInvalid="keep",
-        )
+        for c, index, labels in zip(spec.categorical, indexed, learn_levels(filled, spec)):
+            indexer = StringIndexerModel.from_labels(labels, f"__level_{c}", index, "keep")
+            filled = indexer.transform(filled)
+            stages.append(indexer)
         # The slot that 'keep' adds for unseen levels is last, so dropping it leaves them at zero.
+        # The encoder learns the number of levels from the column attributes, without a job.
         encoder = OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True)
-        stages += [indexer, encoder.fit(indexer.transform(filled))]
+        stages.append(encoder.fit(filled))
         parts += slots
     if spec.numeric:
         imputed = [f"__imputed_{c}" for c in spec.numeric]

@@ -184,7 +184,7 @@ def add_five(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _linear(weights: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
-    return np.round(rows.to_numpy(dtype="float64") @ weights, 4)
+    return np.round(rows.to_numpy(dtype="float64") @ weights, 6)
 
 
 def python_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,5 +263,5 @@ ORACLES = {
     + " FROM lineitem",
     "python_model": "SELECT l_orderkey, l_linenumber, round("
     + " + ".join(f"{c} * ({w}::DOUBLE)" for c, w in zip(NUMBERS, WEIGHTS))
-    + ", 4) AS predictions FROM lineitem",
+    + ", 6) AS predictions FROM lineitem",
 }
