@@ -9,7 +9,7 @@ from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
     SQLTransformer,
-    StringIndexerModel,
+    StringIndexer,
     VectorAssembler,
 )
 from pyspark.sql import DataFrame
@@ -68,7 +68,7 @@ def fill_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def learn_levels(filled: DataFrame, spec: FeatureSpec) -> list[list[str]]:
-    """The sorted levels of each categorical column.
+    """The levels of each categorical column.
 
     Distinct values are found on the executors. Their number is checked before they are fetched:
     a column beyond ``max_levels`` is an error and no level is left out.
@@ -87,7 +87,7 @@ def learn_levels(filled: DataFrame, spec: FeatureSpec) -> list[list[str]]:
             by_column[row["column"]].append(row["level"])
     finally:
         levels.unpersist()
-    return [sorted(by_column[name]) for name in names]
+    return [by_column[name] for name in names]
 
 
 def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
@@ -103,14 +103,23 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
     if spec.categorical:
         indexed = [f"__index_{c}" for c in spec.categorical]
         slots = [f"__slots_{c}" for c in spec.categorical]
-        for c, index, labels in zip(spec.categorical, indexed, learn_levels(filled, spec)):
-            indexer = StringIndexerModel.from_labels(labels, f"__level_{c}", index, "keep")
-            filled = indexer.transform(filled)
-            stages.append(indexer)
+        # The indexer sorts the levels of all columns at once; it gets one row per level, and short
+        # columns repeat their last level.
+        levels = learn_levels(filled, spec)
+        longest = max(map(len, levels))
+        padded = [found + found[-1:] * (longest - len(found)) for found in levels]
+        names = [f"__level_{c}" for c in spec.categorical]
+        schema = ", ".join(f"`{name}` string" for name in names)
+        indexer = StringIndexer(
+            inputCols=names,
+            outputCols=indexed,
+            handleInvalid="keep",
+            stringOrderType="alphabetAsc",
+        ).fit(train.sparkSession.createDataFrame(list(zip(*padded)), schema))
         # The slot that 'keep' adds for unseen levels is last, so dropping it leaves them at zero.
         # The encoder learns the number of levels from the column attributes, without a job.
         encoder = OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True)
-        stages.append(encoder.fit(filled))
+        stages += [indexer, encoder.fit(indexer.transform(filled))]
         parts += slots
     if spec.numeric:
         imputed = [f"__imputed_{c}" for c in spec.numeric]

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -114,19 +115,23 @@ def fit_validate_refit(
     test: float = 0.25,
     seed: int = 123,
 ) -> Refit:
-    """Fit on the training part, measure both parts, then fit again on all rows.
+    """Fit on the training part, measure both parts, and fit again on all rows.
 
-    ``metrics`` has one row for each part (``is_validation``).
+    ``metrics`` has one row for each part (``is_validation``). Neither fit needs the other, so
+    their jobs are submitted side by side and share the kept rows.
     """
+    spark = df.sparkSession
     marked = mark_split(df.select(key, label, *spec.columns), key, test, seed)
-    with kept(marked) as rows:
-        validated = train_gbt(rows.filter(~F.col(VALIDATION)), spec, label, rounds, seed)
+    with kept(marked) as rows, ThreadPoolExecutor(2) as pool:
+        fit = inheritable_thread_target(spark)(train_gbt)
+        training = rows.filter(~F.col(VALIDATION))
+        fits = [pool.submit(fit, part, spec, label, rounds, seed) for part in (training, rows)]
+        validated, final = [one.result() for one in fits]
         metrics = compare_splits(predict(validated, rows), VALIDATION, label).collect()
-        final = train_gbt(rows, spec, label, rounds, seed)
     schema = (
         f"{VALIDATION} boolean, precision double, recall double, f1 double, support bigint"
     )
-    return Refit(final, validated, df.sparkSession.createDataFrame(metrics, schema))
+    return Refit(final, validated, spark.createDataFrame(metrics, schema))
 
 
 def train_gbt_regressor(
