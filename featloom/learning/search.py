@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.learning.prep import FEATURES, FeatureSpec, fit_preprocessor
-from featloom.learning.train import forest, kept
+from featloom.learning.train import forest
 from featloom.operators.evaluate import weighted_prf
+from featloom.session import kept
 
 
 @dataclass(frozen=True)

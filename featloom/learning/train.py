@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -19,22 +17,13 @@ from pyspark.sql import functions as F
 from featloom.learning.prep import FEATURES, FeatureSpec, fit_preprocessor
 from featloom.operators.evaluate import compare_splits
 from featloom.operators.split import VALIDATION, mark_split
+from featloom.session import kept
 
 # The settings of the boosted trees.
 TREE_DEPTH = 6
 LEARNING_RATE = 0.3
 
 
-@contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` in executor memory, or on executor disk where that is short, for several passes."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def _fit(train: DataFrame, spec: FeatureSpec, label: str, estimator: Estimator) -> PipelineModel:
     """Preprocessing and trees in one model. Only the columns in use are kept for the passes."""
     with kept(train.select(*spec.columns, F.col(label).cast("double").alias(label))) as rows:

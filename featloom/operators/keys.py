@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a key occurs twice. Counts are combined before the shuffle; one row comes back."""
-    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").limit(1)
-    found = twice.collect()
+    """Raise if a key is NULL or occurs twice.
+
+    Counts are combined before the shuffle; at most one row comes back.
+    """
+    absent = reduce(or_, [F.col(k).isNull() for k in keys])
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    found = counted.filter((F.col("rows") > 1) | absent).limit(1).collect()
     if found:
-        raise ValueError(f"duplicate key {found[0].asDict()}")
+        raise ValueError(f"missing or duplicate key: {found[0].asDict()}")

@@ -113,7 +113,10 @@ def promote(
     """
     if check:
         assert_unique(promotions, ["name"])
-        unknown = promotions.join(versions, ["name", "version"], "left_anti").limit(1).collect()
+        # Reduced to the promoted rows first: with few promotions no version is shuffled.
+        known = versions.join(promotions, ["name", "version"], "left_semi")
+        known = known.select("name", "version").distinct()
+        unknown = promotions.join(known, ["name", "version"], "left_anti").limit(1).collect()
         if unknown:
             raise LookupError(f"no such version: {unknown[0].asDict()}")
     target = promotions.select("name", F.col("version").alias("__promoted"))

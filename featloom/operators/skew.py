@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 MAX_HOT_KEYS = 2000
 TRACKED_ITEMS = 10000
@@ -71,8 +72,10 @@ def salt_spine(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> D
     It follows from the row and its input partition, so a recomputed task places its rows as before,
     and equal rows are spread over the input partitions.
     """
-    row_hash = F.xxhash64(F.spark_partition_id(), *df.columns)
-    return df.withColumn(name, F.pmod(row_hash, hot.parts_of(key_hash(keys))).cast("int"))
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    parts = hot.parts_of(key_hash(keys))
+    part = F.pmod(F.xxhash64(F.spark_partition_id(), *plain), parts).cast("int")
+    return df.withColumn(name, F.when(parts > 1, part).otherwise(0))
 
 
 def repeat_rows(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:

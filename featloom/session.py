@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -51,12 +54,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder once and go on from the written rows.
+    """Write ``df`` once as a table in the shared folder and go on from the written rows.
 
     Used where a frame is read several times and must be the same each time, also after the
-    loss of an executor.
+    loss of an executor. Being columnar, later passes read only the columns they need.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = scratch_path(spark, "checkpoint")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` in executor memory, or on executor disk where that is short, for several passes.
+
+    The lineage stays, so blocks of a lost executor are computed again.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

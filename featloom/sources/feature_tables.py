@@ -8,12 +8,13 @@ number and the layout as table properties. One writer per feature table at a tim
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from featloom.operators.upsert import upsert_rows
+from featloom.session import kept
 
 PROPERTY = "featloom."
 
@@ -42,9 +43,6 @@ def _literal(text: str) -> str:
 def _write(df: DataFrame, table: FeatureTable) -> None:
     """Write the snapshot, then move the view to it."""
     spark = df.sparkSession
-    if table.buckets:
-        # One file per bucket; a later join on the key finds the rows already in place.
-        df = df.repartition(table.buckets, *table.key)
     writer = df.write.mode("overwrite").format("parquet")
     if table.buckets:
         writer = writer.bucketBy(table.buckets, *table.key).sortBy(*table.key)
@@ -109,17 +107,13 @@ def feature_table(spark: SparkSession, name: str) -> FeatureTable:
 def merge(spark: SparkSession, name: str, updates: DataFrame) -> DataFrame:
     """Update the rows whose key exists, insert the others, keep the rest; return the table."""
     current = feature_table(spark, name)
-    target = spark.table(name)
-    merged = upsert_rows(target, updates, current.key)
-    following = FeatureTable(
-        name,
-        current.key,
-        current.comment,
-        current.snapshot + 1,
-        current.buckets,
-        current.location,
-    )
-    _write(merged, following)
+    if current.buckets:
+        # In the buckets of the table: neither the check nor the join nor the write moves the
+        # rows again, and the stored rows stay where they are.
+        updates = updates.repartition(current.buckets, *current.key)
+    with kept(updates) as rows:
+        merged = upsert_rows(spark.table(name), rows, current.key)
+        _write(merged, replace(current, snapshot=current.snapshot + 1))
     return spark.table(name)
 
 
