@@ -52,7 +52,7 @@ def _typed(field: StructField, null_tokens: Sequence[str], required: bool) -> Co
 def read_csv_typed(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | str,
     null_tokens: Sequence[str] = NULL_TOKENS,
     required: Sequence[str] = (),
 ) -> DataFrame:
@@ -62,6 +62,8 @@ def read_csv_typed(
     match the schema. A column in ``required`` fails on NULL. Quotes inside a quoted field are
     doubled. A record is one line, so that large files stay splittable.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     text_schema = StructType([StructField(f.name, StringType(), True) for f in schema])
     raw = spark.read.csv(path, schema=text_schema, header=True, escape='"', enforceSchema=False)
     return raw.select([_typed(f, null_tokens, f.name in required) for f in schema])
