@@ -24,7 +24,8 @@ class FeatureSpec:
     """Column groups of a model.
 
     NULL in a categorical column becomes ``missing_level``. An empty string is a level of its own
-    and is stored as ``empty_level``, because MLlib has no empty level. A column may have at most
+    and is stored as ``empty_level``, because MLlib has no empty level. Flags are never NULL in a
+    feature table; for an id without features they count as 0. A column may have at most
     ``max_levels`` levels, since every model holds them on the driver and in each vector.
     """
 
@@ -52,8 +53,10 @@ def _fill(spec: FeatureSpec) -> SQLTransformer:
         f"ELSE CAST(`{c}` AS STRING) END AS `__level_{c}`"
         for c in spec.categorical
     ]
-    numbers = [f"CAST(`{c}` AS DOUBLE) AS `__number_{c}`" for c in [*spec.numeric, *spec.binary]]
-    return SQLTransformer(statement=f"SELECT *, {', '.join(filled + numbers)} FROM __THIS__")
+    numbers = [f"CAST(`{c}` AS DOUBLE) AS `__number_{c}`" for c in spec.numeric]
+    flags = [f"COALESCE(CAST(`{c}` AS DOUBLE), 0D) AS `__number_{c}`" for c in spec.binary]
+    listed = ", ".join(filled + numbers + flags)
+    return SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")
 
 
 def fill_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
