@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from typing import Any
 
@@ -66,7 +66,7 @@ def score_batch(
     ids: DataFrame,
     model: StoredModel,
     output: str = "prediction",
-    hot_keys: HotKeys | None = None,
+    hot_keys: Mapping[str, HotKeys] | None = None,
 ) -> DataFrame:
     """Score bare ids: join the features the model was trained with, then predict.
 

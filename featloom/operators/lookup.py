@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -36,7 +36,7 @@ class FeatureLookup:
 def lookup(
     spine: DataFrame,
     one: FeatureLookup,
-    hot_keys: HotKeys | None = None,
+    hot_keys: Mapping[str, HotKeys] | None = None,
     check_unique: bool = False,
 ) -> DataFrame:
     """Attach the features of one lookup; see :func:`lookup_all`."""
@@ -46,19 +46,28 @@ def lookup(
 def lookup_all(
     spine: DataFrame,
     lookups: Sequence[FeatureLookup],
-    hot_keys: HotKeys | None = None,
+    hot_keys: Mapping[str, HotKeys] | None = None,
     check_unique: bool = False,
 ) -> DataFrame:
     """Attach the features of several lookups in order. Every spine row stays; misses give NULL.
 
     Lookups that follow each other on the same key share one placement of the spine, so the spine
-    is shuffled once for all of them. Hot keys are detected per key unless ``hot_keys`` is given
-    (``HotKeys()`` for none). Small feature tables are broadcast by Spark, which checks their size.
+    is shuffled once for all of them. Hot keys are salted. They are detected in one extra scan of
+    the spine's key columns, unless ``hot_keys`` gives them by key (``{}`` for none); a spine that
+    is costly to compute should be stored first. Small feature tables are broadcast by Spark,
+    which checks their size.
     """
     spark = spine.sparkSession
     df = spine
+    known = dict(hot_keys or {})
+    if hot_keys is None:
+        keys = [k for k in dict.fromkeys(one.key for one in lookups) if k in spine.columns]
+        known = dict(zip(keys, find_hot_keys(spine, [[k] for k in keys]))) if keys else {}
     for key, same_key in groupby(lookups, lambda one: one.key):
-        hot = find_hot_keys(df, [key]) if hot_keys is None else hot_keys
+        if hot_keys is None and key not in known:
+            # The key is itself a looked-up feature.
+            known[key] = find_hot_keys(df, [[key]])[0]
+        hot = known.get(key, HotKeys())
         on = [key]
         if hot:
             df = salt_spine(df, [key], hot, SALT)
@@ -100,7 +109,7 @@ def training_set(
     lookups: Sequence[FeatureLookup],
     label: str,
     exclude: Sequence[str] = (),
-    hot_keys: HotKeys | None = None,
+    hot_keys: Mapping[str, HotKeys] | None = None,
     check_unique: bool = False,
 ) -> TrainingSet:
     """Spine and looked-up features with the label, without the excluded columns."""

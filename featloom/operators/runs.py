@@ -102,7 +102,7 @@ def promote(
     versions: DataFrame,
     promotions: DataFrame,
     stage: str = PRODUCTION,
-    hot_keys: HotKeys | None = None,
+    hot_keys: Mapping[str, HotKeys] | None = None,
     check: bool = True,
 ) -> DataFrame:
     """Put the versions of ``promotions`` (``name, version``; one per name) into ``stage``.

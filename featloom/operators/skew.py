@@ -9,15 +9,17 @@ placement of rows, so its approximation never changes a result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
-MAX_HOT_KEYS = 2000
-TRACKED_ITEMS = 10000
+MAX_HOT_KEYS = 1000
+TRACKED_ITEMS = 4096
+MERGE_GROUPS = 256
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -42,26 +44,47 @@ class HotKeys:
         return value
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> HotKeys:
-    """Keys with so many rows that one shuffle partition would hold several times its share.
+def find_hot_keys(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], partitions: int | None = None
+) -> list[HotKeys]:
+    """Per set of key columns the keys that would overfill one shuffle partition.
 
-    One scan of the key columns, partial sketches per task, one row to the driver. The share that
-    counts as hot lies between 1/2000 and 1/20, so at most 2000 keys can be hot.
+    One scan of the key columns for all sets. Every task sketches its rows, groups of tasks merge
+    their sketches in parallel, and one row comes to the driver. The share of the rows that counts
+    as hot lies between 1/1000 and 1/20, so at most 1000 keys of a set can be hot.
     """
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row = df.select(key_hash(keys).alias("h")).agg(
+    names = [f"h{i}" for i in range(len(key_sets))]
+    hashed = df.select(
+        F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group"),
+        *[key_hash(keys).alias(n) for n, keys in zip(names, key_sets)],
+    )
+    merged = hashed.groupBy("merge_group").agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
-    ).collect()[0]
+        *[F.expr(f"approx_top_k_accumulate({n}, {TRACKED_ITEMS})").alias(n) for n in names],
+    )
+    # Grouped by a constant, so that an empty input gives no row: there is no sketch to combine.
+    whole = merged.groupBy(F.lit(0)).agg(
+        F.sum("n").alias("n"),
+        *[F.expr(f"approx_top_k_combine({n}, {TRACKED_ITEMS})").alias(n) for n in names],
+    )
+    rows = whole.select(
+        "n", *[F.expr(f"approx_top_k_estimate({n}, {MAX_HOT_KEYS})").alias(n) for n in names]
+    ).collect()
+    if not rows:
+        return [HotKeys() for _ in names]
+    return [_parts(rows[0][n], rows[0]["n"], partitions) for n in names]
+
+
+def _parts(top: Sequence[Row], rows: int, partitions: int) -> HotKeys:
+    """A power of two of parts for every key above the share; most keys then share a number."""
     share = min(1 / 20, max(4 / partitions, 1 / MAX_HOT_KEYS))
     parts: dict[int, list[int]] = {}
-    for item in row["top"] or []:
-        if item["count"] > share * row["n"]:
-            wanted = max(2, partitions * item["count"] / row["n"])
-            number = 2
-            while number < wanted:
-                number *= 2
+    for item in top:
+        if item["count"] > share * rows:
+            wanted = max(2, partitions * item["count"] / rows)
+            number = 1 << math.ceil(math.log2(wanted))
             parts.setdefault(number, []).append(item["item"])
     return HotKeys({number: tuple(found) for number, found in sorted(parts.items())})
 

@@ -12,7 +12,7 @@ from featloom.operators.lookup import (
     lookup_all,
     training_set,
 )
-from featloom.operators.skew import HotKeys, find_hot_keys, key_hash, repeat_rows, salt_spine
+from featloom.operators.skew import find_hot_keys, key_hash, repeat_rows, salt_spine
 from featloom.operators.split import mark_split, split
 
 
@@ -73,19 +73,27 @@ def skewed(spark):
 
 
 def test_hot_keys_are_found(spark):
-    hot = find_hot_keys(skewed(spark), ["id"], partitions=100)
+    hot = find_hot_keys(skewed(spark), [["id"]], partitions=100)[0]
     hashes = {h for found in hot.parts.values() for h in found}
     wanted = spark.createDataFrame([(7,), (None,)], "id bigint").select(key_hash(["id"])).collect()
     assert hashes == {r[0] for r in wanted}
     assert all(number >= 32 for number in hot.parts)
     even = spark.range(30000).select((F.col("id") % 1000).alias("id"))
-    assert not find_hot_keys(even, ["id"], partitions=100)
+    assert not find_hot_keys(even, [["id"]], partitions=100)[0]
+
+
+def test_several_keys_in_one_scan(spark):
+    df = skewed(spark).withColumn("k", F.lit("same"))
+    both = find_hot_keys(df, [["id"], ["k"], ["id", "k"]], partitions=100)
+    assert [sum(map(len, hot.parts.values())) for hot in both] == [2, 1, 2]
+    assert both[1].parts.keys() == {128}
+    assert find_hot_keys(df.filter("k = 'none'"), [["id"]])[0].parts == {}
 
 
 def test_salted_lookup_is_the_plain_lookup(spark):
     df = skewed(spark)
     features = spark.range(400).select("id", (F.col("id") * 2).alias("f"))
-    hot = find_hot_keys(df, ["id"], partitions=100)
+    hot = find_hot_keys(df, [["id"]], partitions=100)[0]
     one = FeatureLookup(features, ("f",), "id")
     two = FeatureLookup(features.withColumnRenamed("f", "g"), ("g",), "id")
 
@@ -93,12 +101,14 @@ def test_salted_lookup_is_the_plain_lookup(spark):
         return sorted(map(str, found.groupBy("id", "f", "g").count().collect()))
 
     assert hot
-    assert counted(lookup_all(df, [one, two], hot)) == counted(lookup_all(df, [one, two], HotKeys()))
+    assert counted(lookup_all(df, [one, two], {"id": hot})) == counted(
+        lookup_all(df, [one, two], {})
+    )
 
 
 def test_equal_rows_of_a_hot_key_are_spread(spark):
     df = skewed(spark)
-    hot = find_hot_keys(df, ["id"], partitions=8)
+    hot = find_hot_keys(df, [["id"]], partitions=8)[0]
     placed = salt_spine(df, ["id"], hot, "part").groupBy("id").agg(F.countDistinct("part").alias("n"))
     spread = {r.id: r.n for r in placed.collect()}
     assert spread[7] > 1 and spread[None] > 1
@@ -110,7 +120,7 @@ def test_equal_rows_of_a_hot_key_are_spread(spark):
 def test_same_key_lookups_shuffle_the_spine_once(spark):
     df = skewed(spark)
     features = spark.range(400).select("id", (F.col("id") * 2).alias("f"))
-    hot = find_hot_keys(df, ["id"], partitions=100)
+    hot = find_hot_keys(df, [["id"]], partitions=100)[0]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         found = lookup_all(
@@ -119,7 +129,7 @@ def test_same_key_lookups_shuffle_the_spine_once(spark):
                 FeatureLookup(features, ("f",), "id"),
                 FeatureLookup(features.withColumnRenamed("f", "g"), ("g",), "id"),
             ],
-            hot,
+            {"id": hot},
         )
         plan = found._jdf.queryExecution().executedPlan().toString()
     finally:
