@@ -65,7 +65,7 @@ def find_hot_keys(
         *[F.expr(f"approx_top_k_accumulate({n}, {TRACKED_ITEMS})").alias(n) for n in names],
     )
     # Grouped by a constant, so that an empty input gives no row: there is no sketch to combine.
-    whole = merged.groupBy(F.lit(0)).agg(
+    whole = merged.groupBy(F.lit("all")).agg(
         F.sum("n").alias("n"),
         *[F.expr(f"approx_top_k_combine({n}, {TRACKED_ITEMS})").alias(n) for n in names],
     )
