@@ -27,6 +27,10 @@ class FeatureSpec:
     and is stored as ``empty_level``, because MLlib has no empty level. Flags are never NULL in a
     feature table; for an id without features they count as 0. A column may have at most
     ``max_levels`` levels, since every model holds them on the driver and in each vector.
+
+    ``one_hot`` gives every level a slot, as the workflow asks for. Tree learning keeps one number
+    per slot and row, so on large data with many levels ``one_hot=False`` is the economical form:
+    one slot per column with the level's index, which MLlib's trees split as a category.
     """
 
     categorical: tuple[str, ...]
@@ -35,6 +39,7 @@ class FeatureSpec:
     missing_level: str = "missing"
     empty_level: str = "<empty>"
     max_levels: int = 100_000
+    one_hot: bool = True
 
     @property
     def columns(self) -> list[str]:
@@ -105,7 +110,6 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
     parts = []
     if spec.categorical:
         indexed = [f"__index_{c}" for c in spec.categorical]
-        slots = [f"__slots_{c}" for c in spec.categorical]
         # The indexer sorts the levels of all columns at once; it gets one row per level, and short
         # columns repeat their last level.
         levels = learn_levels(filled, spec)
@@ -119,11 +123,16 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
             handleInvalid="keep",
             stringOrderType="alphabetAsc",
         ).fit(train.sparkSession.createDataFrame(list(zip(*padded)), schema))
-        # The slot that 'keep' adds for unseen levels is last, so dropping it leaves them at zero.
-        # The encoder learns the number of levels from the column attributes, without a job.
-        encoder = OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True)
-        stages += [indexer, encoder.fit(indexer.transform(filled))]
-        parts += slots
+        stages.append(indexer)
+        if spec.one_hot:
+            # The slot that 'keep' adds for unseen levels is last; dropped, it leaves them at zero.
+            # The encoder learns the number of levels from the column attributes, without a job.
+            slots = [f"__slots_{c}" for c in spec.categorical]
+            encoder = OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True)
+            stages.append(encoder.fit(indexer.transform(filled)))
+            parts += slots
+        else:
+            parts += indexed
     if spec.numeric:
         imputed = [f"__imputed_{c}" for c in spec.numeric]
         imputer = Imputer(
@@ -138,6 +147,13 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
     return PipelineModel(stages)
 
 
+def bins_needed(preprocessor: PipelineModel, spec: FeatureSpec, least: int = 32) -> int:
+    """Split bins for the trees: with indexed levels, one for each and one for unseen levels."""
+    if spec.one_hot or not spec.categorical:
+        return least
+    return max(least, *[len(labels) + 1 for labels in preprocessor.stages[1].labelsArray])
+
+
 def assemble(df: DataFrame, preprocessor: PipelineModel, *keep: str) -> DataFrame:
     """The kept columns and ``features``; everything else is dropped."""
     return preprocessor.transform(df).select(*keep, FEATURES)

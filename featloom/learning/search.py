@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.learning.prep import FEATURES, FeatureSpec, fit_preprocessor
+from featloom.learning.prep import FEATURES, FeatureSpec, bins_needed, fit_preprocessor
 from featloom.learning.train import forest
 from featloom.operators.evaluate import weighted_prf
 from featloom.session import kept
@@ -109,13 +109,15 @@ def search(
 
     with kept(train.select(columns)) as rows:
         preprocessor = fit_preprocessor(rows, spec)
+        bins = bins_needed(preprocessor, spec)
         prepared = preprocessor.transform(rows).select(FEATURES, label)
         held_out = preprocessor.transform(validation.select(columns)).select(FEATURES, label)
         with kept(prepared) as fit_rows, kept(held_out) as check_rows:
 
             def attempt(number: int) -> Trial:
                 trees, fraction = settings[number]
-                model = forest(label, trees, fraction, depth, seed).fit(fit_rows)
+                estimator = forest(label, trees, fraction, depth, seed)
+                model = estimator.fit(fit_rows, {estimator.maxBins: bins})
                 found = weighted_prf(model.transform(check_rows), label).collect()[0]
                 return Trial(
                     number,

@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.learning.prep import FEATURES, FeatureSpec, fit_preprocessor
+from featloom.learning.prep import FEATURES, FeatureSpec, bins_needed, fit_preprocessor
 from featloom.operators.evaluate import compare_splits
 from featloom.operators.split import VALIDATION, mark_split
 from featloom.session import kept
@@ -28,6 +28,7 @@ def _fit(train: DataFrame, spec: FeatureSpec, label: str, estimator: Estimator)
     """Preprocessing and trees in one model. Only the columns in use are kept for the passes."""
     with kept(train.select(*spec.columns, F.col(label).cast("double").alias(label))) as rows:
         preprocessor = fit_preprocessor(rows, spec)
+        estimator = estimator.copy({estimator.maxBins: bins_needed(preprocessor, spec)})
         model = estimator.fit(preprocessor.transform(rows).select(FEATURES, label))
     return PipelineModel([*preprocessor.stages, model])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -114,6 +115,22 @@ def test_boosted_trees(labelled):
     assert found.filter("level IS NULL OR isnan(size)").count() > 0
 
 
+def test_indexed_levels(spark, small, labelled):
+    """One slot per column: the place of the level, and one place more for unseen levels."""
+    spec = replace(SPEC, one_hot=False)
+    model = fit_preprocessor(small, spec)
+    assert [v[0] for v in vectors(assemble(small, model))] == [1, 2, 3, 4, 0]
+    unseen = spark.createDataFrame([("zz", None, "1")], small.schema)
+    assert vectors(assemble(unseen, model)) == [[5, 1, 1]]
+
+    train, held = split(labelled.withColumn("many", (F.col("id") % 60).cast("string")), "id")
+    spec = FeatureSpec(("level", "many"), ("size",), ("flag",), one_hot=False)
+    found = predict(train_forest(train, spec, "y", trees=3, fraction=0.9), held)
+    assert found.count() == held.count()
+    searched = search(train, held, spec, "y", SearchSpace(trees=(2, 3)), max_trials=1)
+    assert 0 <= searched.best.loss <= 1
+
+
 def test_forest_is_repeatable(labelled):
     train, held = split(labelled, "id")
     made = [train_forest(train, SPEC, "y", trees=5, fraction=0.7) for _ in range(2)]
