@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featloom.functions.numeric import ratio
-from featloom.operators.ranking import ROWS_PER_BUCKET, running_totals
+from featloom.operators.ranking import running_totals
 
 # Fixed value: probabilities are kept this far from 0 and 1 in the log loss.
 LOG_LOSS_EPSILON = 1e-15
@@ -130,14 +130,14 @@ def log_loss(df: DataFrame, label: str = "label", score: str = "score") -> DataF
     return df.agg(F.avg(_row_loss(F.col(label), F.col(score))).alias("log_loss"))
 
 
-def _curve(counted: DataFrame, rows_per_bucket: int) -> DataFrame:
+def _curve(counted: DataFrame, ranges: int | None) -> DataFrame:
     """Per distinct score the positives and negatives at or above it."""
     return running_totals(
         counted,
         order="score",
         totals={"tp": F.col("positives"), "fp": F.col("negatives")},
         descending=True,
-        rows_per_bucket=rows_per_bucket,
+        ranges=ranges,
     )
 
 
@@ -168,7 +168,7 @@ def ranking_areas(
     df: DataFrame,
     label: str = "label",
     score: str = "score",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact ``roc_auc`` and ``pr_auc`` of 0/1 labels; NULL where a class is missing.
 
@@ -179,7 +179,7 @@ def ranking_areas(
     counted = df.groupBy(F.col(score).alias("score")).agg(
         F.sum(positive).alias("positives"), F.sum(1 - positive).alias("negatives")
     )
-    return _curve(counted, rows_per_bucket).agg(*_areas())
+    return _curve(counted, ranges).agg(*_areas())
 
 
 def evaluate_classifier(
@@ -187,7 +187,7 @@ def evaluate_classifier(
     label: str = "label",
     prediction: str = "prediction",
     score: str = "score",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """All metrics of a 0/1 classifier in one row, from one scan of the predictions."""
     positive = F.when(F.col(label) == 1, 1).otherwise(0)
@@ -201,4 +201,4 @@ def evaluate_classifier(
     )
     totals = [F.sum(name).alias(name) for name in outcomes]
     loss = ratio(F.sum("loss"), F.sum("example_count")).alias("log_loss")
-    return _binary_rates(_curve(counted, rows_per_bucket).agg(*totals, loss, *_areas()))
+    return _binary_rates(_curve(counted, ranges).agg(*totals, loss, *_areas()))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.operators.ranking import ROWS_PER_BUCKET, running_totals
+from featloom.operators.ranking import running_totals
 
 
 def group_count(df: DataFrame, *keys: str) -> DataFrame:
@@ -48,7 +48,7 @@ def distinct_levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def category_levels(
-    df: DataFrame, cols: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, cols: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """``(column, level, position)``: the levels with their place in sort order from 0."""
     levels = distinct_levels(df, cols)
@@ -57,6 +57,6 @@ def category_levels(
         order="level",
         totals={"place": F.lit(1)},
         keys=["column"],
-        rows_per_bucket=rows_per_bucket,
+        ranges=ranges,
     )
     return placed.select("column", "level", (F.col("place") - 1).alias("position"))

@@ -3,100 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featloom.session import checkpointed
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 512
-SAMPLE_PER_BUCKET = 40
-BUCKET = "__bucket"
+RANGE = "__range"
 IS_ROW = "__is_row"
 
 
-def range_bounds(df: DataFrame, order: str, buckets: int, rows: int) -> list[Any]:
-    """At most ``buckets - 1`` ascending values that cut ``order`` into parts of similar size.
-
-    They come from a small random sample (some 20,000 values at most), as in range partitioning.
-    The sample decides only where rows are worked on.
-    """
-    if buckets < 2:
-        return []
-    fraction = min(1.0, buckets * SAMPLE_PER_BUCKET / rows)
-    sample = df.filter(F.col(order).isNotNull()).select(order).sample(fraction, seed=7)
-    ordered = sample.agg(F.sort_array(F.collect_list(order))).collect()[0][0]
-    cuts = [ordered[len(ordered) * i // buckets] for i in range(1, buckets)] if ordered else []
-    return sorted(set(cuts))
-
-
-def bucket_of(value: Column, bounds: Sequence[Any], first: int = 0) -> Column:
-    """The number of bounds at or below ``value``, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(
-        value < F.lit(bounds[middle]), bucket_of(value, bounds[:middle], first)
-    ).otherwise(bucket_of(value, bounds[middle + 1 :], first + middle + 1))
-
-
 def running_totals(
     df: DataFrame,
     order: str,
     totals: Mapping[str, Column],
     keys: Sequence[str] = (),
     descending: bool = False,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add, per output name, the sum of a column up to and including each row.
 
     Rows are ordered by ``order`` within ``keys``. Values of ``order`` must not repeat within a
-    key; aggregate first. NULL comes first in ascending order.
+    key; aggregate first. NULL comes first in ascending order and last in descending order.
 
-    Small inputs (up to ``rows_per_bucket`` rows) take one window. Larger ones are cut into ranges
-    of ``order``: each range of each key gets its own window, and the totals of the ranges before
-    it are added, from a table with one row per key and range. A key with any share of the rows
-    is thus spread over many tasks.
+    The rows are range-partitioned by keys and order and written with the number of their range.
+    A key with many rows so lies in several ranges, and a range holds many small keys. Each part of a
+    key within a range is one window; it is opened by a row with the key's totals from the ranges
+    before. ``ranges`` fixes the number of ranges; by default Spark suits it to the data.
     """
-    df = checkpointed(df.select("*", *[c.alias(f"__v_{n}") for n, c in totals.items()]))
-    rows = df.count()
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    bounds = range_bounds(df, order, buckets, rows)
-
-    bucket = bucket_of(F.col(order), bounds)
-    if bounds:
-        # NULL compares as unknown, but sorts first.
-        bucket = F.when(F.col(order).isNull(), F.lit(0)).otherwise(bucket)
-    names = [c for c in df.columns if not c.startswith("__v_")]
-    placed = df.withColumns({BUCKET: bucket, IS_ROW: F.lit(1)})
-    if bounds:
-        placed = placed.unionByName(_openings(placed, totals, keys, descending), True)
     direction = F.col(order).desc() if descending else F.col(order).asc()
+    valued = df.select("*", *[c.alias(f"__v_{n}") for n, c in totals.items()])
+    by = [*[F.col(k).asc() for k in keys], direction]
+    ranged = valued.repartitionByRange(*([ranges] if ranges else []), *by)
+    # Written once: the numbers of the ranges are the same in every pass from here on.
+    placed = checkpointed(ranged.withColumns({RANGE: F.spark_partition_id(), IS_ROW: F.lit(1)}))
     inside = (
-        Window.partitionBy(*keys, BUCKET)
+        Window.partitionBy(*keys, RANGE)
         .orderBy(IS_ROW, direction)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = placed.withColumns({n: F.sum(f"__v_{n}").over(inside) for n in totals})
-    return summed.filter(F.col(IS_ROW) == 1).select(*names, *totals)
+    opened = placed.unionByName(_openings(placed, totals, keys), allowMissingColumns=True)
+    summed = opened.withColumns({n: F.sum(f"__v_{n}").over(inside) for n in totals})
+    return summed.filter(F.col(IS_ROW) == 1).select(*df.columns, *totals)
 
 
-def _openings(
-    placed: DataFrame, totals: Mapping[str, Column], keys: Sequence[str], descending: bool
-) -> DataFrame:
-    """One row per key and range that opens the range with the totals of the ranges before it.
+def _openings(placed: DataFrame, totals: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
+    """One row per key and range with the totals of the key in the ranges before it.
 
-    At most ``MAX_BUCKETS`` rows per key. Added as rows, they need no join and share the shuffle
+    A key has at most one such row per range. Added as rows, they need no join and share the shuffle
     of the window.
     """
-    sums = placed.groupBy(*keys, BUCKET).agg(*[F.sum(f"__v_{n}").alias(n) for n in totals])
-    number = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
-    before = Window.partitionBy(*keys).orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(*keys, RANGE).agg(*[F.sum(f"__v_{n}").alias(n) for n in totals])
+    before = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     return sums.select(
         *keys,
-        BUCKET,
+        RANGE,
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__v_{n}") for n in totals],
         F.lit(0).alias(IS_ROW),
     )

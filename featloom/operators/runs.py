@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from featloom.operators.keys import assert_unique
 from featloom.operators.lookup import FeatureLookup, lookup
-from featloom.operators.ranking import ROWS_PER_BUCKET, running_totals
+from featloom.operators.ranking import running_totals
 from featloom.operators.skew import HotKeys
 
 # The stages of a version.
@@ -60,7 +60,7 @@ def metrics_wide(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def next_versions(
-    versions: DataFrame, new: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET
+    versions: DataFrame, new: DataFrame, ranges: int | None = None
 ) -> DataFrame:
     """Number the rows ``(name, run_id)`` of ``new``: ``(name, version, run_id, stage)``.
 
@@ -84,7 +84,7 @@ def next_versions(
         order="run_id",
         totals={"version": F.col("step")},
         keys=["name"],
-        rows_per_bucket=rows_per_bucket,
+        ranges=ranges,
     )
     return numbered.filter("is_new").select(
         "name", F.col("version").cast("int"), "run_id", F.lit(NO_STAGE).alias("stage")
@@ -92,10 +92,10 @@ def next_versions(
 
 
 def add_versions(
-    versions: DataFrame, new: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET
+    versions: DataFrame, new: DataFrame, ranges: int | None = None
 ) -> DataFrame:
     """``versions`` with the numbered rows of ``new`` appended."""
-    return versions.unionByName(next_versions(versions, new, rows_per_bucket))
+    return versions.unionByName(next_versions(versions, new, ranges))
 
 
 def promote(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featloom.operators.profile import category_levels, column_modes, group_count
-from featloom.operators.ranking import bucket_of, range_bounds, running_totals
+from featloom.operators.ranking import running_totals
 
 
 def test_null_is_a_group(spark):
@@ -26,20 +26,20 @@ def test_modes(spark):
     }
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1000, 7])
-def test_levels(spark, rows_per_bucket):
+@pytest.mark.parametrize("ranges", [None, 7])
+def test_levels(spark, ranges):
     letters = [chr(97 + i) for i in range(26)]
     df = spark.createDataFrame([(x, None if x > "c" else x) for x in letters * 2], "a string, b string")
-    found = category_levels(df, ["a", "b"], rows_per_bucket).collect()
+    found = category_levels(df, ["a", "b"], ranges).collect()
     places = sorted((r["column"], r["position"], r["level"]) for r in found)
     assert places == [("a", i, x) for i, x in enumerate(letters)] + [
         ("b", i, x) for i, x in enumerate("abc")
     ]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [100000, 40])
+@pytest.mark.parametrize("ranges", [None, 1, 40])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals(spark, rows_per_bucket, descending):
+def test_running_totals(spark, ranges, descending):
     """One key holds most rows, keys and one order value are NULL."""
     draw = random.Random(3)
     rows = []
@@ -53,7 +53,7 @@ def test_running_totals(spark, rows_per_bucket, descending):
         {"total": F.col("v"), "n": F.lit(1)},
         ["k"],
         descending=descending,
-        rows_per_bucket=rows_per_bucket,
+        ranges=ranges,
     )
     wanted, sums = {}, {}
     ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0), reverse=descending)
@@ -62,13 +62,3 @@ def test_running_totals(spark, rows_per_bucket, descending):
         sums[key] = (total + value, n + 1)
         wanted[(key, order)] = sums[key]
     assert {(r.k, r.o): (r.total, r.n) for r in found.collect()} == wanted
-
-
-def test_bounds_and_buckets(spark):
-    df = spark.range(1000).select(F.concat(F.lit("x"), F.format_string("%04d", "id")).alias("s"))
-    bounds = range_bounds(df, "s", 10, 1000)
-    assert 5 <= len(bounds) <= 9 and bounds == sorted(bounds)
-    sizes = df.select(bucket_of(F.col("s"), bounds).alias("b")).groupBy("b").count().collect()
-    assert {r.b for r in sizes} == set(range(len(bounds) + 1))
-    for row in df.select("s", bucket_of(F.col("s"), bounds).alias("b")).collect():
-        assert row.b == sum(bound <= row.s for bound in bounds)

@@ -131,7 +131,7 @@ def refit_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, validation = split(_labelled_flat(spark, sf_dir), ID)
-    return search(train, validation, FLAT_SPEC, LABEL, max_trials=8).to_df(spark)
+    return search(train, validation, FLAT_SPEC, LABEL, parallelism=8).to_df(spark)
 
 
 def gbt_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
