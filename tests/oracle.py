@@ -26,11 +26,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    """A value that sorts and compares; NaN equals NaN, and minus zero equals zero."""
+    """A value that sorts and compares; NaN equals NaN, minus zero differs from zero."""
     if value is None:
         return (0, "")
     if isinstance(value, float):
-        return (1, "NaN") if math.isnan(value) else (2, value + 0.0)
+        return (1, "NaN") if math.isnan(value) else (2, (value, math.copysign(1, value)))
     return (3, str(value))
 
 

@@ -20,7 +20,13 @@ from featloom.functions import (
     token_count,
 )
 from featloom.operators.profile import category_levels, column_modes, group_count
-from featloom.plans.passengers import demographic_features, flat_features, ticket_features
+from featloom.plans.passengers import (
+    age_band_counts,
+    demographic_features,
+    flat_features,
+    survivor_prefix_counts,
+    ticket_features,
+)
 from featloom.session import scratch_path
 from featloom.sources.csv import read_csv_typed
 from featloom.sources.tables import as_view, load, save_overwrite, sql
@@ -151,14 +157,14 @@ def column_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def round_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarters of the quantity, so that exact halves occur, with both signs."""
-    quarter = F.col("l_quantity") / 4.0
-    signed = F.when(F.col("l_returnflag") == "R", -quarter).otherwise(quarter)
+    """Prices, and half quantities of both signs, so that exact halves occur."""
+    half = F.col("l_quantity") / 2.0 + 1
+    signed = F.when(F.col("l_returnflag") == "R", -half).otherwise(half)
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         round0("l_extendedprice").alias("price"),
-        round0(signed).alias("quarter"),
+        round0(signed).alias("half"),
     )
 
 
@@ -187,6 +193,18 @@ def feature_table_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticket_features(raw_passengers(spark, sf_dir))
 
 
+def prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors by title on the flat features."""
+    return survivor_prefix_counts(flat_features(raw_passengers(spark, sf_dir)))
+
+
+def age_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passengers by age band and label on the flat features; a missing age counts as older."""
+    return as_view(
+        age_band_counts(flat_features(raw_passengers(spark, sf_dir))), "group_counts"
+    )
+
+
 QUERIES = {
     "scan_csv": scan_csv,
     "scan_table": scan_table,
@@ -210,6 +228,8 @@ QUERIES = {
     "feature_table_flat": feature_table_flat,
     "feature_table_demo": feature_table_demo,
     "feature_table_ticket": feature_table_ticket,
+    "prefix_counts": prefix_counts,
+    "age_bands": age_bands,
 }
 
 ORACLES = {
@@ -269,8 +289,8 @@ ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, v) = 1""",
     "round_half_up": """
         SELECT l_orderkey, l_linenumber, round(l_extendedprice, 0) AS price,
-               round(CASE WHEN l_returnflag = 'R' THEN -(l_quantity / 4.0::DOUBLE)
-                          ELSE l_quantity / 4.0::DOUBLE END, 0) AS quarter
+               round(CASE WHEN l_returnflag = 'R' THEN -(l_quantity / 2.0::DOUBLE + 1)
+                          ELSE l_quantity / 2.0::DOUBLE + 1 END, 0) AS half
         FROM lineitem""",
     "band_counts": """
         SELECT p_type,
@@ -306,4 +326,13 @@ ORACLES = {
                {TICKET_CHARS} AS TicketChars, substr(Cabin, 1, 1) AS CabinChar,
                {CABIN_MULTI} AS CabinMulti, round(Fare, 0) AS FareRounded
         FROM raw""",
+    "prefix_counts": f"""
+        WITH {RAW_PASSENGERS}
+        SELECT {NAME_PREFIX} AS NamePrefix, count(*) AS count
+        FROM raw WHERE Survived = 1 GROUP BY 1""",
+    "age_bands": f"""
+        WITH {RAW_PASSENGERS}
+        SELECT CASE WHEN {AGE} < 20 THEN '< 20' ELSE '> 20' END AS under_20, Survived,
+               count(*) AS count
+        FROM raw GROUP BY ALL""",
 }
