@@ -36,15 +36,17 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    A machine-local temporary folder is used only in local mode with nothing configured.
+    That is the configured folder, or else the one the context was given for checkpoints. A
+    machine-local temporary folder is used only in local mode with neither.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-        return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
 
