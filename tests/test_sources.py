@@ -144,3 +144,15 @@ def test_bucketed_merge_does_not_move_stored_rows(spark):
     assert "Bucketed: true" in plan
     assert plan.count("Exchange") == 2  # the updates, once for their keys and once as rows
     drop_feature_table(spark, name)
+
+
+def test_qualified_name_and_leftover_snapshot(spark, tmp_path):
+    """A snapshot that a failed merge left behind is replaced by the next merge."""
+    name = f"default.features_{uuid.uuid4().hex}"
+    schema = rows(spark, (1, "a")).schema
+    create_feature_table(spark, name, "id", schema, location=f"{tmp_path}/t")
+    rows(spark, (5, "left over")).write.saveAsTable(f"{name}__s1")
+    assert content(merge(spark, name, rows(spark, (1, "a")))) == [(1, "a")]
+    assert feature_table(spark, name).location == f"{tmp_path}/t"
+    drop_feature_table(spark, name)
+    assert not spark.catalog.tableExists(name)

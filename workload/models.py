@@ -183,18 +183,18 @@ def add_five(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _linear(weights: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
-    return np.round(rows.to_numpy(dtype="float64") @ weights, 6)
-
-
 def python_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A linear model in Python that is decoded once per task."""
     stored = json.dumps(WEIGHTS)
+
+    def linear(weights: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
+        return np.round(rows.to_numpy(dtype="float64") @ weights, 6)
+
     return scoring.score_python(
         table(spark, sf_dir, "lineitem"),
         inputs=NUMBERS,
         load=lambda _: np.array(json.loads(stored)),
-        predict=_linear,
+        predict=linear,
         keep=["l_orderkey", "l_linenumber"],
     )
 
