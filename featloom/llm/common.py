@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,3 +131,33 @@ def without(docs: DataFrame, verdicts: DataFrame, doc_id: str, key: Column) -> D
     group = free_name(docs, "_group")
     copies = marked.join(twice.withColumnRenamed("_grp", group), name)
     return stay.unionByName(copies.dropDuplicates([group]).drop(name, group))
+
+
+def whole_groups(batches: Batches, keys: list[str], rows: int) -> Iterator[pa.Table]:
+    """The rows of a partition, sorted by ``keys``, in portions of about ``rows`` that split no key."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            whole = pa.Table.from_batches(held)
+            last = group_starts(whole, keys)[-1]
+            if last:
+                yield whole.slice(0, last)
+                whole = whole.slice(last)
+            held, n = whole.combine_chunks().to_batches(), whole.num_rows
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the runs of equal keys begin; keys are numbers without nulls."""
+    change = np.zeros(rows.num_rows, bool)
+    change[:1] = True
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(change)

@@ -12,6 +12,7 @@ from featloom.llm.exact import exact_groups
 from featloom.llm.packing import packed
 from featloom.llm.planes import encoded_files
 from featloom.llm.quality import judged
+from featloom.llm.repeats import repeat_report
 from featloom.llm.simhash import near_groups
 from featloom.llm.urls import judged_urls
 
@@ -26,6 +27,11 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_urls(pages, outcomes)
 
 
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without byte strings that stand elsewhere too."""
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op3_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written as bit planes and read back."""
     return encoded_files(table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
+    "op2_repeated_strings": op2_repeated_strings,
     "op3_bit_planes": op3_bit_planes,
     "op4_island_packing": op4_island_packing,
     "op5_host_rules": op5_host_rules,
