@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featloom.llm.bytebpe import round_trip
 from featloom.llm.common import table
 from featloom.llm.exact import exact_groups
 from featloom.llm.packing import packed
+from featloom.llm.pitman_yor import scored
 from featloom.llm.planes import encoded_files
 from featloom.llm.quality import judged
 from featloom.llm.repeats import repeat_report
@@ -47,6 +49,16 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the model of those that are not held out."""
+    return scored(table(spark, sf_dir, "documents"))
+
+
+def op8_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by tree reduction, and what they decode to."""
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The groups of equal texts of all documents."""
     return exact_groups(table(spark, sf_dir, "documents")).drop("n_keep")
@@ -65,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bit_planes": op3_bit_planes,
     "op4_island_packing": op4_island_packing,
     "op5_host_rules": op5_host_rules,
+    "op7_pitman_yor": op7_pitman_yor,
+    "op8_tree_bpe": op8_tree_bpe,
     "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     "op10_simhash_trie": op10_simhash_trie,
 }
