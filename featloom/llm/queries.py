@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from featloom.llm.bytebpe import round_trip
 from featloom.llm.common import table
+from featloom.llm.crf import extracted
 from featloom.llm.exact import exact_groups
 from featloom.llm.packing import packed
 from featloom.llm.pitman_yor import scored
@@ -49,6 +50,11 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op6_block_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by the model of those that are not held out."""
     return scored(table(spark, sf_dir, "documents"))
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bit_planes": op3_bit_planes,
     "op4_island_packing": op4_island_packing,
     "op5_host_rules": op5_host_rules,
+    "op6_block_crf": op6_block_crf,
     "op7_pitman_yor": op7_pitman_yor,
     "op8_tree_bpe": op8_tree_bpe,
     "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
