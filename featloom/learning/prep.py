@@ -1,20 +1,16 @@
-"""Preprocessing: fill, one-hot encode, impute and assemble columns into one vector."""
+"""Preprocessing: fill, encode, impute and assemble columns into one vector."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (
-    Imputer,
-    OneHotEncoder,
-    SQLTransformer,
-    StringIndexer,
-    VectorAssembler,
-)
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from featloom.operators.profile import distinct_levels
+from featloom.operators.profile import category_levels, column_modes
+from featloom.session import checkpointed
 
 FEATURES = "features"
 
@@ -23,138 +19,104 @@ FEATURES = "features"
 class FeatureSpec:
     """Column groups of a model.
 
-    NULL in a categorical column becomes ``missing_level``. An empty string is a level of its own
-    and is stored as ``empty_level``, because MLlib has no empty level. Flags are never NULL in a
-    feature table; for an id without features they count as 0. A column may have at most
-    ``max_levels`` levels, since every model holds them on the driver and in each vector.
-
-    ``one_hot`` gives every level a slot, as the workflow asks for. Tree learning keeps one number
-    per slot and row, so on large data with many levels ``one_hot=False`` is the economical form:
-    one slot per column with the level's index, which MLlib's trees split as a category.
+    NULL in a categorical column becomes ``missing_level``; a value of that name is the same level,
+    and an empty string is a level of its own. Flags are never NULL in a feature table; for an id
+    without features they count as 0.
     """
 
     categorical: tuple[str, ...]
     numeric: tuple[str, ...] = ()
     binary: tuple[str, ...] = ()
     missing_level: str = "missing"
-    empty_level: str = "<empty>"
-    max_levels: int = 100_000
-    one_hot: bool = True
 
     @property
     def columns(self) -> list[str]:
         return [*self.categorical, *self.numeric, *self.binary]
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+@dataclass(frozen=True)
+class Preprocessor:
+    """What was learned on the training rows.
+
+    ``levels`` is a table ``(column, level, position)`` of any size that stays on the executors; the
+    driver knows the number of levels of each column and the modes.
+    """
+
+    spec: FeatureSpec
+    levels: DataFrame | None = None
+    sizes: Mapping[str, int] = field(default_factory=dict)
+    modes: Mapping[str, float] = field(default_factory=dict)
+
+    def transform(self, df: DataFrame, one_hot: bool = True) -> DataFrame:
+        """``df`` with ``features``.
+
+        With ``one_hot`` every level has a slot, and an unseen level sets none. Otherwise a column
+        has one slot with the position of its level, and -1 for an unseen one: a few numbers a row,
+        however many levels there are.
+        """
+        spec = self.spec
+        found = df.withColumns({f"__level_{c}": _level(spec, c) for c in spec.categorical})
+        for c in spec.categorical:
+            own = self.levels.filter(F.col("column") == c).select(
+                F.col("level").alias(f"__level_{c}"), F.col("position").alias(f"__at_{c}")
+            )
+            # Spark broadcasts the levels of a column while they are small, and splits a hot level
+            # of the rows in a sorted join beyond that.
+            found = found.join(own, f"__level_{c}", "left")
+        unseen = {c: self.sizes[c] if one_hot else -1 for c in spec.categorical}
+        found = found.withColumns(
+            {
+                **{f"__at_{c}": F.coalesce(f"__at_{c}", F.lit(n)).cast("double") for c, n in unseen.items()},
+                **{f"__number_{c}": _imputed(c, self.modes[c]) for c in spec.numeric},
+                **{f"__number_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in spec.binary},
+            }
+        )
+        parts = [f"__at_{c}" for c in spec.categorical]
+        if one_hot and parts:
+            slots = [f"__slots_{c}" for c in spec.categorical]
+            # The last slot is the one of unseen levels, and it is dropped.
+            encoder = OneHotEncoder(inputCols=parts, outputCols=slots, handleInvalid="keep")
+            last = tuple(float(self.sizes[c] - 1) for c in spec.categorical)
+            schema = ", ".join(f"`{p}` double" for p in parts)
+            found = encoder.fit(df.sparkSession.createDataFrame([last], schema)).transform(found)
+            parts = slots
+        parts = [*parts, *[f"__number_{c}" for c in (*spec.numeric, *spec.binary)]]
+        return VectorAssembler(inputCols=parts, outputCol=FEATURES).transform(found).select(*df.columns, FEATURES)
+
 
+def _level(spec: FeatureSpec, column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(spec.missing_level))
 
-def _fill(spec: FeatureSpec) -> SQLTransformer:
-    """NULL and empty levels, numbers as double; flags ``'0'``/``'1'`` as numbers."""
-    missing, empty = _quoted(spec.missing_level), _quoted(spec.empty_level)
-    filled = [
-        f"CASE WHEN `{c}` IS NULL THEN {missing} WHEN `{c}` = '' THEN {empty} "
-        f"ELSE CAST(`{c}` AS STRING) END AS `__level_{c}`"
-        for c in spec.categorical
-    ]
-    numbers = [f"CAST(`{c}` AS DOUBLE) AS `__number_{c}`" for c in spec.numeric]
-    flags = [f"COALESCE(CAST(`{c}` AS DOUBLE), 0D) AS `__number_{c}`" for c in spec.binary]
-    listed = ", ".join(filled + numbers + flags)
-    return SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")
+
+def _imputed(column: str, mode: float) -> Column:
+    return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(None)), F.lit(mode))
 
 
 def fill_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """``df`` with its categorical columns filled in place."""
-    filled = _fill(spec).transform(df)
-    return filled.select(
-        *[
-            filled[f"__level_{c}"].alias(c) if c in spec.categorical else filled[c]
-            for c in df.columns
-        ]
-    )
+    return df.withColumns({c: _level(spec, c) for c in spec.categorical})
 
 
-def learn_levels(filled: DataFrame, spec: FeatureSpec) -> list[list[str]]:
-    """The levels of each categorical column.
+def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> Preprocessor:
+    """Learn levels with their positions in sort order, and modes (the smallest on ties).
 
-    Distinct values are found on the executors. Their number is checked before they are fetched:
-    a column beyond ``max_levels`` is an error and no level is left out.
-    """
-    names = [f"__level_{c}" for c in spec.categorical]
-    levels = distinct_levels(filled, names).persist()
-    try:
-        for row in levels.groupBy("column").count().collect():
-            if row["count"] > spec.max_levels:
-                raise ValueError(
-                    f"{row['column'].removeprefix('__level_')}: {row['count']} levels, more than "
-                    f"max_levels={spec.max_levels}; fold rare levels first or raise the limit"
-                )
-        by_column: dict[str, list[str]] = {name: [] for name in names}
-        for row in levels.collect():
-            by_column[row["column"]].append(row["level"])
-    finally:
-        levels.unpersist()
-    return [by_column[name] for name in names]
-
-
-def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
-    """Learn levels and modes on the training rows; ``transform`` adds ``features``.
-
-    Every level has its own slot, an unseen level sets none, and missing numbers take the most
-    frequent value (the smallest on ties).
+    Levels are found, sorted and numbered on the executors and written once; a column may have any
+    number of them. A column without a level or without a number is an error.
     """
-    fill = _fill(spec)
-    filled = fill.transform(train.select(*spec.columns))
-    stages = [fill]
-    parts = []
+    levels, sizes, modes = None, {}, {}
     if spec.categorical:
-        indexed = [f"__index_{c}" for c in spec.categorical]
-        # The indexer sorts the levels of all columns at once; it gets one row per level, and short
-        # columns repeat their last level.
-        levels = learn_levels(filled, spec)
-        longest = max(map(len, levels))
-        padded = [found + found[-1:] * (longest - len(found)) for found in levels]
-        names = [f"__level_{c}" for c in spec.categorical]
-        schema = ", ".join(f"`{name}` string" for name in names)
-        indexer = StringIndexer(
-            inputCols=names,
-            outputCols=indexed,
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ).fit(train.sparkSession.createDataFrame(list(zip(*padded)), schema))
-        stages.append(indexer)
-        if spec.one_hot:
-            # The slot that 'keep' adds for unseen levels is last; dropped, it leaves them at zero.
-            # The encoder learns the number of levels from the column attributes, without a job.
-            slots = [f"__slots_{c}" for c in spec.categorical]
-            encoder = OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True)
-            stages.append(encoder.fit(indexer.transform(filled)))
-            parts += slots
-        else:
-            parts += indexed
+        filled = train.select(*[_level(spec, c).alias(c) for c in spec.categorical])
+        levels = checkpointed(category_levels(filled, spec.categorical))
+        sizes = {r["column"]: r["count"] for r in levels.groupBy("column").count().collect()}
     if spec.numeric:
-        imputed = [f"__imputed_{c}" for c in spec.numeric]
-        imputer = Imputer(
-            strategy="mode",
-            inputCols=[f"__number_{c}" for c in spec.numeric],
-            outputCols=imputed,
-        )
-        stages.append(imputer.fit(filled))
-        parts += imputed
-    parts += [f"__number_{c}" for c in spec.binary]
-    stages.append(VectorAssembler(inputCols=parts, outputCol=FEATURES))
-    return PipelineModel(stages)
+        found = column_modes(train.select(*spec.numeric), spec.numeric)
+        modes = {r["column"]: r["mode"] for r in found.collect()}
+    absent = [c for c in spec.categorical if c not in sizes] + [c for c in spec.numeric if c not in modes]
+    if absent:
+        raise ValueError(f"nothing to learn from in columns {absent}")
+    return Preprocessor(spec, levels, sizes, modes)
 
 
-def bins_needed(preprocessor: PipelineModel, spec: FeatureSpec, least: int = 32) -> int:
-    """Split bins for the trees: with indexed levels, one for each and one for unseen levels."""
-    if spec.one_hot or not spec.categorical:
-        return least
-    return max(least, *[len(labels) + 1 for labels in preprocessor.stages[1].labelsArray])
-
-
-def assemble(df: DataFrame, preprocessor: PipelineModel, *keep: str) -> DataFrame:
+def assemble(df: DataFrame, preprocessor: Preprocessor, *keep: str, one_hot: bool = True) -> DataFrame:
     """The kept columns and ``features``; everything else is dropped."""
-    return preprocessor.transform(df).select(*keep, FEATURES)
-
+    return preprocessor.transform(df, one_hot).select(*keep, FEATURES)

@@ -9,57 +9,105 @@ from typing import Any
 
 import pandas as pd
 from pyspark import SparkFiles
-from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from featloom.learning.prep import FeatureSpec
+from featloom.learning.prep import FeatureSpec, Preprocessor
+from featloom.learning.train import TreeModel
+from featloom.operators.evaluate import evaluate_classifier
 from featloom.operators.lookup import FeatureLookup, lookup_all
+from featloom.operators.runs import PRODUCTION, current, run
 from featloom.operators.skew import HotKeys
 
 
 @dataclass(frozen=True)
 class StoredModel:
-    """A fitted pipeline, its inputs, and the lookups that supply them."""
+    """A fitted model and the lookups that supply its inputs."""
 
-    pipeline: PipelineModel
-    spec: FeatureSpec
+    model: TreeModel
     lookups: tuple[FeatureLookup, ...] = ()
 
+    @property
+    def spec(self) -> FeatureSpec:
+        return self.model.preprocessor.spec
 
-def save_model(model: StoredModel, path: str, spark: SparkSession) -> None:
-    """Write the pipeline and a small JSON with inputs and lookups below ``path``."""
-    if not all(isinstance(one.table, str) for one in model.lookups):
+
+def save_model(stored: StoredModel, path: str, spark: SparkSession) -> None:
+    """Write the trees, the table of levels, and a small JSON with all else below ``path``."""
+    if not all(isinstance(one.table, str) for one in stored.lookups):
         raise TypeError("a stored lookup needs the name or path of its table")
-    facts = {"spec": asdict(model.spec), "lookups": [asdict(one) for one in model.lookups]}
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    prepared = stored.model.preprocessor
+    facts = {
+        "spec": asdict(prepared.spec),
+        "sizes": dict(prepared.sizes),
+        "modes": dict(prepared.modes),
+        "lookups": [asdict(one) for one in stored.lookups],
+    }
+    stored.model.trees.write().overwrite().save(f"{path}/trees")
+    if prepared.levels is not None:
+        prepared.levels.write.mode("overwrite").parquet(f"{path}/levels")
     text = spark.createDataFrame([(json.dumps(facts),)], "value string")
     text.coalesce(1).write.mode("overwrite").text(f"{path}/inputs")
 
 
 def load_model(spark: SparkSession, path: str) -> StoredModel:
-    """Read back what :func:`save_model` wrote."""
+    """Read back what :func:`save_model` wrote; the levels stay a table."""
     facts = json.loads(spark.read.text(f"{path}/inputs").collect()[0]["value"])
-    spec = facts["spec"]
-    groups = {k: tuple(v) if isinstance(v, list) else v for k, v in spec.items()}
+    groups = {k: tuple(v) if isinstance(v, list) else v for k, v in facts["spec"].items()}
     lookups = tuple(
         FeatureLookup(one["table"], tuple(one["features"]), one["key"], one["table_key"])
         for one in facts["lookups"]
     )
-    return StoredModel(PipelineModel.load(f"{path}/pipeline"), FeatureSpec(**groups), lookups)
-
-
-def score(df: DataFrame, model: StoredModel, output: str = "predictions") -> DataFrame:
+    levels = spark.read.parquet(f"{path}/levels") if facts["sizes"] else None
+    prepared = Preprocessor(FeatureSpec(**groups), levels, facts["sizes"], facts["modes"])
+    trees = DefaultParamsReader.loadParamsInstance(f"{path}/trees", spark.sparkContext)
+    return StoredModel(TreeModel(prepared, trees), lookups)
+
+
+def load_current(
+    spark: SparkSession,
+    versions: DataFrame,
+    runs: DataFrame,
+    name: str,
+    stage: str = PRODUCTION,
+) -> StoredModel:
+    """The model of a name in a stage: its newest version there, that version's run, its files."""
+    chosen = current(versions, name, stage).first()
+    found = run(runs, chosen["run_id"]).collect()
+    if len(found) != 1:
+        raise LookupError(f"{len(found)} runs {chosen['run_id']}")
+    return load_model(spark, found[0]["location"])
+
+
+def score(
+    df: DataFrame,
+    model: StoredModel,
+    output: str = "predictions",
+    probability: str | None = None,
+) -> DataFrame:
     """The columns of ``df`` and the prediction as double.
 
-    Inputs are chosen by the model's own list; scoring is a projection, without a shuffle.
+    ``probability`` names one more column, the probability of class 1. Inputs are chosen by the
+    model's own list; the rows meet the levels of their categories, and no more.
     """
     absent = [c for c in model.spec.columns if c not in df.columns]
     if absent:
         raise ValueError(f"input columns are absent: {absent}")
-    scored = model.pipeline.transform(df)
-    return scored.select(*df.columns, F.col("prediction").cast("double").alias(output))
+    scored = model.model.transform(df)
+    more = [vector_to_array("probability")[1].alias(probability)] if probability else []
+    return scored.select(*df.columns, F.col("prediction").cast("double").alias(output), *more)
+
+
+def evaluate_model(
+    df: DataFrame, model: StoredModel, label: str, ranges: int | None = None
+) -> DataFrame:
+    """All metrics of a stored classifier on rows with its inputs and a label, in one row."""
+    inputs = df.select(label, *model.spec.columns)
+    found = score(inputs, model, "prediction", "score")
+    return evaluate_classifier(found, label, "prediction", "score", ranges)
 
 
 def score_batch(

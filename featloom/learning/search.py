@@ -11,8 +11,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.learning.prep import FEATURES, FeatureSpec, bins_needed, fit_preprocessor
-from featloom.learning.train import forest
+from featloom.learning.prep import FEATURES, FeatureSpec, fit_preprocessor
+from featloom.learning.train import TreeModel, forest, train_forest
 from featloom.operators.evaluate import weighted_prf
 from featloom.session import kept
 
@@ -109,15 +109,15 @@ def search(
 
     with kept(train.select(columns)) as rows:
         preprocessor = fit_preprocessor(rows, spec)
-        bins = bins_needed(preprocessor, spec)
-        prepared = preprocessor.transform(rows).select(FEATURES, label)
-        held_out = preprocessor.transform(validation.select(columns)).select(FEATURES, label)
+        prepared = preprocessor.transform(rows, one_hot=False).select(FEATURES, label)
+        held_out = preprocessor.transform(validation.select(columns), one_hot=False)
+        held_out = held_out.select(FEATURES, label)
         with kept(prepared) as fit_rows, kept(held_out) as check_rows:
 
             def attempt(number: int) -> Trial:
                 trees, fraction = settings[number]
                 estimator = forest(label, trees, fraction, depth, seed)
-                model = estimator.fit(fit_rows, {estimator.maxBins: bins})
+                model = estimator.fit(fit_rows)
                 found = weighted_prf(model.transform(check_rows), label).collect()[0]
                 return Trial(
                     number,
@@ -141,3 +141,16 @@ def search(
                     if stop is not None:
                         return SearchResult(tuple(trials[:stop]))
     return SearchResult(tuple(trials))
+
+
+def fit_best(
+    train: DataFrame,
+    spec: FeatureSpec,
+    label: str,
+    found: SearchResult,
+    seed: int = 50,
+    depth: int = 5,
+) -> TreeModel:
+    """The forest of the best trial's settings, fitted on ``train``."""
+    best = found.best
+    return train_forest(train, spec, label, best.trees, best.fraction, depth, seed)

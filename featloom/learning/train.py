@@ -6,15 +6,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
-from pyspark.ml.base import Estimator
+from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.learning.prep import FEATURES, FeatureSpec, bins_needed, fit_preprocessor
+from featloom.learning.prep import FEATURES, FeatureSpec, Preprocessor, fit_preprocessor
 from featloom.operators.evaluate import compare_splits
 from featloom.operators.split import VALIDATION, mark_split
 from featloom.session import kept
@@ -24,18 +23,32 @@ TREE_DEPTH = 6
 LEARNING_RATE = 0.3
 
 
-def _fit(train: DataFrame, spec: FeatureSpec, label: str, estimator: Estimator) -> PipelineModel:
+@dataclass(frozen=True)
+class TreeModel:
+    """Preprocessing and trees.
+
+    The trees see the position of a level as one number. They split it as often as they need to, so
+    neither their bins nor the rows grow with the number of levels.
+    """
+
+    preprocessor: Preprocessor
+    trees: Model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.trees.transform(self.preprocessor.transform(df, one_hot=False))
+
+
+def _fit(train: DataFrame, spec: FeatureSpec, label: str, estimator: Estimator) -> TreeModel:
     """Preprocessing and trees in one model. Only the columns in use are kept for the passes."""
     with kept(train.select(*spec.columns, F.col(label).cast("double").alias(label))) as rows:
         preprocessor = fit_preprocessor(rows, spec)
-        estimator = estimator.copy({estimator.maxBins: bins_needed(preprocessor, spec)})
-        model = estimator.fit(preprocessor.transform(rows).select(FEATURES, label))
-    return PipelineModel([*preprocessor.stages, model])
+        prepared = preprocessor.transform(rows, one_hot=False).select(FEATURES, label)
+        return TreeModel(preprocessor, estimator.fit(prepared))
 
 
 def train_gbt(
     train: DataFrame, spec: FeatureSpec, label: str, rounds: int = 25, seed: int = 123
-) -> PipelineModel:
+) -> TreeModel:
     """Boosted-tree classifier for 0/1 labels."""
     return _fit(
         train,
@@ -74,12 +87,12 @@ def train_forest(
     fraction: float,
     depth: int = 5,
     seed: int = 123,
-) -> PipelineModel:
+) -> TreeModel:
     """Random-forest classifier."""
     return _fit(train, spec, label, forest(label, trees, fraction, depth, seed))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: TreeModel, df: DataFrame) -> DataFrame:
     """The columns of ``df``, ``prediction``, and the probability of class 1 as ``score``."""
     scored = model.transform(df)
     return scored.select(
@@ -91,8 +104,8 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 class Refit:
     """A model fitted on all rows, with the metrics of the validated fit before it."""
 
-    model: PipelineModel
-    validated: PipelineModel
+    model: TreeModel
+    validated: TreeModel
     metrics: DataFrame
 
 

@@ -14,6 +14,13 @@ from featloom.operators.ranking import running_totals
 LOG_LOSS_EPSILON = 1e-15
 
 
+def _given(name: str, double: bool = False) -> Column:
+    """A column that must not be missing: NULL (and NaN in a double) stops the query."""
+    value = F.col(name).cast("double") if double else F.col(name)
+    absent = value.isNull() | F.isnan(value.cast("double"))
+    return F.when(absent, F.raise_error(F.lit(f"{name}: value missing"))).otherwise(value)
+
+
 def _f1(precision: Column, recall: Column) -> Column:
     return ratio(2 * precision * recall, precision + recall)
 
@@ -27,13 +34,13 @@ def weighted_prf(
     """Support-weighted ``precision``, ``recall`` and ``f1``: one row, or one per group of ``by``.
 
     F1 is the weighted mean of the classes' F1. A class that is never predicted has precision 0.
-    The data is read once and counted per (label, prediction) before the shuffle; the rest works on
-    those counts.
+    A missing label or prediction is an error. The data is read once and counted per (label,
+    prediction) before the shuffle; the rest works on those counts.
     """
     counts = df.groupBy(
         *by,
-        F.col(label).cast("double").alias("__label"),
-        F.col(prediction).cast("double").alias("__prediction"),
+        _given(label, double=True).alias("__label"),
+        _given(prediction, double=True).alias("__prediction"),
     ).agg(F.count(F.lit(1)).alias("__n"))
     hit = F.when(F.col("__label") == F.col("__prediction"), F.col("__n")).otherwise(0)
     sides = F.array(
@@ -116,7 +123,7 @@ def _binary_rates(counts: DataFrame) -> DataFrame:
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Outcome counts of a 0/1 classifier with accuracy, precision, recall and F1 of class 1."""
-    outcomes = _outcomes(F.col(label), F.col(prediction), F.lit(1).cast("bigint"))
+    outcomes = _outcomes(_given(label), _given(prediction), F.lit(1).cast("bigint"))
     return _binary_rates(df.agg(*[c.alias(name) for name, c in outcomes.items()]))
 
 
@@ -127,7 +134,7 @@ def _row_loss(label: Column, score: Column) -> Column:
 
 def log_loss(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Mean negative log likelihood of 0/1 labels, as ``log_loss``."""
-    return df.agg(F.avg(_row_loss(F.col(label), F.col(score))).alias("log_loss"))
+    return df.agg(F.avg(_row_loss(_given(label), _given(score))).alias("log_loss"))
 
 
 def _curve(counted: DataFrame, ranges: int | None) -> DataFrame:
@@ -175,8 +182,8 @@ def ranking_areas(
     Rows are first counted per distinct score, then ranked in ranges of the score, so neither a
     frequent score nor the whole table meets in one task.
     """
-    positive = F.when(F.col(label) == 1, 1).otherwise(0)
-    counted = df.groupBy(F.col(score).alias("score")).agg(
+    positive = F.when(_given(label) == 1, 1).otherwise(0)
+    counted = df.groupBy(_given(score).alias("score")).agg(
         F.sum(positive).alias("positives"), F.sum(1 - positive).alias("negatives")
     )
     return _curve(counted, ranges).agg(*_areas())
@@ -189,11 +196,14 @@ def evaluate_classifier(
     score: str = "score",
     ranges: int | None = None,
 ) -> DataFrame:
-    """All metrics of a 0/1 classifier in one row, from one scan of the predictions."""
-    positive = F.when(F.col(label) == 1, 1).otherwise(0)
+    """All metrics of a 0/1 classifier in one row, from one scan of the predictions.
+
+    A missing label, prediction or score is an error.
+    """
+    positive = F.when(_given(label) == 1, 1).otherwise(0)
     one = F.lit(1).cast("bigint")
-    outcomes = _outcomes(F.col(label), F.col(prediction), one)
-    counted = df.groupBy(F.col(score).alias("score")).agg(
+    outcomes = _outcomes(F.col(label), _given(prediction), one)
+    counted = df.groupBy(_given(score).alias("score")).agg(
         F.sum(positive).alias("positives"),
         F.sum(1 - positive).alias("negatives"),
         F.sum(_row_loss(F.col(label), F.col(score))).alias("loss"),

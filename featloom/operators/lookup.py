@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.operators.keys import assert_unique
-from featloom.operators.skew import HotKeys, find_hot_keys, repeat_rows, salt_spine
+from featloom.operators.skew import HotKeys, find_hot_keys
+from featloom.sources.feature_tables import feature_table
 from featloom.sources.tables import load
 
-SALT = "__part"
-
 
 @dataclass(frozen=True)
 class FeatureLookup:
@@ -37,7 +36,7 @@ def lookup(
     spine: DataFrame,
     one: FeatureLookup,
     hot_keys: Mapping[str, HotKeys] | None = None,
-    check_unique: bool = False,
+    check_unique: bool | None = None,
 ) -> DataFrame:
     """Attach the features of one lookup; see :func:`lookup_all`."""
     return lookup_all(spine, [one], hot_keys, check_unique)
@@ -47,49 +46,71 @@ def lookup_all(
     spine: DataFrame,
     lookups: Sequence[FeatureLookup],
     hot_keys: Mapping[str, HotKeys] | None = None,
-    check_unique: bool = False,
+    check_unique: bool | None = None,
 ) -> DataFrame:
     """Attach the features of several lookups in order. Every spine row stays; misses give NULL.
 
     Lookups that follow each other on the same key share one placement of the spine, so the spine
-    is shuffled once for all of them. Hot keys are salted. They are detected in one extra scan of
-    the spine's key columns, unless ``hot_keys`` gives them by key (``{}`` for none); a spine that
-    is costly to compute should be stored first. Small feature tables are broadcast by Spark,
-    which checks their size.
+    is shuffled once for all of them. Rows of hot keys are joined apart, with the few feature rows they
+    need; the others by the key alone, so that bucketed tables stay where they are. Hot keys are
+    detected in one extra scan of the spine's key columns, unless ``hot_keys`` gives them by key
+    (``{}`` for none) or the tables are so small that Spark broadcasts them; a spine that is costly to
+    compute should be stored first, as it is read again.
+
+    A table in which a key is missing or occurs twice is an error. ``check_unique`` says whether to look;
+    by default feature tables of the catalog, which guarantee it, are not looked at.
     """
     spark = spine.sparkSession
+    read = [(one, one.read(spark)) for one in lookups]
+    for one, features in read:
+        if check_unique or (check_unique is None and not _guaranteed(spark, one)):
+            assert_unique(features, [one.key], missing=False)
+    large = dict.fromkeys(one.key for one, features in read if not _small(features))
     df = spine
     known = dict(hot_keys or {})
     if hot_keys is None:
-        keys = [k for k in dict.fromkeys(one.key for one in lookups) if k in spine.columns]
+        keys = [k for k in large if k in spine.columns]
         known = dict(zip(keys, find_hot_keys(spine, [[k] for k in keys]))) if keys else {}
-    for key, same_key in groupby(lookups, lambda one: one.key):
-        if hot_keys is None and key not in known:
+    for key, same_key in groupby(read, lambda pair: pair[0].key):
+        if hot_keys is None and key in large and key not in known:
             # The key is itself a looked-up feature.
             known[key] = find_hot_keys(df, [[key]])[0]
         hot = known.get(key, HotKeys())
-        on = [key]
-        if hot:
-            df = salt_spine(df, [key], hot, SALT)
-            on = [key, SALT]
-        for one in same_key:
-            features = one.read(spark)
-            taken = set(df.columns) & set(one.features)
+        plain = hot.rows_beside(df, [key]) if hot else df
+        frequent = hot.rows_of(df, [key]) if hot else None
+        for one, features in same_key:
+            taken = set(plain.columns) & set(one.features)
             if taken:
                 raise ValueError(f"columns exist already: {sorted(taken)}")
-            if features.schema[key].dataType != df.schema[key].dataType:
+            if features.schema[key].dataType != plain.schema[key].dataType:
                 raise TypeError(f"key {key} has another type in the feature table")
-            if check_unique:
-                assert_unique(features, [key])
+            plain = plain.join(features, key, "left")
             if hot:
-                features = repeat_rows(features, [key], hot, SALT)
-            df = df.join(features, on, "left")
-        if hot:
-            df = df.drop(SALT)
+                # At most one feature row for each hot key.
+                few = F.broadcast(hot.rows_of(features, [key]))
+                frequent = frequent.join(few, key, "left")
+        df = plain.unionByName(frequent) if hot else plain
     names = [name for one in lookups for name in one.features]
     return df.select(*spine.columns, *names)
 
 
+def _guaranteed(spark: SparkSession, one: FeatureLookup) -> bool:
+    """Whether the lookup's key is that of a feature table in the catalog."""
+    if not isinstance(one.table, str) or "/" in one.table:
+        return False
+    try:
+        return feature_table(spark, one.table).key == (one.table_key or one.key,)
+    except ValueError:
+        return False
+
+
+def _small(features: DataFrame) -> bool:
+    """Whether Spark's own estimate lets it broadcast the table."""
+    plan = features._jdf.queryExecution().optimizedPlan()
+    limit = features.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.stats().sizeInBytes())) <= limit
+
+
 @dataclass(frozen=True)
 class TrainingSet:
     """A joined frame and what is needed to score with the same features later."""
@@ -110,7 +131,7 @@ def training_set(
     label: str,
     exclude: Sequence[str] = (),
     hot_keys: Mapping[str, HotKeys] | None = None,
-    check_unique: bool = False,
+    check_unique: bool | None = None,
 ) -> TrainingSet:
     """Spine and looked-up features with the label, without the excluded columns."""
     if label not in spine.columns:

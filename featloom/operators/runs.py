@@ -7,10 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featloom.operators.keys import assert_unique
 from featloom.operators.lookup import FeatureLookup, lookup
 from featloom.operators.ranking import running_totals
 from featloom.operators.skew import HotKeys
@@ -21,12 +20,17 @@ PRODUCTION = "Production"
 ARCHIVED = "Archived"
 
 
+def _best_first(metric: str) -> Column:
+    """Falling, with NULL and NaN, the metric of a failed run, after all numbers."""
+    return F.nanvl(F.col(metric).cast("double"), F.lit(None)).desc_nulls_last()
+
+
 def champion(runs: DataFrame, metric: str, run_id: str = "run_id") -> DataFrame:
-    """The run with the highest metric; a missing metric comes last, ties go to the smallest id.
+    """The run with the highest metric; NULL and NaN come last, ties go to the smallest id.
 
     Each task keeps one row, so nothing is sorted as a whole.
     """
-    return runs.orderBy(F.col(metric).desc_nulls_last(), run_id).limit(1)
+    return runs.orderBy(_best_first(metric), run_id).limit(1)
 
 
 def champion_per_group(
@@ -37,16 +41,22 @@ def champion_per_group(
     The rank is limited to 1 on both sides of the shuffle, so a task sends one row per group, however
     large the group is.
     """
-    order = Window.partitionBy(by).orderBy(F.col(metric).desc_nulls_last(), run_id)
+    order = Window.partitionBy(by).orderBy(_best_first(metric), run_id)
     return runs.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
-def log_metrics(metrics: DataFrame, run_id: str, values: Mapping[str, float]) -> DataFrame:
-    """The long table ``(run_id, metric, value)`` with the metrics of one more run."""
-    rows = [(run_id, name, float(value)) for name, value in values.items()]
-    return metrics.unionByName(
-        metrics.sparkSession.createDataFrame(rows, "run_id string, metric string, value double")
-    )
+METRICS = "run_id string, metric string, value double"
+
+
+def metric_rows(spark: SparkSession, values: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """The metrics of some runs as rows ``(run_id, metric, value)``."""
+    rows = [(r, name, float(value)) for r, found in values.items() for name, value in found.items()]
+    return spark.createDataFrame(rows, METRICS)
+
+
+def log_metrics(metrics: DataFrame, values: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """The long table ``(run_id, metric, value)`` with the metrics of more runs, all in one step."""
+    return metrics.unionByName(metric_rows(metrics.sparkSession, values))
 
 
 def metrics_wide(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -69,8 +79,8 @@ def next_versions(
     """
     highest = versions.groupBy("name").agg(F.max("version").cast("bigint").alias("step"))
     # The highest number enters the running total as one more row, ahead of the new ones (its NULL
-    # run id sorts first), so no join meets a frequent name.
-    opening = highest.join(new.select("name").distinct(), "name", "left_semi").select(
+    # run id sorts first), so no join meets a frequent name and ``new`` is read once.
+    opening = highest.select(
         "name",
         F.lit(None).cast(new.schema["run_id"].dataType).alias("run_id"),
         "step",
@@ -112,15 +122,22 @@ def promote(
     error.
     """
     if check:
-        assert_unique(promotions, ["name"])
-        # Reduced to the promoted rows first: with few promotions no version is shuffled.
-        known = versions.join(promotions, ["name", "version"], "left_semi")
-        known = known.select("name", "version").distinct()
-        unknown = promotions.join(known, ["name", "version"], "left_anti").limit(1).collect()
-        if unknown:
-            raise LookupError(f"no such version: {unknown[0].asDict()}")
+        known = versions.select("name", "version", F.lit(1).alias("__known"))
+        # With few promotions Spark broadcasts them, and no version is shuffled.
+        found = promotions.select("name", "version").join(known, ["name", "version"], "left")
+        per_name = found.groupBy("name").agg(
+            F.countDistinct("version").alias("versions"), F.count("__known").alias("known")
+        )
+        wrong = per_name.filter("versions <> 1 OR known = 0").limit(1).collect()
+        if wrong and wrong[0]["versions"] > 1:
+            raise ValueError(f"promoted twice: {wrong[0]['name']}")
+        if wrong:
+            raise LookupError(f"no such version of {wrong[0]['name']}")
+        promotions = promotions.select("name", "version").distinct()
     target = promotions.select("name", F.col("version").alias("__promoted"))
-    joined = lookup(versions, FeatureLookup(target, ("__promoted",), "name"), hot_keys)
+    joined = lookup(
+        versions, FeatureLookup(target, ("__promoted",), "name"), hot_keys, check_unique=False
+    )
     moved = (
         F.when(F.col("version") == F.col("__promoted"), F.lit(stage))
         .when(F.col("__promoted").isNotNull() & (F.col("stage") == stage), F.lit(ARCHIVED))

@@ -1,25 +1,25 @@
-"""Detection and salting of hot join keys.
+"""Hot join keys: found in one scan, and joined apart from the ordinary ones.
 
 A spine may carry one key (or NULL) in a large share of its rows, and a hash-partitioned join
 would send all of them to one task. Hot keys are found in one pass over the key columns with a
-bounded sketch; each gets a number of parts that fits its share, its spine rows are spread over
-the parts, and its single feature row is repeated once per part. The sketch only steers the
-placement of rows, so its approximation never changes a result.
+bounded sketch. Their rows meet the few feature rows of hot keys where they are; all other rows are joined
+by the key alone, so a stored side keeps its buckets. The sketch only steers which way a row goes, so
+its approximation never changes a result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
 
-MAX_HOT_KEYS = 1000
-TRACKED_ITEMS = 4096
+MEAN_PARTITIONS = 4
+"""A key is hot above this many mean partitions, or a twentieth of the rows if that is less."""
 MERGE_GROUPS = 256
+HASH = "__hot_hash"
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -29,19 +29,22 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Key hashes by number of parts. At most ``MAX_HOT_KEYS`` in all."""
+    """A table of key hashes; it has fewer rows than there are shuffle partitions, or than 21."""
 
-    parts: dict[int, tuple[int, ...]] = field(default_factory=dict)
+    hashes: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.parts)
+        return self.hashes is not None
 
-    def parts_of(self, hashed: Column) -> Column:
-        """The number of parts of a key: a few set lookups on its hash, 1 for ordinary keys."""
-        value = F.lit(1)
-        for number, hashes in self.parts.items():
-            value = F.when(hashed.isin(*hashes), F.lit(number)).otherwise(value)
-        return value
+    def rows_of(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows with a hot key."""
+        hashed = df.withColumn(HASH, key_hash(keys))
+        return hashed.join(F.broadcast(self.hashes), HASH, "left_semi").drop(HASH)
+
+    def rows_beside(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows with an ordinary key."""
+        hashed = df.withColumn(HASH, key_hash(keys))
+        return hashed.join(F.broadcast(self.hashes), HASH, "left_anti").drop(HASH)
 
 
 def find_hot_keys(
@@ -50,11 +53,15 @@ def find_hot_keys(
     """Per set of key columns the keys that would overfill one shuffle partition.
 
     One scan of the key columns for all sets. Every task sketches its rows, groups of tasks merge
-    their sketches in parallel, and one row comes to the driver. The share of the rows that counts
-    as hot lies between 1/1000 and 1/20, so at most 1000 keys of a set can be hot.
+    their sketches in parallel, and one row comes to the driver. The sketch tracks a few times as many
+    keys as can be hot, so none of them is missed.
     """
+    spark = df.sparkSession
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1 / 20, MEAN_PARTITIONS / partitions)
+    most = math.ceil(1 / share)
+    tracked = min(1_000_000, max(4096, 1 << math.ceil(math.log2(8 * most))))
     names = [f"h{i}" for i in range(len(key_sets))]
     hashed = df.select(
         F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group"),
@@ -62,46 +69,21 @@ def find_hot_keys(
     )
     merged = hashed.groupBy("merge_group").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.expr(f"approx_top_k_accumulate({n}, {TRACKED_ITEMS})").alias(n) for n in names],
+        *[F.expr(f"approx_top_k_accumulate({n}, {tracked})").alias(n) for n in names],
     )
     # Grouped by a constant, so that an empty input gives no row: there is no sketch to combine.
     whole = merged.groupBy(F.lit("all")).agg(
         F.sum("n").alias("n"),
-        *[F.expr(f"approx_top_k_combine({n}, {TRACKED_ITEMS})").alias(n) for n in names],
+        *[F.expr(f"approx_top_k_combine({n}, {tracked})").alias(n) for n in names],
     )
     rows = whole.select(
-        "n", *[F.expr(f"approx_top_k_estimate({n}, {MAX_HOT_KEYS})").alias(n) for n in names]
+        "n", *[F.expr(f"approx_top_k_estimate({n}, {most})").alias(n) for n in names]
     ).collect()
     if not rows:
         return [HotKeys() for _ in names]
-    return [_parts(rows[0][n], rows[0]["n"], partitions) for n in names]
-
-
-def _parts(top: Sequence[Row], rows: int, partitions: int) -> HotKeys:
-    """A power of two of parts for every key above the share; most keys then share a number."""
-    share = min(1 / 20, max(4 / partitions, 1 / MAX_HOT_KEYS))
-    parts: dict[int, list[int]] = {}
-    for item in top:
-        if item["count"] > share * rows:
-            wanted = max(2, partitions * item["count"] / rows)
-            number = 1 << math.ceil(math.log2(wanted))
-            parts.setdefault(number, []).append(item["item"])
-    return HotKeys({number: tuple(found) for number, found in sorted(parts.items())})
-
-
-def salt_spine(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:
-    """Add the part a row belongs to.
-
-    It follows from the row and its input partition, so a recomputed task places its rows as before,
-    and equal rows are spread over the input partitions.
-    """
-    plain = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
-    parts = hot.parts_of(key_hash(keys))
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), *plain), parts).cast("int")
-    return df.withColumn(name, F.when(parts > 1, part).otherwise(0))
 
+    def above(top: Sequence[Row]) -> HotKeys:
+        found = [(item["item"],) for item in top if item["count"] > share * rows[0]["n"]]
+        return HotKeys(spark.createDataFrame(found, f"{HASH} bigint") if found else None)
 
-def repeat_rows(df: DataFrame, keys: Sequence[str], hot: HotKeys, name: str) -> DataFrame:
-    """Repeat each keyed row once per part of its key."""
-    last = hot.parts_of(key_hash(keys)) - 1
-    return df.withColumn(name, F.explode(F.sequence(F.lit(0), last)))
+    return [above(rows[0][n]) for n in names]

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -50,16 +51,46 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("_OWNED", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end all that was written to scratch paths inside, whatever happened.
+
+    Frames read their written rows when they are used, so use the results inside, too.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used before."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the written rows.
 
     Used where a frame is read several times and must be the same each time, also after the
-    loss of an executor. Being columnar, later passes read only the columns they need.
+    loss of an executor. Being columnar, later passes read only the columns they need. The rows
+    stay until the :func:`scratch_scope` around ends, or else the cluster clears the folder.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "checkpoint")

@@ -55,15 +55,27 @@ def read_csv_typed(
     schema: StructType | str,
     null_tokens: Sequence[str] = NULL_TOKENS,
     required: Sequence[str] = (),
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with a header row as the nullable columns of ``schema``.
 
     The file is read as text, the null tokens become NULL, and the rest is cast. The header must
     match the schema. A column in ``required`` fails on NULL. Quotes inside a quoted field are
-    doubled. A record is one line, so that large files stay splittable.
+    doubled. A record with too few or too many fields is an error. A record is one line, so that large
+    files stay splittable; with ``multiline`` quoted fields may hold line breaks, and each file is
+    one task's work.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     text_schema = StructType([StructField(f.name, StringType(), True) for f in schema])
-    raw = spark.read.csv(path, schema=text_schema, header=True, escape='"', enforceSchema=False)
+    # All fields are read, as otherwise nobody counts them.
+    reader = spark.read.option("columnPruning", False).option("mode", "FAILFAST")
+    raw = reader.csv(
+        path,
+        schema=text_schema,
+        header=True,
+        escape='"',
+        enforceSchema=False,
+        multiLine=multiline,
+    )
     return raw.select([_typed(f, null_tokens, f.name in required) for f in schema])

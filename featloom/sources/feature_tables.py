@@ -1,9 +1,10 @@
-"""Keyed feature tables: create, describe, merge, drop.
+"""Tables that change in one step: keyed feature tables, and the view over snapshots behind them.
 
-A feature table is a catalog view over the newest of a row of snapshot tables. A merge writes the
-next snapshot in full and then replaces the view in one catalog statement, so readers see the old
-rows or the new ones and a failed write leaves no trace. The view carries the key, the snapshot
-number and the layout as table properties. One writer per feature table at a time.
+A table is a catalog view over the newest of a row of snapshot tables. A change writes the next
+snapshot in full, checks it, and then replaces the view in one catalog statement, so readers see the old
+rows or the new ones and a failed write leaves no trace. The snapshot before stays for readers that
+have begun; older ones are removed. The view carries the key, the snapshot number and the layout
+as table properties. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from featloom.operators.keys import assert_unique
 from featloom.operators.upsert import upsert_rows
-from featloom.session import kept
+from featloom.session import checkpointed, delete_path
 
 PROPERTY = "featloom."
 
@@ -40,8 +42,8 @@ def _literal(text: str) -> str:
     return f"'{escaped}'"
 
 
-def _write(df: DataFrame, table: FeatureTable) -> None:
-    """Write the snapshot, then move the view to it."""
+def publish(df: DataFrame, table: FeatureTable) -> DataFrame:
+    """Write the snapshot, check its keys, move the view to it, and return the view."""
     spark = df.sparkSession
     writer = df.write.mode("overwrite").format("parquet")
     if table.buckets:
@@ -49,6 +51,13 @@ def _write(df: DataFrame, table: FeatureTable) -> None:
     if table.location:
         writer = writer.option("path", f"{table.location}/s{table.snapshot}")
     writer.saveAsTable(table.snapshot_name)
+    if table.key:
+        try:
+            # With buckets, the check reads the key columns where they are.
+            assert_unique(spark.table(table.snapshot_name), table.key)
+        except ValueError:
+            _remove(spark, table, table.snapshot)
+            raise
     properties = {
         "key": ",".join(table.key),
         "snapshot": str(table.snapshot),
@@ -61,6 +70,16 @@ def _write(df: DataFrame, table: FeatureTable) -> None:
         f"CREATE OR REPLACE VIEW {table.name} COMMENT {_literal(table.comment)} "
         f"TBLPROPERTIES ({listed}) AS SELECT * FROM {table.snapshot_name}"
     )
+    if table.snapshot >= 2:
+        _remove(spark, table, table.snapshot - 2)
+    return spark.table(table.name)
+
+
+def _remove(spark: SparkSession, table: FeatureTable, number: int) -> None:
+    """Drop a snapshot, with its files where the table has a location of its own."""
+    spark.sql(f"DROP TABLE IF EXISTS {table.name}__s{number}")
+    if table.location:
+        delete_path(spark, f"{table.location}/s{number}")
 
 
 def create_feature_table(
@@ -84,7 +103,7 @@ def create_feature_table(
     if absent:
         raise ValueError(f"key columns not in the schema: {absent}")
     table = FeatureTable(name, keys, comment, 0, buckets, location)
-    _write(spark.createDataFrame([], schema), table)
+    publish(spark.createDataFrame([], schema), table)
     return True
 
 
@@ -96,7 +115,7 @@ def feature_table(spark: SparkSession, name: str) -> FeatureTable:
         raise ValueError(f"{name} is not a feature table")
     return FeatureTable(
         name=name,
-        key=tuple(found[f"{PROPERTY}key"].split(",")),
+        key=tuple(filter(None, found[f"{PROPERTY}key"].split(","))),
         comment=found[f"{PROPERTY}comment"],
         snapshot=int(found[f"{PROPERTY}snapshot"]),
         buckets=int(found[f"{PROPERTY}buckets"]),
@@ -105,23 +124,33 @@ def feature_table(spark: SparkSession, name: str) -> FeatureTable:
 
 
 def merge(spark: SparkSession, name: str, updates: DataFrame) -> DataFrame:
-    """Update the rows whose key exists, insert the others, keep the rest; return the table."""
+    """Update the rows whose key exists, insert the others, keep the rest; return the table.
+
+    The first rows of a table are written as they come. Later updates are written once to the shared
+    folder, as the rows to replace and the rows to write must be the same.
+    """
     current = feature_table(spark, name)
+    following = replace(current, snapshot=current.snapshot + 1)
     if current.buckets:
-        # In the buckets of the table: neither the check nor the join nor the write moves the
+        # In the buckets of the table: neither the join nor the write nor the check moves the
         # rows again, and the stored rows stay where they are.
         updates = updates.repartition(current.buckets, *current.key)
-    with kept(updates) as rows:
-        merged = upsert_rows(spark.table(name), rows, current.key)
-        _write(merged, replace(current, snapshot=current.snapshot + 1))
-    return spark.table(name)
+    stored = spark.table(name)
+    if set(stored.columns) != set(updates.columns):
+        raise ValueError("target and updates have different columns")
+    if current.snapshot == 0:
+        return publish(updates.select(*stored.columns), following)
+    staged = checkpointed(updates)
+    if current.buckets:
+        staged = staged.repartition(current.buckets, *current.key)
+    return publish(upsert_rows(stored, staged, current.key, check=False), following)
 
 
 def drop_feature_table(spark: SparkSession, name: str) -> None:
-    """Drop the view and its snapshots if they exist; files at an explicit location stay."""
+    """Drop the view and its snapshots with their files if they exist."""
     if not spark.catalog.tableExists(name):
         return
     table = feature_table(spark, name)
     spark.sql(f"DROP VIEW IF EXISTS {name}")
-    for number in range(table.snapshot + 1):
-        spark.sql(f"DROP TABLE IF EXISTS {name}__s{number}")
+    for number in range(max(0, table.snapshot - 1), table.snapshot + 1):
+        _remove(spark, table, number)

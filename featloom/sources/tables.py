@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from featloom.sources.feature_tables import FeatureTable, feature_table, publish
+
 
 def load(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A table or view by name, or Parquet files by path (anything with a slash)."""
@@ -15,15 +18,17 @@ def load(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def save_overwrite(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Replace table ``name`` with ``df`` and return the table as read back.
+    """Replace table ``name`` with ``df`` in one step and return the table as read back.
 
-    The table is managed unless ``path`` places its files.
+    The new rows are complete before readers see any of them, and a failed write leaves the old
+    ones; ``df`` may read the table itself. The table is managed unless ``path`` places its files. A table
+    of that name that was not written by this function is an error.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark = df.sparkSession
+    table = FeatureTable(name, (), "", 0, 0, path)
+    if spark.catalog.tableExists(name):
+        table = replace(table, snapshot=feature_table(spark, name).snapshot + 1)
+    return publish(df, table)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -14,13 +13,22 @@ from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_prep
 from featloom.learning.score import (
     StoredModel,
     add_n,
+    evaluate_model,
+    load_current,
     load_model,
     save_model,
     score,
     score_batch,
     score_python,
 )
-from featloom.learning.search import SearchSpace, Trial, SearchResult, search, trials_until_stop
+from featloom.learning.search import (
+    SearchResult,
+    SearchSpace,
+    Trial,
+    fit_best,
+    search,
+    trials_until_stop,
+)
 from featloom.learning.train import (
     fit_validate_refit,
     predict,
@@ -50,7 +58,7 @@ def vectors(df):
 
 
 def test_preprocessing(spark, small):
-    """Levels sort as <empty>, a, b, c, missing; then the size with mode 1, then the flag."""
+    """Levels sort as the empty text, a, b, c, missing; then the size with mode 1, then the flag."""
     model = fit_preprocessor(small, SPEC)
     assert vectors(assemble(small, model)) == [
         [0, 1, 0, 0, 0, 1, 0],
@@ -73,15 +81,31 @@ def test_columns_with_few_and_many_levels(spark):
     assert (found.sum(axis=0)[:50] == 1).all()
 
 
-def test_too_many_levels_is_an_error(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("many"))
-    with pytest.raises(ValueError, match="many: 50 levels"):
-        fit_preprocessor(df, FeatureSpec(("many",), max_levels=49))
+@pytest.mark.parametrize("levels", [60, 200_000])
+def test_any_number_of_levels_trains(spark, levels):
+    """As many levels as rows, and more than a driver would want to hold."""
+    df = spark.range(levels).select(
+        F.col("id").cast("string").alias("many"),
+        F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("few"),
+        (F.col("id") % 3 == 0).cast("int").alias("y"),
+    )
+    spec = FeatureSpec(("many", "few"))
+    model = train_forest(df, spec, "y", trees=2, fraction=0.9)
+    unseen = spark.createDataFrame([("zz", "x", 1), (None, "y", 0), ("", "x", 1)], "many string, few string, y int")
+    found = predict(model, df.limit(500).unionByName(unseen))
+    assert found.count() == min(levels, 500) + 3
+    assert accuracy(found) == 1.0
+    assert dict(model.preprocessor.sizes) == {"many": levels, "few": 2}
+
+
+def test_nothing_to_learn_from(small):
+    with pytest.raises(ValueError, match="nothing to learn"):
+        fit_preprocessor(small.filter("isnan(size)"), SPEC)
 
 
 def test_fill(small):
     assert [r.level for r in fill_missing(small, SPEC).collect()] == [
-        "a", "b", "c", "missing", "<empty>",
+        "a", "b", "c", "missing", "",
     ]
 
 
@@ -115,20 +139,12 @@ def test_boosted_trees(labelled):
     assert found.filter("level IS NULL OR isnan(size)").count() > 0
 
 
-def test_indexed_levels(spark, small, labelled):
-    """One slot per column: the place of the level, and one place more for unseen levels."""
-    spec = replace(SPEC, one_hot=False)
-    model = fit_preprocessor(small, spec)
-    assert [v[0] for v in vectors(assemble(small, model))] == [1, 2, 3, 4, 0]
+def test_positions_of_levels(spark, small):
+    """One slot per column: the place of the level, and -1 for an unseen one."""
+    model = fit_preprocessor(small, SPEC)
+    assert [v[0] for v in vectors(assemble(small, model, one_hot=False))] == [1, 2, 3, 4, 0]
     unseen = spark.createDataFrame([("zz", None, "1")], small.schema)
-    assert vectors(assemble(unseen, model)) == [[5, 1, 1]]
-
-    train, held = split(labelled.withColumn("many", (F.col("id") % 60).cast("string")), "id")
-    spec = FeatureSpec(("level", "many"), ("size",), ("flag",), one_hot=False)
-    found = predict(train_forest(train, spec, "y", trees=3, fraction=0.9), held)
-    assert found.count() == held.count()
-    searched = search(train, held, spec, "y", SearchSpace(trees=(2, 3)), max_trials=1)
-    assert 0 <= searched.best.loss <= 1
+    assert vectors(assemble(unseen, model, one_hot=False)) == [[-1, 1, 1]]
 
 
 def test_forest_is_repeatable(labelled):
@@ -150,7 +166,9 @@ def test_refit_sees_all_rows(labelled):
     odd = labelled.withColumn("level", F.when(F.col("id") == held.first().id, "odd").otherwise(
         F.col("level")))
     models = fit_validate_refit(odd, SPEC, "y", "id", rounds=1)
-    levels = [m.stages[1].labelsArray[0] for m in (models.validated, models.model)]
+    levels = [
+        {r.level for r in m.preprocessor.levels.collect()} for m in (models.validated, models.model)
+    ]
     assert "odd" not in levels[0] and "odd" in levels[1]
 
 
@@ -200,6 +218,8 @@ def test_search_does_not_depend_on_parallelism(spark, labelled):
     assert frame.count() == len(found[0].trials)
     one = frame.first()
     assert one.f1 == round(one.f1, 3) and one.loss == found[0].trials[0].loss
+    best = fit_best(train, SPEC, "y", found[0])
+    assert best.trees.getNumTrees == found[0].best.trees
     tie = SearchResult(tuple(Trial(i, 2, 0.5, 0.1, 1, 1, 0.9) for i in range(2)))
     assert tie.best.trial == 0
 
@@ -214,7 +234,7 @@ def test_stored_model_scores_tables_and_ids(spark, labelled, tmp_path):
     rows = training_set(labelled.select("id", "y"), lookups, "y", ["id"])
     model = train_forest(rows.df, SPEC, "y", trees=3, fraction=0.7)
     path = f"{tmp_path}/model"
-    save_model(StoredModel(model, SPEC, rows.lookups), path, spark)
+    save_model(StoredModel(model, rows.lookups), path, spark)
     loaded = load_model(spark, path)
     assert (loaded.spec, loaded.lookups) == (SPEC, lookups)
 
@@ -223,6 +243,20 @@ def test_stored_model_scores_tables_and_ids(spark, labelled, tmp_path):
     assert scored.columns == [*table.columns, "predictions"]
     assert scored.schema["predictions"].dataType.simpleString() == "double"
     by_id = {r.id: r.predictions for r in scored.collect()}
+    with_chance = score(table, loaded, probability="chance")
+    assert with_chance.columns == [*scored.columns, "chance"]
+    assert with_chance.filter((F.col("chance") > 0.5) != (F.col("predictions") == 1)).count() == 0
+    found = evaluate_model(table, loaded, "y").first()
+    assert found.example_count == 1200 and found.accuracy == pytest.approx(accuracy(
+        scored.withColumnRenamed("predictions", "prediction")))
+    runs = spark.createDataFrame([("r", path)], "run_id string, location string")
+    versions = spark.createDataFrame(
+        [("m", 1, "r", "Production"), ("n", 1, "q", "Production")],
+        "name string, version int, run_id string, stage string",
+    )
+    assert load_current(spark, versions, runs, "m").spec == SPEC
+    with pytest.raises(LookupError):
+        load_current(spark, versions, runs, "n")
 
     ids = labelled.select("id").union(spark.createDataFrame([(10**6,)], "id bigint"))
     batch = score_batch(ids, loaded)
@@ -235,7 +269,7 @@ def test_stored_model_scores_tables_and_ids(spark, labelled, tmp_path):
         score(table.drop("size"), loaded)
     with pytest.raises(TypeError, match="name or path"):
         unnamed = (FeatureLookup(labelled, ("size",), "id"),)
-        save_model(StoredModel(model, SPEC, unnamed), path, spark)
+        save_model(StoredModel(model, unnamed), path, spark)
 
 
 def test_add_n(spark):

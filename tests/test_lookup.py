@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ from featloom.operators.lookup import (
     lookup_all,
     training_set,
 )
-from featloom.operators.skew import find_hot_keys, key_hash, repeat_rows, salt_spine
+from featloom.operators.skew import find_hot_keys, key_hash
 from featloom.operators.split import mark_split, split
+from featloom.sources.feature_tables import create_feature_table, drop_feature_table, merge
 
 
 @pytest.fixture
@@ -61,7 +64,7 @@ def test_errors(spine, features, spark):
         as_text = features.withColumn("id", F.col("id").cast("string"))
         lookup(spine, FeatureLookup(as_text, ("f",), "id"))
     with pytest.raises(ValueError, match="duplicate"):
-        lookup(spine, FeatureLookup(features.union(features), ("f",), "id"), check_unique=True)
+        lookup(spine, FeatureLookup(features.union(features), ("f",), "id"))
     with pytest.raises(ValueError, match="label"):
         training_set(spine, [], "z")
 
@@ -72,25 +75,35 @@ def skewed(spark):
     return spark.range(0, 30000, 1, 8).select(key.cast("bigint").alias("id"))
 
 
+def hashes(hot):
+    return {r[0] for r in hot.hashes.collect()}
+
+
 def test_hot_keys_are_found(spark):
     hot = find_hot_keys(skewed(spark), [["id"]], partitions=100)[0]
-    hashes = {h for found in hot.parts.values() for h in found}
     wanted = spark.createDataFrame([(7,), (None,)], "id bigint").select(key_hash(["id"])).collect()
-    assert hashes == {r[0] for r in wanted}
-    assert all(number >= 32 for number in hot.parts)
+    assert hashes(hot) == {r[0] for r in wanted}
     even = spark.range(30000).select((F.col("id") % 1000).alias("id"))
     assert not find_hot_keys(even, [["id"]], partitions=100)[0]
 
 
+def test_small_shares_are_hot_with_many_partitions(spark):
+    """With 10,000 partitions a key with 0.05 % of the rows holds five mean partitions."""
+    key = F.when(F.col("id") % 2000 == 0, -1).otherwise(F.col("id"))
+    df = spark.range(0, 400_000, 1, 8).select(key.alias("id"))
+    wanted = spark.createDataFrame([(-1,)], "id bigint").select(key_hash(["id"])).first()[0]
+    assert hashes(find_hot_keys(df, [["id"]], partitions=10_000)[0]) == {wanted}
+    assert not find_hot_keys(df, [["id"]], partitions=1000)[0]
+
+
 def test_several_keys_in_one_scan(spark):
     df = skewed(spark).withColumn("k", F.lit("same"))
     both = find_hot_keys(df, [["id"], ["k"], ["id", "k"]], partitions=100)
-    assert [sum(map(len, hot.parts.values())) for hot in both] == [2, 1, 2]
-    assert both[1].parts.keys() == {128}
-    assert find_hot_keys(df.filter("k = 'none'"), [["id"]])[0].parts == {}
+    assert [len(hashes(hot)) for hot in both] == [2, 1, 2]
+    assert not find_hot_keys(df.filter("k = 'none'"), [["id"]])[0]
 
 
-def test_salted_lookup_is_the_plain_lookup(spark):
+def test_lookup_with_hot_keys_is_the_plain_lookup(spark):
     df = skewed(spark)
     features = spark.range(400).select("id", (F.col("id") * 2).alias("f"))
     hot = find_hot_keys(df, [["id"]], partitions=100)[0]
@@ -106,37 +119,49 @@ def test_salted_lookup_is_the_plain_lookup(spark):
     )
 
 
-def test_equal_rows_of_a_hot_key_are_spread(spark):
-    df = skewed(spark)
-    hot = find_hot_keys(df, [["id"]], partitions=8)[0]
-    placed = salt_spine(df, ["id"], hot, "part").groupBy("id").agg(F.countDistinct("part").alias("n"))
-    spread = {r.id: r.n for r in placed.collect()}
-    assert spread[7] > 1 and spread[None] > 1
-    assert all(n == 1 for key, n in spread.items() if key not in (7, None))
-    repeated = repeat_rows(spark.createDataFrame([(7,), (8,)], "id bigint"), ["id"], hot, "part")
-    assert {r.id: r["count"] for r in repeated.groupBy("id").count().collect()} == {7: 4, 8: 1}
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_same_key_lookups_shuffle_the_spine_once(spark):
+def test_same_key_lookups_shuffle_the_spine_once(spark, no_broadcast):
     df = skewed(spark)
     features = spark.range(400).select("id", (F.col("id") * 2).alias("f"))
-    hot = find_hot_keys(df, [["id"]], partitions=100)[0]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = lookup_all(
-            df,
-            [
-                FeatureLookup(features, ("f",), "id"),
-                FeatureLookup(features.withColumnRenamed("f", "g"), ("g",), "id"),
-            ],
-            {"id": hot},
-        )
-        plan = found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lookups = [
+        FeatureLookup(features, ("f",), "id"),
+        FeatureLookup(features.withColumnRenamed("f", "g"), ("g",), "id"),
+    ]
+    found = lookup_all(df, lookups, {"id": find_hot_keys(df, [["id"]], partitions=100)[0]})
+    plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3
 
 
+def test_stored_side_keeps_its_buckets_under_a_hot_key(spark, no_broadcast):
+    name = f"stored_{uuid.uuid4().hex}"
+    rows = spark.range(400).select("id", (F.col("id") * 2).alias("f"))
+    create_feature_table(spark, name, "id", rows.schema, buckets=8)
+    merge(spark, name, rows)
+    df = skewed(spark)
+    found = lookup(df, FeatureLookup(name, ("f",), "id"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    plain = df.join(rows, "id", "left")
+    assert sorted(map(str, found.groupBy("id", "f").count().collect())) == sorted(
+        map(str, plain.groupBy("id", "f").count().collect())
+    )
+    drop_feature_table(spark, name)
+
+
+def test_small_tables_need_no_detection(spark, monkeypatch):
+    import featloom.operators.lookup as module
+
+    monkeypatch.setattr(module, "find_hot_keys", None)
+    small = spark.range(7, 8).select("id", F.lit(1).alias("f"))
+    assert lookup(skewed(spark), FeatureLookup(small, ("f",), "id")).count() == 30000
+
+
 def test_split_does_not_depend_on_placement(spark):
     df = spark.range(20000).withColumnRenamed("id", "key")
     train, validation = split(df, "key")

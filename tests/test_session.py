@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -41,3 +42,16 @@ def test_kept_rows_are_released(spark):
     with session.kept(spark.range(5)) as rows:
         assert rows.count() == 5 and rows.is_cached
     assert not rows.is_cached
+
+
+def test_scratch_is_removed(spark):
+    with session.scratch_scope(spark):
+        written = session.checkpointed(spark.range(5))
+        path = written.inputFiles()[0].removeprefix("file:").replace("///", "/")
+        assert written.count() == 5 and Path(path).exists()
+    assert not Path(path).parent.exists()
+    with pytest.raises(ZeroDivisionError), session.scratch_scope(spark):
+        path = session.scratch_path(spark, "a")
+        spark.range(3).write.parquet(path)
+        1 / 0
+    assert not Path(path.removeprefix("file:")).exists()

@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from featloom.plans.passengers import RAW_SCHEMA
+from featloom.session import scratch_scope
 from featloom.sources.csv import NULL_TOKENS, read_csv_typed
 from featloom.sources.feature_tables import (
     create_feature_table,
@@ -79,6 +81,50 @@ def test_tables_and_views(spark, tmp_path):
     assert load(spark, str(tmp_path / "files")).count() == 2
 
 
+def test_broken_records(spark, tmp_path):
+    text = 'a,b\n"x\ny",1\n"z",2\n'
+    whole = read_csv_typed(spark, write(tmp_path, text), "a string, b int", multiline=True)
+    assert sorted(map(tuple, whole.collect())) == [("x\ny", 1), ("z", 2)]
+    for wrong in (text, "a,b\n1,2,3\n", "a,b\n1\n"):
+        found = read_csv_typed(spark, write(tmp_path, wrong), "a string, b int")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            found.collect()
+        with pytest.raises(Exception, match="(?i)malformed"):
+            found.select("b").collect()
+
+
+def test_failed_overwrite_changes_nothing(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex}"
+    save_overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), name, f"{tmp_path}/t")
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("int").alias("k"), F.lit("b").alias("v"))
+    with pytest.raises(Exception, match="broken"):
+        save_overwrite(broken, name, f"{tmp_path}/t")
+    assert list(map(tuple, spark.table(name).collect())) == [(1, "a")]
+    # a table may be replaced by rows read from itself
+    for _ in range(4):
+        more = spark.table(name).select((F.col("k") + 1).alias("k"), "v")
+        save_overwrite(more, name, f"{tmp_path}/t")
+    assert list(map(tuple, spark.table(name).collect())) == [(5, "a")]
+    assert len(list((tmp_path / "t").iterdir())) == 2
+    plain = f"t_{uuid.uuid4().hex}"
+    spark.range(2).write.saveAsTable(plain)
+    with pytest.raises(ValueError, match="not a feature table"):
+        save_overwrite(spark.range(3), plain)
+
+
+def test_storage_does_not_grow(spark, tmp_path):
+    name = f"features_{uuid.uuid4().hex}"
+    create_feature_table(spark, name, "id", rows(spark, (1, "a")).schema, buckets=2, location=f"{tmp_path}/t")
+    with scratch_scope(spark):
+        for k in range(10):
+            merge(spark, name, rows(spark, (k % 3, f"v{k}")))
+    assert content(spark.table(name)) == [(0, "v9"), (1, "v7"), (2, "v8")]
+    assert len(list((tmp_path / "t").iterdir())) == 2
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith(f"{name}__")]) == 2
+    drop_feature_table(spark, name)
+    assert list((tmp_path / "t").iterdir()) == []
+
+
 @pytest.fixture(params=[0, 4])
 def feature_name(spark, request):
     name = f"features_{uuid.uuid4().hex}"

@@ -67,7 +67,7 @@ def test_workflow(spark, tmp_path):
     logged = []
     for name, model in models.items():
         place = f"{tmp_path}/{name}"
-        save_model(StoredModel(model, p.FLAT_SPEC), place, spark)
+        save_model(StoredModel(model), place, spark)
         found = evaluate_classifier(predict(model, held), label=p.LABEL).first()
         assert found.example_count == held.count() and found.f1 > 0.6 and found.roc_auc > 0.7
         logged.append((name, place, found.f1))
@@ -83,7 +83,7 @@ def test_workflow(spark, tmp_path):
     scored = save_overwrite(score(flat, stored), f"predictions_{uuid.uuid4().hex}")
     assert scored.columns == [*flat.columns, "predictions"] and scored.count() == 300
 
-    save_model(StoredModel(refit.model, p.LOOKUP_SPEC, data.lookups), f"{tmp_path}/refit", spark)
+    save_model(StoredModel(refit.model, data.lookups), f"{tmp_path}/refit", spark)
     batch = score_batch(spine.select(p.ID), load_model(spark, f"{tmp_path}/refit"))
     assert batch.count() == 300
     right = batch.join(spine, p.ID).filter(F.col("prediction") == F.col(p.LABEL)).count()

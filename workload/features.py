@@ -45,7 +45,7 @@ PAGE_NUMBER = r"page=([0-9]+)"
 
 
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers written as CSV with empty and NA fields, read back with types."""
+    """Customers written as CSV with empty and NA fields and line breaks, read back with types."""
     customer = table(spark, sf_dir, "customer")
     segment = F.col("c_mktsegment")
     path = scratch_path(spark, "customers")
@@ -55,10 +55,10 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("c_acctbal").cast("string")
             ),
             "c_nationkey": F.when(segment != "BUILDING", F.col("c_nationkey")),
-            "c_name": F.concat(F.lit('"'), "c_name", F.lit('", Jr.')),
+            "c_name": F.concat(F.lit('"'), "c_name", F.lit('",\nJr.')),
         }
     ).write.csv(path, header=True, escape='"')
-    return read_csv_typed(spark, path, customer.schema, required=["c_custkey"])
+    return read_csv_typed(spark, path, customer.schema, required=["c_custkey"], multiline=True)
 
 
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,9 +232,18 @@ QUERIES = {
     "age_bands": age_bands,
 }
 
+FLAT_FEATURES = f"""
+        WITH {RAW_PASSENGERS}
+        SELECT PassengerId, Sex, {AGE} AS Age, SibSp, {NAME_PREFIX} AS NamePrefix,
+               round(Fare, 0) AS FareRounded, substr(Cabin, 1, 1) AS CabinChar, Embarked, Parch,
+               Pclass, {CABIN_MULTI} AS CabinMulti, Survived,
+               CASE WHEN {NAME_SECONDARY} IS NOT NULL THEN '1' ELSE '0' END AS NameMultiple,
+               CASE WHEN {TICKET_CHARS} IS NULL THEN '1' ELSE '0' END AS MissingTicketChars
+        FROM raw"""
+
 ORACLES = {
     "scan_csv": """
-        SELECT c_custkey, '"' || c_name || '", Jr.' AS c_name,
+        SELECT c_custkey, '"' || c_name || '",' || chr(10) || 'Jr.' AS c_name,
                CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS c_nationkey,
                CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_acctbal END AS c_acctbal,
                c_mktsegment
@@ -306,14 +315,7 @@ ORACLES = {
         SELECT "column", level,
                row_number() OVER (PARTITION BY "column" ORDER BY level) - 1 AS position
         FROM found""",
-    "feature_table_flat": f"""
-        WITH {RAW_PASSENGERS}
-        SELECT PassengerId, Sex, {AGE} AS Age, SibSp, {NAME_PREFIX} AS NamePrefix,
-               round(Fare, 0) AS FareRounded, substr(Cabin, 1, 1) AS CabinChar, Embarked, Parch,
-               Pclass, {CABIN_MULTI} AS CabinMulti, Survived,
-               CASE WHEN {NAME_SECONDARY} IS NOT NULL THEN '1' ELSE '0' END AS NameMultiple,
-               CASE WHEN {TICKET_CHARS} IS NULL THEN '1' ELSE '0' END AS MissingTicketChars
-        FROM raw""",
+    "feature_table_flat": FLAT_FEATURES,
     "feature_table_demo": f"""
         WITH {RAW_PASSENGERS}
         SELECT PassengerId, Name, Sex, {AGE} AS Age, SibSp, {NAME_PREFIX} AS NamePrefix,

@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_validation(key: str, seed: int = 123, percent: int = 25) -> str:
+    """Whether a row is held out, in SQL: the split's hash of seed and key."""
+    return f"('0x' || substr(md5(concat('{seed}:', {key})), 1, 8))::BIGINT % 100 < {percent}"
+
+
 def raw_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the shape of the raw passenger rows, with NULL and NaN in places.
 

@@ -101,7 +101,7 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey",
         target.schema,
         "Balances by customer",
-        buckets=8,
+        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
         location=scratch_path(spark, name),
     )
     merge(spark, name, target)

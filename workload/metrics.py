@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,18 @@ from featloom.operators.runs import (
     current_versions,
     metrics_wide,
     promote,
+    run,
 )
 from featloom.operators.split import mark_split
+from featloom.session import scratch_path
+from featloom.sources.feature_tables import create_feature_table, drop_feature_table, merge
+from featloom.sources.registry import (
+    create_metrics,
+    create_versions,
+    promote_stored,
+    record_metrics,
+    register,
+)
 from workload.inputs import GRADED, graded_documents, table
 
 DIGITS = 6
@@ -54,11 +66,17 @@ def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as runs: the customer is the group, the price the metric; open orders have none."""
+    """Orders as runs: the customer is the group, the price the metric.
+
+    Open orders have none, and that of urgent ones is not a number.
+    """
+    score = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(float("nan"))).otherwise(
+        F.col("o_totalprice")
+    )
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("run_id"),
         F.col("o_custkey").alias("experiment"),
-        F.when(F.col("o_orderstatus") != "O", F.col("o_totalprice")).alias("f1_score"),
+        F.when(F.col("o_orderstatus") != "O", score).alias("f1_score"),
     )
 
 
@@ -137,6 +155,57 @@ def metrics_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics_wide(logged, PRIORITIES)
 
 
+def recorded_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of metrics: the largest order of each priority, then urgent ones anew."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("run_id"),
+        F.col("o_orderpriority").alias("metric"),
+        F.col("o_totalprice").alias("value"),
+    )
+    largest = orders.groupBy("run_id", "metric").agg(F.max("value").alias("value"))
+    again = largest.filter("metric = '1-URGENT'").withColumn("value", F.lit(0.0))
+    more = largest.filter("metric = '5-LOW'").withColumn("metric", F.lit("low"))
+    name = f"metrics_{uuid.uuid4().hex}"
+    create_metrics(spark, name, scratch_path(spark, name))
+    record_metrics(spark, name, largest)
+    return record_metrics(spark, name, again.unionByName(more))
+
+
+def registered_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of versions: suppliers by nation, the newest of each nation promoted twice."""
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string")).alias("name"),
+        F.format_string("s%010d", "s_suppkey").alias("run_id"),
+        (F.col("s_acctbal") > 0).alias("early"),
+    )
+    name = f"versions_{uuid.uuid4().hex}"
+    create_versions(spark, name, scratch_path(spark, name))
+    for early in (True, False):
+        register(spark, name, suppliers.filter(F.col("early") == early).select("name", "run_id"))
+        newest = spark.table(name).groupBy("name").agg(F.max("version").alias("version"))
+        promote_stored(spark, name, newest)
+    return spark.table(name)
+
+
+def run_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the runs of the largest order's customer lie; runs are orders, the file is the price."""
+    runs_table = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("run_id"), F.col("o_totalprice").cast("string").alias("location")
+    )
+    return run(runs_table, best_run(spark, sf_dir).first()["run_id"])
+
+
+def dropped_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature table of all customers: how many rows it has, and whether it is there once dropped."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    name = f"dropped_{uuid.uuid4().hex}"
+    create_feature_table(spark, name, "c_custkey", customers.schema, location=scratch_path(spark, name))
+    rows = merge(spark, name, customers).count()
+    drop_feature_table(spark, name)
+    there = spark.catalog.tableExists(name)
+    return spark.createDataFrame([(rows, there)], "n_rows bigint, there boolean")
+
+
 QUERIES = {
     "weighted_prf": prf,
     "prf_by_split": prf_by_split,
@@ -150,6 +219,10 @@ QUERIES = {
     "promote": promoted,
     "current_version": current_version,
     "metrics_pivot": metrics_pivot,
+    "recorded_metrics": recorded_metrics,
+    "registered_versions": registered_versions,
+    "run_location": run_locations,
+    "dropped_table": dropped_table,
 }
 
 
@@ -210,6 +283,14 @@ areas AS (
          sum(pos * (precision + precision_before) / 2) / sum(pos) AS pr_auc
   FROM steps)"""
 
+RUNS = """
+runs AS (
+  SELECT o_orderkey AS run_id, o_custkey AS experiment,
+         CASE WHEN o_orderstatus = 'O' THEN NULL
+              WHEN o_orderpriority = '1-URGENT' THEN 'NaN'::DOUBLE
+              ELSE o_totalprice END AS f1_score
+  FROM orders)"""
+
 ORACLES = {
     "weighted_prf": f"""
         WITH {GRADED}, {_prf_sql("graded", "1")}""".replace("SELECT part, round", "SELECT round"),
@@ -237,16 +318,16 @@ ORACLES = {
                round(log_loss, 6) AS log_loss, round(roc_auc, 6) AS roc_auc,
                round(pr_auc, 6) AS pr_auc
         FROM outcomes o, loss, areas""",
-    "best_run": """
-        SELECT o_orderkey AS run_id, o_custkey AS experiment,
-               CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS f1_score
-        FROM orders ORDER BY f1_score DESC NULLS LAST, run_id LIMIT 1""",
-    "champion_per_group": """
-        SELECT o_orderkey AS run_id, o_custkey AS experiment,
-               CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS f1_score
-        FROM orders
-        QUALIFY row_number() OVER (PARTITION BY experiment
-                                   ORDER BY f1_score DESC NULLS LAST, run_id) = 1""",
+    "best_run": f"""
+        WITH {RUNS}
+        SELECT * FROM runs
+        ORDER BY CASE WHEN NOT isnan(f1_score) THEN f1_score END DESC NULLS LAST, run_id LIMIT 1""",
+    "champion_per_group": f"""
+        WITH {RUNS}
+        SELECT * FROM runs
+        QUALIFY row_number() OVER (
+          PARTITION BY experiment
+          ORDER BY CASE WHEN NOT isnan(f1_score) THEN f1_score END DESC NULLS LAST, run_id) = 1""",
     "next_version": """
         WITH models AS (
           SELECT o_orderkey, o_orderstatus, c_mktsegment AS name
@@ -289,4 +370,35 @@ ORACLES = {
         for name in PRIORITIES
     )
     + " FROM orders GROUP BY o_custkey",
+    "recorded_metrics": """
+        WITH largest AS (
+          SELECT CAST(o_custkey AS VARCHAR) AS run_id, o_orderpriority AS metric,
+                 max(o_totalprice) AS value
+          FROM orders GROUP BY ALL)
+        SELECT run_id, metric, CASE WHEN metric = '1-URGENT' THEN 0.0::DOUBLE ELSE value END AS value
+        FROM largest
+        UNION ALL SELECT run_id, 'low', value FROM largest WHERE metric = '5-LOW'""",
+    "registered_versions": """
+        WITH placed AS (
+          SELECT 'nation_' || s_nationkey AS name, format('s{:010d}', s_suppkey) AS run_id,
+                 s_acctbal > 0 AS early FROM supplier),
+        numbered AS (
+          SELECT name, run_id, early,
+                 row_number() OVER (PARTITION BY name ORDER BY NOT early, run_id) AS version
+          FROM placed),
+        newest AS (
+          SELECT name, max(version) AS last, max(version) FILTER (early) AS last_early
+          FROM numbered GROUP BY name)
+        SELECT n.name, CAST(version AS INTEGER) AS version, run_id,
+               CASE WHEN version = last THEN 'Production'
+                    WHEN version = last_early THEN 'Archived' ELSE 'None' END AS stage
+        FROM numbered n JOIN newest m ON n.name = m.name""",
+    "run_location": f"""
+        WITH {RUNS}
+        SELECT o_orderkey AS run_id, CAST(o_totalprice AS VARCHAR) AS location
+        FROM orders
+        WHERE o_orderkey = (
+          SELECT run_id FROM runs
+          ORDER BY CASE WHEN NOT isnan(f1_score) THEN f1_score END DESC NULLS LAST, run_id LIMIT 1)""",
+    "dropped_table": "SELECT count(*) AS n_rows, false AS there FROM customer",
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from featloom.learning import score as scoring
 from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor
-from featloom.learning.search import search
+from featloom.learning.search import fit_best, search
 from featloom.learning.train import (
     fit_validate_refit,
     predict,
@@ -21,8 +23,8 @@ from featloom.learning.train import (
     train_gbt,
     train_gbt_regressor,
 )
-from featloom.operators.lookup import FeatureLookup, lookup, training_set
-from featloom.operators.split import split
+from featloom.operators.lookup import FeatureLookup, feature_columns, lookup, training_set
+from featloom.operators.split import VALIDATION, mark_split, split
 from featloom.plans.passengers import (
     FLAT_SPEC,
     ID,
@@ -33,9 +35,9 @@ from featloom.plans.passengers import (
     passenger_lookups,
     ticket_features,
 )
-from featloom.session import scratch_path
+from featloom.session import checkpointed, scratch_path
 from featloom.sources.feature_tables import create_feature_table, merge
-from workload.features import MEASURED, measured_events
+from workload.features import FLAT_FEATURES, MEASURED, measured_events
 from workload.inputs import (
     AGE,
     CABIN_MULTI,
@@ -43,10 +45,11 @@ from workload.inputs import (
     NAME_SECONDARY,
     RAW_PASSENGERS,
     TICKET_CHARS,
+    is_validation,
     raw_passengers,
     table,
 )
-from workload.joins import spine_and_lookups
+from workload.joins import TRAINING_SET, spine_and_lookups
 
 
 def impute_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,79 +100,145 @@ def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DEPTH = 8
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    """``rows`` with a label that is an exact function of the language."""
+    return rows.withColumn(LABEL, F.col("Sex").isin("en", "fr").cast("int"))
+
+
 def _labelled_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat features of the labelled documents, with their quality as the label."""
-    spine = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").cast("string").alias(ID), F.col("quality").alias(LABEL)
-    )
+    """Flat features of the labelled documents, stored with their split.
+
+    The label follows from the language alone, so that a right model makes no mistake.
+    """
+    spine = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias(ID))
     flat = flat_features(raw_passengers(spark, sf_dir))
-    return lookup(spine, FeatureLookup(flat, tuple(FLAT_SPEC.columns), ID))
+    rows = lookup(spine, FeatureLookup(flat, tuple(FLAT_SPEC.columns), ID))
+    return checkpointed(mark_split(_labelled(rows), ID))
+
+
+def _parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return rows.filter(~F.col(VALIDATION)), rows.filter(VALIDATION)
 
 
 def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, validation = split(_labelled_flat(spark, sf_dir), ID)
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
     model = train_gbt(train, FLAT_SPEC, LABEL)
-    return predict(model, validation).select(ID, LABEL, "prediction", "score")
+    return predict(model, validation).select(ID, LABEL, "prediction")
 
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, validation = split(_labelled_flat(spark, sf_dir), ID)
-    model = train_forest(train, FLAT_SPEC, LABEL, trees=40, fraction=0.7)
-    return predict(model, validation).select(ID, LABEL, "prediction", "score")
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
+    model = train_forest(train, FLAT_SPEC, LABEL, trees=40, fraction=0.7, depth=DEPTH)
+    return predict(model, validation).select(ID, LABEL, "prediction")
 
 
 def _looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine, lookups = spine_and_lookups(spark, sf_dir)
-    return training_set(spine, lookups, LABEL).df
+    rows = training_set(spine, lookups, LABEL).df
+    return _labelled(rows)
 
 
 def refit_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _looked_up(spark, sf_dir)
+    rows = checkpointed(_looked_up(spark, sf_dir))
     refit = fit_validate_refit(rows, LOOKUP_SPEC, LABEL, ID)
-    return predict(refit.model, rows).select(ID, LABEL, "prediction", "score")
+    return predict(refit.model, rows).select(ID, LABEL, "prediction")
 
 
 def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, validation = split(_labelled_flat(spark, sf_dir), ID)
-    return search(train, validation, FLAT_SPEC, LABEL, parallelism=8).to_df(spark)
+    """The trials of a search that cannot do better than its first trial, and so stops early."""
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
+    found = search(train, validation, FLAT_SPEC, LABEL, parallelism=8, depth=DEPTH).to_df(spark)
+    return found.select(
+        "trial",
+        F.col("trees").between(20, 100).alias("trees_in_range"),
+        F.col("fraction").between(0.5, 0.9).alias("fraction_in_range"),
+        "loss",
+        "precision",
+        "recall",
+        "f1",
+    )
+
+
+def searched_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of the forest that is fitted with the best settings of a short search."""
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
+    found = search(train, validation, FLAT_SPEC, LABEL, max_trials=4, parallelism=4, depth=DEPTH)
+    model = fit_best(train, FLAT_SPEC, LABEL, found, depth=DEPTH)
+    return predict(model, validation).select(ID, LABEL, "prediction")
 
 
 def gbt_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out vectors with a number that follows from their label, one more part of the vector."""
+    parts = F.concat(F.col("embedding").cast("array<double>"), F.array(F.col("label").cast("double")))
     vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        "label",
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+        "vec_id", (F.col("label") % 3 * 2.5 - 1).alias("target"), array_to_vector(parts).alias("features")
     )
     train, held_out = split(vectors, "vec_id", test=0.2, seed=42)
-    model = train_gbt_regressor(train, "features", "label")
-    return model.transform(held_out).select("vec_id", "label", "prediction")
+    model = train_gbt_regressor(train, "features", "target")
+    return model.transform(held_out).select(
+        "vec_id", "target", F.round("prediction", 6).alias("prediction")
+    )
+
+
+def _stored_forest(spark: SparkSession, rows: DataFrame) -> str:
+    """The folder of a forest of labelled rows."""
+    model = train_forest(rows, FLAT_SPEC, LABEL, trees=20, fraction=0.7, depth=DEPTH)
+    path = scratch_path(spark, "model")
+    scoring.save_model(scoring.StoredModel(model), path, spark)
+    return path
 
 
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store a model trained on the labelled rows, load it, and score the whole flat table."""
-    model = train_forest(_labelled_flat(spark, sf_dir), FLAT_SPEC, LABEL, trees=20, fraction=0.7)
-    path = scratch_path(spark, "model")
-    scoring.save_model(scoring.StoredModel(model, FLAT_SPEC), path, spark)
+    path = _stored_forest(spark, _labelled_flat(spark, sf_dir))
     return scoring.score(
         flat_features(raw_passengers(spark, sf_dir)), scoring.load_model(spark, path)
     )
 
 
+def production_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the name of the model: its version in production, that version's run, its files."""
+    path = _stored_forest(spark, _labelled_flat(spark, sf_dir))
+    runs = spark.createDataFrame(
+        [("r1", "/nowhere"), ("r2", path)], "run_id string, location string"
+    )
+    versions = spark.createDataFrame(
+        [("language", 1, "r1", "Archived"), ("language", 2, "r2", "Production"), ("other", 3, "r1", "Production")],
+        "name string, version int, run_id string, stage string",
+    )
+    stored = scoring.load_current(spark, versions, runs, "language")
+    flat = flat_features(raw_passengers(spark, sf_dir))
+    return scoring.score(flat, stored).select(ID, "predictions")
+
+
+def stored_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of a stored model on rows that it was not trained on."""
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
+    stored = scoring.load_model(spark, _stored_forest(spark, train))
+    found = scoring.evaluate_model(validation, stored, LABEL)
+    return found.drop("log_loss")
+
+
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill two feature tables, train on them, store the model, and score bare ids with it."""
     raw = raw_passengers(spark, sf_dir)
     names = []
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for label, frame in (("ticket", ticket_features(raw)), ("people", demographic_features(raw))):
         name = f"{label}_{uuid.uuid4().hex}"
         location = scratch_path(spark, name)
-        create_feature_table(spark, name, ID, frame.schema, label, 8, location)
+        create_feature_table(spark, name, ID, frame.schema, label, buckets, location)
         merge(spark, name, frame)
         names.append(name)
     spine, _ = spine_and_lookups(spark, sf_dir)
-    rows = training_set(spine, passenger_lookups(*names), LABEL, [ID])
-    model = train_forest(rows.df, LOOKUP_SPEC, LABEL, trees=20, fraction=0.7)
+    data = training_set(spine, passenger_lookups(*names), LABEL, [ID])
+    rows = _labelled(data.df)
+    model = train_forest(rows, LOOKUP_SPEC, LABEL, trees=20, fraction=0.7, depth=DEPTH)
     path = scratch_path(spark, "model")
-    scoring.save_model(scoring.StoredModel(model, LOOKUP_SPEC, rows.lookups), path, spark)
+    scoring.save_model(scoring.StoredModel(model, data.lookups), path, spark)
     return scoring.score_batch(spine.select(ID), scoring.load_model(spark, path))
 
 
@@ -184,21 +253,35 @@ def add_five(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def python_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A linear model in Python that is decoded once per task."""
-    stored = json.dumps(WEIGHTS)
+    """A linear model in Python, from a file that is shipped to the executors and read once per task."""
+    folder = Path(tempfile.mkdtemp(prefix="weights-"))
+    artifact = folder / f"{uuid.uuid4().hex}.json"
+    artifact.write_text(json.dumps(WEIGHTS))
 
     def linear(weights: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
         return np.round(rows.to_numpy(dtype="float64") @ weights, 6)
 
+    def read(path: str) -> np.ndarray:
+        with open(path) as file:
+            return np.array(json.load(file))
+
     return scoring.score_python(
         table(spark, sf_dir, "lineitem"),
         inputs=NUMBERS,
-        load=lambda _: np.array(json.loads(stored)),
+        load=read,
         predict=linear,
         keep=["l_orderkey", "l_linenumber"],
+        artifact=str(artifact),
     )
 
 
+def feature_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the features of its training set, as text: all columns but label and id."""
+    spine, lookups = spine_and_lookups(spark, sf_dir)
+    rows = training_set(spine, lookups, LABEL).df
+    return rows.select(ID, F.lit(",".join(sorted(feature_columns(rows, LABEL, [ID])))).alias("features"))
+
+
 QUERIES = {
     "impute_constant": impute_constant,
     "one_hot": one_hot,
@@ -208,9 +291,13 @@ QUERIES = {
     "forest_predictions": forest_predictions,
     "refit_predictions": refit_predictions,
     "search_trials": search_trials,
+    "searched_forest": searched_forest,
     "gbt_regression": gbt_regression,
     "score_table": score_table,
     "score_batch": score_batch,
+    "production_scores": production_scores,
+    "stored_evaluation": stored_evaluation,
+    "feature_list": feature_list,
     "add_n": add_five,
     "python_model": python_model,
 }
@@ -225,10 +312,57 @@ LEVELS = " + ".join(
     f"(SELECT count(DISTINCT coalesce({c}, 'missing')) FROM flat)" for c in FLAT_SPEC.categorical
 )
 
+LABELLED = f"""
+labelled AS (
+  SELECT CAST(l.doc_id AS VARCHAR) AS PassengerId,
+         CASE WHEN d.lang IN ('en', 'fr') THEN 1 ELSE 0 END AS Survived,
+         {is_validation("l.doc_id")} AS is_validation
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+HELD_OUT = f"""
+WITH {LABELLED}
+SELECT PassengerId, Survived, CAST(Survived AS DOUBLE) AS prediction
+FROM labelled WHERE is_validation"""
+
 ORACLES = {
+    "gbt_predictions": HELD_OUT,
+    "forest_predictions": HELD_OUT,
+    "searched_forest": HELD_OUT,
+    "refit_predictions": f"""
+        WITH {LABELLED}
+        SELECT PassengerId, Survived, CAST(Survived AS DOUBLE) AS prediction FROM labelled""",
+    "search_trials": """
+        SELECT CAST(range AS INTEGER) AS trial, true AS trees_in_range, true AS fraction_in_range,
+               0.0::DOUBLE AS loss, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1
+        FROM range(25)""",
+    "gbt_regression": f"""
+        SELECT vec_id, label % 3 * 2.5::DOUBLE - 1 AS target, label % 3 * 2.5::DOUBLE - 1 AS prediction
+        FROM embeddings WHERE {is_validation("vec_id", seed=42, percent=20)}""",
+    "score_table": f"""
+        SELECT *, CASE WHEN Sex IN ('en', 'fr') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predictions
+        FROM ({FLAT_FEATURES})""",
+    "production_scores": """
+        SELECT CAST(doc_id AS VARCHAR) AS PassengerId,
+               CASE WHEN lang IN ('en', 'fr') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predictions
+        FROM documents""",
+    "stored_evaluation": f"""
+        WITH {LABELLED}
+        SELECT count(*) FILTER (Survived = 0) AS true_negatives, 0::BIGINT AS false_positives,
+               0::BIGINT AS false_negatives, count(*) FILTER (Survived = 1) AS true_positives,
+               count(*) AS example_count, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision,
+               1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS roc_auc, 1.0::DOUBLE AS pr_auc
+        FROM labelled WHERE is_validation""",
+    "score_batch": f"""
+        WITH {TRAINING_SET}
+        SELECT CAST(doc_id AS VARCHAR) AS PassengerId, * EXCLUDE (doc_id, Survived),
+               CASE WHEN Sex IN ('en', 'fr') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+        FROM training_set""",
+    "feature_list": f"""
+        SELECT CAST(doc_id AS VARCHAR) AS PassengerId, '{",".join(sorted(LOOKUP_SPEC.columns))}' AS features
+        FROM labels""",
     "impute_constant": """
         SELECT d.doc_id,
-               CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN l.toxic = 1 THEN '<empty>'
+               CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN l.toxic = 1 THEN ''
                     ELSE CAST(l.quality AS VARCHAR) END AS quality
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "one_hot": "SELECT p_partkey, "
