@@ -20,10 +20,12 @@ LEAF = 8
 """Bytes that are merged directly."""
 DECODED = 4096
 """Ids that are decoded directly."""
-REMEMBERED = 400_000
-"""Words, and pairs of tokens, that a worker remembers before it starts again."""
+REMEMBERED = 300_000
+"""Words, matches, leaves and seams, of each so many, that a worker remembers before it starts again."""
 # white space as Unicode has it, which is what the vocabulary's pattern goes by
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# a match of the pattern, with a stop or comma after it
+PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]*)")
 # a word with one space before it, or white space as far as no word takes its last character
 WORD = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
@@ -39,7 +41,9 @@ class ByteBpe:
         self.digits = {rank: str(rank).encode() for rank in self.tokens}
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[int, ...]] = {}
-        self.fitting: dict[tuple[int, int], bool] = {}
+        self.matches: dict[str, tuple[int, ...]] = {}
+        self.leaves: dict[bytes, list[int]] = {}
+        self.seams: dict[tuple[int, int], list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
         """The ids of a whole text; words are looked up before they are encoded."""
@@ -48,11 +52,19 @@ class ByteBpe:
         for word in WORD.findall(text):
             found = known.get(word)
             if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[word] = tuple(
-                    i for match in self.pattern.findall(word) for i in self.encode_match(match.encode())
-                )
+                found = kept(known, word, self.encode_word(word))
+            ids += found
+        return ids
+
+    def encode_word(self, word: str) -> tuple[int, ...]:
+        """The ids of the pattern's matches in a word; they are met in other words again."""
+        plain = PLAIN.fullmatch(word)
+        parts = self.pattern.findall(word) if plain is None else [x for x in plain.groups() if x]
+        ids: tuple[int, ...] = ()
+        for match in parts:
+            found = self.matches.get(match)
+            if found is None:
+                found = kept(self.matches, match, tuple(self.encode_match(match.encode())))
             ids += found
         return ids
 
@@ -64,7 +76,8 @@ class ByteBpe:
     def reduced(self, data: bytes) -> list[int]:
         """The ids of bytes: those of the two halves, joined."""
         if len(data) <= LEAF:
-            return self.merged(data)
+            found = self.leaves.get(data)
+            return kept(self.leaves, data, self.merged(data)) if found is None else found
         middle = len(data) // 2
         return self.join(self.reduced(data[:middle]), self.reduced(data[middle:]))
 
@@ -79,26 +92,27 @@ class ByteBpe:
         if not left or not right:
             return left or right
         i, j = 1, 1
+        window = self.seam(left[-1], right[0])
         while True:
-            # by concatenation: what both halves hold is joined again from its bytes
-            data = b"".join(map(self.tokens.__getitem__, left[-i:] + right[:j]))
-            window = self.merged(data)
             fits_left = i == len(left) or self.fits(left[-i - 1], window[0])
             fits_right = j == len(right) or self.fits(window[-1], right[j])
             if fits_left and fits_right:
                 return left[: len(left) - i] + window + right[j:]
             i += not fits_left
             j += not fits_right
+            window = self.merged(b"".join(map(self.tokens.__getitem__, left[-i:] + right[:j])))
 
-    def fits(self, a: int, b: int) -> bool:
-        """Whether two tokens stay as they are when they meet."""
-        found = self.fitting.get((a, b))
+    def seam(self, a: int, b: int) -> list[int]:
+        """The ids of the bytes of two tokens."""
+        found = self.seams.get((a, b))
         if found is None:
-            if len(self.fitting) >= REMEMBERED:
-                self.fitting.clear()
-            found = self.fitting[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+            found = kept(self.seams, (a, b), self.merged(self.tokens[a] + self.tokens[b]))
         return found
 
+    def fits(self, a: int, b: int) -> bool:
+        """Whether two tokens stay as they are when they meet."""
+        return len(window := self.seam(a, b)) == 2 and window[0] == a
+
     def merged(self, data: bytes) -> list[int]:
         """Merge the neighbours of the lowest rank, the leftmost first, until none are left."""
         ranks = self.ranks
@@ -128,6 +142,14 @@ class ByteBpe:
 NEVER = 1 << 62
 
 
+def kept(memory: dict, key: object, value: object) -> object:
+    """``value``, remembered; a full memory starts again."""
+    if len(memory) >= REMEMBERED:
+        memory.clear()
+    memory[key] = value
+    return value
+
+
 @lru_cache(2)
 def vocabulary(path: str) -> ByteBpe:
     """A vocabulary, read once per worker."""
