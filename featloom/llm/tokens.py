@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from functools import lru_cache
 
 import public_tokenizers
@@ -10,9 +12,11 @@ from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END = 1
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 """Words that a worker remembers; beyond, it forgets them and starts again."""
-LATIN = "ɐ"
+STEMS = 900_000
+"""The same for words without capitals and marks."""
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
 def byte_characters() -> dict[int, str]:
@@ -24,9 +28,6 @@ def byte_characters() -> dict[int, str]:
 
 BYTES = byte_characters()
 
-_WORDS: dict[str, dict[bytes, bytes]] = {}
-_STEMS: dict[str, dict[bytes, bytes]] = {}
-
 
 @lru_cache(2)
 def tokenizer(path: str) -> Tokenizer:
@@ -35,53 +36,64 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-def token_ids(text: bytes, path: str = WORD_BPE) -> bytes:
-    """The ids of a UTF-8 text, as little-endian unsigned 32-bit numbers, without an end id.
+class Stems(dict):
+    """The ids of plain words and marks, found when they are first asked for."""
 
-    The vocabulary drops white space, and no token or normalisation reaches across it, so a text's
-    ids are those of its words one after another.
-    """
-    known = _WORDS.setdefault(path, {})
-    words = text.split()
-    new = set(words).difference(known)
-    if new:
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set(words)
-        learn(known, new, path)
-    return b"".join(map(known.__getitem__, words))
+    def __init__(self, model: Tokenizer) -> None:
+        super().__init__()
+        self.model, self.merges = model, model.model
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if len(self) >= STEMS:
+            self.clear()
+        text = piece.decode()
+        if LATIN.fullmatch(text) and text.islower():
+            # one unit for the merges already; they work on characters that stand for bytes
+            characters = text if text.isascii() else piece.decode("latin-1").translate(BYTES)
+            ids = [token.id for token in self.merges.tokenize(characters)]
+        else:
+            ids = self.model.encode(text, add_special_tokens=False).ids
+        found = self[piece] = array("I", ids).tobytes()
+        return found
 
 
-def learn(known: dict[bytes, bytes], words: set[bytes], path: str) -> None:
-    """Encode words and remember their ids.
+class Words(dict):
+    """The ids of words as they stand in a text.
 
     The vocabulary is of lower case, and letters never share a token with what follows them, so a
     Latin word in capitals or before a stop or comma has the ids of the plain word, and then those
     of the mark.
     """
-    stems = _STEMS.setdefault(path, {})
-    parts: dict[bytes, tuple[bytes, ...]] = {}
-    for word in words:
+
+    def __init__(self, stems: Stems) -> None:
+        super().__init__()
+        self.stems = stems
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
         stem = word.rstrip(b".,")
-        plain = stem.decode()
-        if plain.isalpha() and max(plain) < LATIN:
-            low = plain.lower().encode()
-            parts[word] = (low, word[len(stem) :]) if len(stem) < len(word) else (low,)
+        text = stem.decode()
+        if LATIN.fullmatch(text):
+            found = self.stems[text.lower().encode()]
+            if len(stem) < len(word):
+                found += self.stems[word[len(stem) :]]
         else:
-            parts[word] = (word,)
-    need = {x for pair in parts.values() for x in pair}.difference(stems)
-    if need:
-        if len(stems) + len(need) > REMEMBERED:
-            stems.clear()
-            need = {x for pair in parts.values() for x in pair}
-        model = tokenizer(path)
-        for piece in need:
-            letters = piece.decode()
-            if letters.isalpha() and max(letters) < LATIN and letters == letters.lower():
-                # one unit for the merges already; they work on characters that stand for bytes
-                ids = [t.id for t in model.model.tokenize(piece.decode("latin-1").translate(BYTES))]
-            else:
-                ids = model.encode(letters, add_special_tokens=False).ids
-            stems[piece] = b"".join(i.to_bytes(4, "little") for i in ids)
-    for word, pieces in parts.items():
-        known[word] = stems[pieces[0]] if len(pieces) == 1 else stems[pieces[0]] + stems[pieces[1]]
+            found = self.stems[word]
+        self[word] = found
+        return found
+
+
+@lru_cache(2)
+def known_words(path: str) -> Words:
+    """What this worker remembers of a vocabulary."""
+    return Words(Stems(tokenizer(path)))
+
+
+def token_ids(text: bytes, path: str = WORD_BPE) -> bytes:
+    """The ids of a UTF-8 text, as little-endian unsigned 32-bit numbers, without an end id.
+
+    The vocabulary drops white space, and no token or normalisation reaches across it, so a text's
+    ids are those of its words one after another.
+    """
+    return b"".join(map(known_words(path).__getitem__, text.split()))
