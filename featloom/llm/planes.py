@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from featloom.llm.common import Batches, map_batches, present, ship, text_bytes, to_arrow
 from featloom.llm.tokens import END, WORD_BPE, token_ids
+from featloom.operators.ranking import running_totals
 from featloom.session import checkpointed, scratch_path
 
 BLOCK = 4096
@@ -181,12 +182,10 @@ def read_planes(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame
     Files are whole rows of Spark's binary source, each of bounded size. A document starts after the ids
     of all files before its own, of which a table of one row per file is summed up.
     """
-    from pyspark.sql import Window
-
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    before = F.sum("n_ids").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1))
-    starts = files.select("file_no", F.coalesce(before, F.lit(0)).alias("first"))
+    upto = running_totals(files.select("file_no", "n_ids"), "file_no", {"upto": F.col("n_ids")})
+    starts = upto.select("file_no", (F.col("upto") - F.col("n_ids")).alias("first"))
 
     def make(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {n: [] for n in ("file_no", "doc_id", "start", "n_tokens", "ids_crc32")}
