@@ -9,12 +9,14 @@ How the work is spread. Texts are read in blocks. A block counts its (word, cont
 them to buckets of words. A bucket holds everything about its words but the totals of the restaurants, which
 are summed over buckets (a few thousand numbers) and handed to the next pass. Every bucket then gives each
 block the probabilities of the pairs the block asked for, and blocks add them up by document. A frequent
-word has at most ``CLASSES`` pairs in each block, so no bucket gets much more than the others.
+word has at most ``CLASSES`` pairs in each block. Where so many blocks ask that a bucket gets large, its
+questions are dealt to several tasks, which add up their counts first; the sum has each pair once.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +36,8 @@ BLOCK = 8_000_000
 """Bytes of text after which a block ends."""
 BUCKET = 2_000_000
 """Bytes of text for each bucket of words."""
+HOT_BUCKET = 64_000_000
+"""Bytes of a bucket's questions above which they are dealt to several tasks."""
 FOLDS, HELD = 7, 2
 BURN_IN = 2
 SAMPLES = 3
@@ -191,20 +195,57 @@ def stored(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder).where(F.col("kind") == kind)
 
 
-def in_buckets(rows: DataFrame) -> DataFrame:
-    """One row per bucket of words: the blocks that asked, what they asked, and what needs seating."""
-    schema = "bucket int, blocks array<long>, asked array<binary>, seating binary"
+def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame, DataFrame]:
+    """What needs seating in each bucket of words; and who asked a bucket what, in one row or several.
+
+    A bucket with several rows of questions has its counts with each of them as ``whole``.
+    """
+    rows = rows.select("block", "bucket", "data")
+    sizes = rows.groupBy("bucket").agg(F.sum(F.octet_length("data")).alias("size"))
+    hot = checkpointed(
+        sizes.where(F.col("size") > hot_bytes).select(
+            F.col("bucket").alias("hot"), F.ceil(F.col("size") / hot_bytes).alias("parts")
+        )
+    )
+    schema = "bucket int, blocks array<long>, asked array<binary>, whole binary, seating binary"
     arrow = to_arrow(rows.sparkSession, schema)
 
-    def gather(key: tuple, part: pa.Table) -> pa.Table:
-        part = part.sort_by("block").combine_chunks()
-        asked = part.column("data").to_pylist()
-        seating = pressed(*to_seat(Bucket(asked)))
-        values = [[key[0].as_py()], [part.column("block").to_pylist()], [asked], [seating]]
-        arrays = [pa.array(v, f.type) for v, f in zip(values, arrow, strict=True)]
-        return pa.Table.from_arrays(arrays, schema=arrow)
+    def gathered(hot: bool) -> Callable[[tuple, pa.Table], pa.Table]:
+        def gather(key: tuple, part: pa.Table) -> pa.Table:
+            part = part.sort_by("block").combine_chunks()
+            asked = part.column("data").to_pylist()
+            bucket = Bucket(asked)
+            whole, seating = (bucket.as_question(), None) if hot else (None, pressed(*to_seat(bucket)))
+            row = key[0].as_py(), part.column("block").to_pylist(), asked, whole, seating
+            arrays = [pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)]
+            return pa.Table.from_arrays(arrays, schema=arrow)
+
+        return gather
+
+    if hot.isEmpty():
+        buckets = checkpointed(rows.groupBy("bucket").applyInArrow(gathered(False), schema))
+        return buckets.select("bucket", "seating"), buckets.drop("seating")
+    cold = rows.join(hot, rows["bucket"] == hot["hot"], "left_anti")
+    cold = checkpointed(cold.groupBy("bucket").applyInArrow(gathered(False), schema))
+    dealt = rows.join(hot, rows["bucket"] == hot["hot"]).select(
+        "block", "bucket", "data", F.pmod(F.xxhash64("block"), F.col("parts")).alias("part")
+    )
+    parts = checkpointed(dealt.groupBy("bucket", "part").applyInArrow(gathered(True), schema))
+    merged = "bucket int, whole binary, seating binary"
+
+    def add_up(key: tuple, part: pa.Table) -> pa.Table:
+        bucket = Bucket(part.column("whole").to_pylist())
+        row = key[0].as_py(), bucket.as_question(), pressed(*to_seat(bucket))
+        kinds = pa.int32(), pa.binary(), pa.binary()
+        columns = [pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)]
+        return pa.Table.from_arrays(columns, names=["bucket", "whole", "seating"])
 
-    return checkpointed(rows.select("block", "bucket", "data").groupBy("bucket").applyInArrow(gather, schema))
+    wholes = checkpointed(parts.select("bucket", "whole").groupBy("bucket").applyInArrow(add_up, merged))
+    seating = cold.select("bucket", "seating").unionByName(wholes.select("bucket", "seating"))
+    hot_rows = parts.drop("whole", "seating").join(wholes, "bucket")
+    names = ["bucket", "blocks", "asked", "whole"]
+    questions = cold.select(*names).unionByName(hot_rows.select(*names))
+    return seating, questions
 
 
 class Bucket:
@@ -224,6 +265,19 @@ class Bucket:
         self.word, self.context = pairs // CLASSES, pairs % CLASSES
         self.total = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
 
+    def as_question(self) -> bytes:
+        """The bucket in the form in which a block sends its part of it."""
+        pairs = np.bincount(self.word, minlength=len(self.words))
+        return pressed(
+            self.words.astype("<u8"), pairs.astype("<u2"), self.context.astype("<u2"), self.count.astype("<u4")
+        )
+
+    def places_in(self, whole: Bucket) -> tuple[np.ndarray, np.ndarray]:
+        """Where this bucket's words and pairs are in one that has them all."""
+        word = np.searchsorted(whole.words, self.words)
+        key = word[self.word] * CLASSES + self.context
+        return word, np.searchsorted(whole.word * CLASSES + whole.context, key)
+
 
 def to_seat(bucket: Bucket) -> list[np.ndarray]:
     """Customers by context; per trained word its pairs with one customer; the other pairs.
@@ -371,24 +425,25 @@ def discount_of(once: int, twice: int) -> float:
     return min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
 
 
-def answers(buckets: DataFrame, totals: Totals) -> DataFrame:
+def answers(questions: DataFrame, totals: Totals) -> DataFrame:
     """For every block and bucket the log10 probabilities of pairs, and the counts of words.
 
     Probabilities are the mean of the predictive ones of ``SAMPLES`` seatings.
     """
     schema = "block long, bucket int, logs binary, counts binary"
-    arrow = to_arrow(buckets.sparkSession, schema)
+    arrow = to_arrow(questions.sparkSession, schema)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for row in batch.to_pylist():
                 bucket = Bucket(row["asked"])
-                logs = np.log10(mean_probability(bucket, opened(row["seating"]), row["bucket"], totals))
-                logs = logs.astype("<f4")[bucket.pair_at]
-                counts = bucket.total.astype("<u4" if bucket.total.max(initial=0) < 1 << 32 else "<u8")
-                counts = counts[bucket.word_at]
-                pairs = np.split(logs, np.cumsum(bucket.n_pairs)[:-1])
-                words = np.split(counts, np.cumsum(bucket.n_words)[:-1])
+                whole = Bucket([row["whole"]]) if row["whole"] else bucket
+                seen = mean_probability(whole, to_seat(whole), row["bucket"], totals)
+                logs = np.log10(seen).astype("<f4")
+                word, pair = bucket.places_in(whole)
+                counts = whole.total.astype("<u4" if whole.total.max(initial=0) < 1 << 32 else "<u8")
+                pairs = np.split(logs[pair][bucket.pair_at], np.cumsum(bucket.n_pairs)[:-1])
+                words = np.split(counts[word][bucket.word_at], np.cumsum(bucket.n_words)[:-1])
                 n = len(row["blocks"])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -400,7 +455,7 @@ def answers(buckets: DataFrame, totals: Totals) -> DataFrame:
                     schema=arrow,
                 )
 
-    return buckets.mapInArrow(run, schema)
+    return questions.mapInArrow(run, schema)
 
 
 def mean_probability(bucket: Bucket, arrays: list[np.ndarray], seed: int, totals: Totals) -> np.ndarray:
@@ -421,7 +476,9 @@ def mean_probability(bucket: Bucket, arrays: list[np.ndarray], seed: int, totals
     return total / SAMPLES
 
 
-def scored(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def scored(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot_bytes: int = HOT_BUCKET
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Null texts are empty and have the end alone. Equal rows are trained on and scored each. Without any
@@ -431,9 +488,9 @@ def scored(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     size = docs.agg(F.sum(F.octet_length(present(text)))).first()[0] or 0
     folder = counted(docs, text, doc_id, max(16, -(-size // BUCKET)))
     uses = stored(spark, folder, USES)
-    buckets = in_buckets(stored(spark, folder, COUNTS))
-    first = totals_of(buckets, None)
-    totals = totals_of(buckets, first)
+    seating, questions = in_buckets(stored(spark, folder, COUNTS), hot_bytes)
+    first = totals_of(seating, None)
+    totals = totals_of(seating, first)
     n_train, n_words = int(first.customers.sum()), first.words
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -465,7 +522,7 @@ def scored(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
         return pa.Table.from_arrays(columns, schema=arrow)
 
     both = uses.select("block", "data", "about").groupBy("block").cogroup(
-        answers(buckets, totals).groupBy("block")
+        answers(questions, totals).groupBy("block")
     )
     return both.applyInArrow(add_up, schema)
 

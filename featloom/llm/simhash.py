@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.llm.common import Batches, map_batches, present, ship, text_bytes, to_arrow, without
+from featloom.llm.common import (
+    Batches,
+    map_batches,
+    present,
+    ship,
+    text_bytes,
+    to_arrow,
+    whole_groups,
+    without,
+)
 from featloom.llm.components import components
 from featloom.session import checkpointed
 
@@ -161,8 +168,8 @@ def near_links(fps: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFram
     arrow = to_arrow(fps.sparkSession, schema)
 
     def run(batches: Batches) -> Batches:
-        for rows in whole_pairs(batches):
-            a, b = joined(rows)
+        for whole in whole_groups(batches, ["turn", "pa", "pb", "depth"], FLUSH):
+            a, b = joined({c: whole.column(c).to_numpy().astype(np.int64) for c in whole.column_names})
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=arrow)
 
     return rows.select("turn", "pa", "pb", "depth", "side", "v").mapInArrow(run, schema)
@@ -193,35 +200,6 @@ def split_pairs(pairs: DataFrame, step: int) -> DataFrame:
     )
 
 
-def whole_pairs(batches: Batches) -> Iterator[dict[str, np.ndarray]]:
-    """The rows of a partition in portions that end where a pair of nodes ends."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= FLUSH:
-            whole = columns(held)
-            keys = np.stack([whole[c] for c in ("turn", "pa", "pb", "depth")])
-            change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0))
-            if len(change):
-                end = int(change[-1]) + 1
-                yield {k: x[:end] for k, x in whole.items()}
-                held = [pa.RecordBatch.from_pydict({k: x[end:] for k, x in whole.items()})]
-                rows -= end
-    if rows:
-        yield columns(held)
-
-
-def columns(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
-    """Batches as one array per column."""
-    names = ("turn", "pa", "pb", "depth", "side", "v")
-    return {
-        n: np.concatenate([b.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for b in batches])
-        for n in names
-    }
-
-
 def joined(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest, as fingerprints, of the links inside the given pairs of nodes."""
     value = rows["v"].view(np.uint64)

@@ -139,6 +139,20 @@ def test_language_model(spark, clashes):
     assert scored(plain.frame(spark, [])).count() == 0
 
 
+def test_large_buckets_are_dealt(spark, monkeypatch):
+    """With small blocks and a low limit, some or all buckets are dealt to several tasks."""
+    import featloom.llm.pitman_yor as lm
+
+    monkeypatch.setattr(lm, "BLOCK", 500)
+    docs = plain.frame(spark, plain.awkward(9) + [(300 + k, "the cat sat on the mat") for k in range(80)])
+
+    def rows(hot_bytes):
+        found = scored(docs, hot_bytes=hot_bytes).collect()
+        return sorted((r["doc_id"] or -1, r["n_known"], round(r["base_score"], 6), round(r["score"], 4)) for r in found)
+
+    assert rows(1 << 30) == rows(1500) == rows(100)
+
+
 def test_model_probabilities_sum_to_one(spark):
     """Documents of one word: the chances of all words after the start, and of a new one, are one."""
     rng = random.Random(2)
