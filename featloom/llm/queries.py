@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featloom.llm import quality, urls
 from featloom.llm.bytebpe import round_trip
 from featloom.llm.common import table
 from featloom.llm.crf import extracted
@@ -17,7 +18,7 @@ from featloom.llm.planes import encoded_files
 from featloom.llm.quality import judged
 from featloom.llm.repeats import repeat_report
 from featloom.llm.simhash import near_groups
-from featloom.llm.urls import judged_urls
+from featloom.llm.urls import Rule, judged_urls
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,8 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = pages.join(labels, pages["page_id"] == labels["doc_id"]).select(
         "url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
     )
-    return judged_urls(pages, outcomes)
+    found = judged_urls(pages, outcomes)
+    return found.withColumns({n: F.round(n, 6) for n in ("rate", "low")})
 
 
 def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +49,8 @@ def op4_island_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdicts of all documents, with the source as host."""
-    return judged(table(spark, sf_dir, "documents")).drop("text_hash")
+    found = judged(table(spark, sf_dir, "documents")).drop("text_hash")
+    return found.withColumn("rate", F.round("rate", 6))
 
 
 def op6_block_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +93,97 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_trie": op10_simhash_trie,
 }
 
+
+
+def prior_sql(name: str, groups: str) -> str:
+    """The prior of ``beta_prior`` over ``groups`` (n, k), as one row with mean and size."""
+    return f"""
+        {name}_sums AS (
+          SELECT count(*) AS c, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(k) AS DOUBLE) AS k,
+                 sum(CAST(n AS DOUBLE) * n) AS s, sum(CAST(k AS DOUBLE) * k / n) AS q
+          FROM {groups}),
+        {name}_mean AS (SELECT *, k / n AS m FROM {name}_sums),
+        {name}_inner AS (
+          SELECT m, CASE WHEN n - s / n - (c - 1) > 0
+                         THEN (q - n * m * m - (c - 1) * m * (1 - m)) / (n - s / n - (c - 1))
+                              / (m * (1 - m)) ELSE 1 END AS i
+          FROM {name}_mean),
+        {name} AS (SELECT m, 1 / least(greatest(i, 1e-4), 0.99) - 1 AS size FROM {name}_inner)"""
+
+
+def rule_sql(host: str, path: str, rules: Sequence[Rule], wanted: str) -> str:
+    """What ``wanted`` says of the longest rule that fits."""
+    lines = [
+        f"WHEN (({host} = '{r.host}') OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') "
+        f"THEN '{r.text if wanted == 'rule' else r.verdict}'"
+        for r in sorted(rules, key=lambda r: (len(r.text), r.text), reverse=True)
+    ]
+    return "CASE " + " ".join(lines) + " END"
+
+
+BLANK = r"[\x20\x09-\x0D]"
+HOST = r"""translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
 ORACLES: dict[str, str] = {
+    "op1_url_reputation": f"""
+        WITH parts AS (SELECT page_id, {HOST} AS host, {PATH} AS path FROM pages),
+        hosts AS (
+          SELECT host, array_to_string(string_split(host, '.')[-3:], '.') AS domain,
+                 array_to_string(string_split(host, '.')[-2:], '.') AS suffix,
+                 count(*) AS n, count(*) FILTER (quality = 0 OR toxic = 1) AS k
+          FROM parts JOIN labels ON page_id = doc_id WHERE host <> '' GROUP BY ALL),
+        domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+        suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
+        {prior_sql("top", "suffixes")}, {prior_sql("middle", "domains")}, {prior_sql("low", "hosts")},
+        by_suffix AS (SELECT suffix, (k + m * size) / (n + size) AS above FROM suffixes, top),
+        by_domain AS (
+          SELECT domain, (d.k + above * size) / (d.n + size) AS above
+          FROM domains d JOIN by_suffix USING (suffix), middle),
+        by_host AS (
+          SELECT host, (h.k + above * size) / (h.n + size) AS rate, h.n + size AS total
+          FROM hosts h JOIN by_domain USING (domain), low),
+        bounds AS (
+          SELECT host, rate, rate - {urls.SURE} * sqrt(rate * (1 - rate) / (total + 1)) AS low FROM by_host)
+        SELECT page_id, host, path, {rule_sql("host", "path", urls.RULES, "rule")} AS rule,
+               coalesce({rule_sql("host", "path", urls.RULES, "verdict")},
+                        CASE WHEN low > {urls.BOUND} THEN 'block' ELSE 'allow' END) AS verdict,
+               round(rate, 6) AS rate, round(low, 6) AS low
+        FROM parts LEFT JOIN bounds USING (host)""",
+    "op5_host_rules": f"""
+        WITH texts AS (
+          SELECT doc_id, source AS host, coalesce(text, '') AS t,
+                 list_filter(string_split_regex(coalesce(text, ''), '{BLANK}+'), lambda x: x <> '') AS w,
+                 list_filter(string_split(coalesce(text, ''), chr(10)),
+                             lambda x: regexp_replace(x, '{BLANK}', '', 'g') <> '') AS lines
+          FROM documents),
+        windows AS (
+          SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM texts)),
+        counted AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM windows),
+        covered AS (
+          SELECT doc_id, count(DISTINCT i + j) AS n
+          FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS j FROM counted WHERE c > 1) GROUP BY doc_id),
+        measured AS (
+          SELECT t.doc_id, host, CAST(len(w) AS BIGINT) AS n_words,
+                 CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                 CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                 CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                 CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+          FROM texts t LEFT JOIN covered c ON t.doc_id = c.doc_id),
+        judged AS (
+          SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
+        hosts AS (
+          SELECT host, count(*) AS n, count(*) FILTER (base_failed) AS k FROM judged GROUP BY host),
+        {prior_sql("prior", "hosts")},
+        rated AS (SELECT host, n, size, (k + m * size) / (n + size) AS rate FROM hosts, prior),
+        verdicts AS (
+          SELECT host, round(rate, 6) AS rate,
+                 rate - {quality.SURE} * sqrt(rate * (1 - rate) / (n + size + 1)) > {quality.MAX_RATE} AS rejected
+          FROM rated)
+        SELECT j.*, rate, rejected, NOT base_failed AND NOT rejected AS kept
+        FROM judged j JOIN verdicts v ON j.host = v.host""",
     "op9_heavy_hitter_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
