@@ -156,7 +156,11 @@ def write_planes(
             name = f"{root}/ids-{number:015d}.planes"
             with store.open_output_stream(f"{name}.{attempt}") as out:
                 out.write(file.finish())
-            store.move(f"{name}.{attempt}", name)
+            if store.get_file_info(name).type == fs.FileType.NotFound:
+                store.move(f"{name}.{attempt}", name)
+            else:
+                # an attempt before this one got as far, with the same rows
+                store.delete_file(f"{name}.{attempt}")
             values = [number], [f"{folder}/ids-{number:015d}.planes"], [file.n_docs], [file.n_ids]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, f.type) for v, f in zip(values, arrow, strict=True)], schema=arrow
