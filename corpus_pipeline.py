@@ -12,7 +12,7 @@ from featloom.llm.packing import packed
 from featloom.llm.quality import drop_low_quality
 from featloom.llm.repeats import cut_repeats
 from featloom.llm.simhash import drop_near
-from featloom.session import checkpointed
+from featloom.session import delete_path, scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -52,10 +52,20 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = checkpointed(stage(spark, docs, sf_dir))
+    """All stages on ``documents``, each written as Parquet and read again by the next.
+
+    What a stage wrote on its way goes when it is done, and its result when the next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs
 
 
