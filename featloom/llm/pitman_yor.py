@@ -1,58 +1,65 @@
 """A hierarchical Pitman-Yor language model over words, with seatings sampled by Gibbs.
 
-The restaurant of a context, the class of the word before, has the restaurant of all words as its
-parent, and that one a uniform base over the words known and one more. Customers are tokens; each table
-of a context sends one customer to the parent. Contexts are ``CLASSES`` hash classes of whole words, so
-that the totals of all contexts have a fixed size; words are never cut to a vocabulary.
+The restaurant of a context, the word before, has the restaurant of all words as its parent, and that one
+a uniform base over the words known and one more. Customers are tokens; each table of a context sends one
+customer to the parent. Words and contexts are known by their 64-bit hash; every word before has a
+restaurant of its own, and neither words nor contexts are cut.
 
 How the work is spread. Texts are read in blocks. A block counts its (word, context) pairs and sends
-them to buckets of words. A bucket holds everything about its words but the totals of the restaurants, which
-are summed over buckets (a few thousand numbers) and handed to the next pass. Every bucket then gives each
-block the probabilities of the pairs the block asked for, and blocks add them up by document. A frequent
-word has at most ``CLASSES`` pairs in each block. Where so many blocks ask that a bucket gets large, its
-questions are dealt to several tasks, which add up their counts first; the sum has each pair once.
+them to buckets: a range of words, split by context so that a frequent word is spread over several. Buckets
+know the pairs, and tables by pair; what belongs to a word or a context as a whole is summed in shards of
+keys, a table that is joined by key: a bucket sends a shard one number for each key it has, however often
+the key occurs, and gets the totals back. Sweeps and this exchange alternate, with the seatings written in
+between. In the end every bucket gives each block the probabilities of the pairs the block asked for, and
+blocks add them up by document. Where so many blocks ask that a bucket gets large, its questions are dealt to
+several tasks, which add up their counts first; the sum has each pair once.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm.common import Batches, present, ship, text_bytes, to_arrow
-from featloom.session import checkpointed, scratch_path
+from featloom.llm.common import Batches, map_batches, present, ship, text_bytes, to_arrow
+from featloom.session import checkpointed, delete_path, scratch_path
 
-CLASSES = 1024
-START = 0
+START = np.uint64(0x57A257A257A257A2)
 END = np.uint64(0xE0D0E0D0E0D0E0D0)
 BLOCK = 8_000_000
 """Bytes of text after which a block ends."""
 BUCKET = 2_000_000
 """Bytes of text for each bucket of words."""
+SHARD = 16_000_000
+"""Bytes of text for each shard of words or contexts."""
 HOT_BUCKET = 64_000_000
 """Bytes of a bucket's questions above which they are dealt to several tasks."""
 FOLDS, HELD = 7, 2
 BURN_IN = 2
 SAMPLES = 3
+MOST_PASSES = 12
+SETTLED = 0.01
+"""Passes end when all tables together change by less than this share, after burn-in and samples."""
 SINGLE_STEPS = 16
 """Customers of a dish that are seated one by one; then seating jumps from new table to new table."""
 STRENGTH = 1.0
 
 USES, COUNTS = "uses", "counts"
+WORDS, CONTEXTS = 0, 1
 
 
 class Totals(NamedTuple):
-    """What all restaurants together know: by context, and of the parent."""
+    """What all restaurants together know of the parent, and the discounts."""
 
-    customers: np.ndarray
-    tables: np.ndarray
     parent_customers: int
     parent_tables: int
     words: int
@@ -76,14 +83,24 @@ def word_hashes(text: bytes) -> np.ndarray:
 
 
 def contexts_of(tokens: np.ndarray) -> np.ndarray:
-    """The context class of every token."""
-    out = np.empty(len(tokens), np.int64)
+    """The context of every token: the word before, or the start."""
+    out = np.empty(len(tokens), np.uint64)
     out[0] = START
-    spread = (tokens[:-1] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-    out[1:] = 1 + spread.astype(np.int64) % (CLASSES - 1)
+    out[1:] = tokens[:-1]
     return out
 
 
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The range of hashes that a key is in, of so many of equal size."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def bucket_of(words: np.ndarray, contexts: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each pair: a range of words, split by other bits of the context."""
+    split = math.isqrt(buckets) // 4 or 1
+    return part_of(words, -(-buckets // split)) * split + part_of(contexts << np.uint64(32), split)
+
+
 def pressed(*arrays: np.ndarray) -> bytes:
     """Arrays in one compressed piece, each with its bytes sorted by rank."""
     parts = [len(arrays).to_bytes(4, "little")]
@@ -114,36 +131,40 @@ def block_rows(block: int, ids: list, texts: list[bytes], buckets: int) -> list[
     tokens = [word_hashes(text) for text in texts]
     lengths = np.array([len(t) for t in tokens])
     held = np.array([is_held_out(i) for i in ids])
-    context = np.concatenate([contexts_of(t) for t in tokens])
     doc = np.repeat(np.arange(len(ids)), lengths)
     words, index = np.unique(np.concatenate(tokens), return_inverse=True)
+    contexts, place = np.unique(np.concatenate([contexts_of(t) for t in tokens]), return_inverse=True)
+    pair, at = np.unique(index * len(contexts) + place, return_inverse=True)
+    word, context = words[pair // len(contexts)], contexts[pair % len(contexts)]
+    bucket = bucket_of(word, context, buckets)
+    order = np.argsort(bucket, kind="stable")
+    word, context, bucket = word[order], context[order], bucket[order]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
     doc_bits = max(1, int(len(ids) - 1).bit_length())
-    key = ((index * CLASSES + context) << doc_bits) | doc
-    key, times = np.unique(key, return_counts=True)
-    pair = key >> doc_bits
-    doc = key & ((1 << doc_bits) - 1)
+    key, times = np.unique((rank[at] << doc_bits) | doc, return_counts=True)
+    pair, doc = key >> doc_bits, key & ((1 << doc_bits) - 1)
     head = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     entries = np.diff(np.append(head, len(pair)))
     trained = np.add.reduceat(np.where(held[doc], 0, times), head)
-    pair = pair[head]
-    bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    pairs_of_word = np.bincount(pair // CLASSES, minlength=len(words))
-    pair_end = np.concatenate([[0], np.cumsum(pairs_of_word)])
-    own = pressed(entries.astype("<u4"), doc.astype("<u4"), times.astype("<u4"), pairs_of_word.astype("<u4"))
+    change = bucket[1:] != bucket[:-1]
+    run = np.flatnonzero(np.concatenate([[True], change | (word[1:] != word[:-1])]))
+    pairs_of_run = np.diff(np.append(run, len(word)))
+    own = pressed(entries.astype("<u4"), doc.astype("<u4"), times.astype("<u4"), pairs_of_run.astype("<u4"))
     known = np.array([i is not None for i in ids])
     numbers = np.array([i or 0 for i in ids], "<i8")
     about = pressed(numbers, known.astype("u1"), held.astype("u1"), lengths.astype("<i8"))
     rows = [(block, -1, own, about)]
-    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    for a, b in zip(edge, np.append(edge[1:], len(words)), strict=True):
-        x, y = pair_end[a], pair_end[b]
+    edge = np.flatnonzero(np.concatenate([[True], change]))
+    for x, y in zip(edge, np.append(edge[1:], len(word)), strict=True):
+        a, b = np.searchsorted(run, [x, y])
         asked = pressed(
-            words[a:b].astype("<u8"),
-            pairs_of_word[a:b].astype("<u2"),
-            (pair[x:y] % CLASSES).astype("<u2"),
+            word[run[a:b]].astype("<u8"),
+            pairs_of_run[a:b].astype("<u4"),
+            context[x:y].astype("<u8"),
             trained[x:y].astype("<u4"),
         )
-        rows.append((block, int(bucket[a]), asked, None))
+        rows.append((block, int(bucket[x]), asked, None))
     return rows
 
 
@@ -196,9 +217,9 @@ def stored(spark: SparkSession, folder: str, kind: str) -> DataFrame:
 
 
 def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame, DataFrame]:
-    """What needs seating in each bucket of words; and who asked a bucket what, in one row or several.
+    """Each bucket of pairs; and who asked a bucket for which of its pairs, in one row or several.
 
-    A bucket with several rows of questions has its counts with each of them as ``whole``.
+    A bucket with several rows of questions has with each of them a link from its places to the whole's.
     """
     rows = rows.select("block", "bucket", "data")
     sizes = rows.groupBy("bucket").agg(F.sum(F.octet_length("data")).alias("size"))
@@ -207,45 +228,45 @@ def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame,
             F.col("bucket").alias("hot"), F.ceil(F.col("size") / hot_bytes).alias("parts")
         )
     )
-    schema = "bucket int, blocks array<long>, asked array<binary>, whole binary, seating binary"
+    schema = "bucket int, part long, blocks array<long>, places array<binary>, whole binary, once long, twice long"
     arrow = to_arrow(rows.sparkSession, schema)
 
-    def gathered(hot: bool) -> Callable[[tuple, pa.Table], pa.Table]:
-        def gather(key: tuple, part: pa.Table) -> pa.Table:
-            part = part.sort_by("block").combine_chunks()
-            asked = part.column("data").to_pylist()
-            bucket = Bucket(asked)
-            whole, seating = (bucket.as_question(), None) if hot else (None, pressed(*to_seat(bucket)))
-            row = key[0].as_py(), part.column("block").to_pylist(), asked, whole, seating
-            arrays = [pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)]
-            return pa.Table.from_arrays(arrays, schema=arrow)
-
-        return gather
-
-    if hot.isEmpty():
-        buckets = checkpointed(rows.groupBy("bucket").applyInArrow(gathered(False), schema))
-        return buckets.select("bucket", "seating"), buckets.drop("seating")
-    cold = rows.join(hot, rows["bucket"] == hot["hot"], "left_anti")
-    cold = checkpointed(cold.groupBy("bucket").applyInArrow(gathered(False), schema))
-    dealt = rows.join(hot, rows["bucket"] == hot["hot"]).select(
-        "block", "bucket", "data", F.pmod(F.xxhash64("block"), F.col("parts")).alias("part")
+    def gather(key: tuple, part: pa.Table) -> pa.Table:
+        part = part.sort_by("block").combine_chunks()
+        bucket = Bucket(part.column("data").to_pylist())
+        places = [pressed(w.astype("<u4"), p.astype("<u4")) for w, p in bucket.places()]
+        row = key[0].as_py(), key[1].as_py(), part.column("block").to_pylist(), places, bucket.as_question()
+        row += bucket.times(1), bucket.times(2)
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
+
+    dealt = rows.join(F.broadcast(hot), rows["bucket"] == hot["hot"], "left")
+    dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("block"), F.col("parts")), F.lit(-1)))
+    parts = checkpointed(
+        dealt.select("block", "bucket", "data", "part").groupBy("bucket", "part").applyInArrow(gather, schema)
     )
-    parts = checkpointed(dealt.groupBy("bucket", "part").applyInArrow(gathered(True), schema))
-    merged = "bucket int, whole binary, seating binary"
+    names = ["bucket", "whole", "once", "twice"]
+    wholes = parts.where("part < 0").select(*names)
+    questions = parts.select("bucket", "part", "blocks", "places")
+    if hot.isEmpty():
+        return wholes, questions.withColumn("link", F.lit(None).cast("binary"))
+    merged = "bucket int, part long, whole binary, once long, twice long, link binary"
+    kinds = to_arrow(rows.sparkSession, merged)
 
     def add_up(key: tuple, part: pa.Table) -> pa.Table:
-        bucket = Bucket(part.column("whole").to_pylist())
-        row = key[0].as_py(), bucket.as_question(), pressed(*to_seat(bucket))
-        kinds = pa.int32(), pa.binary(), pa.binary()
-        columns = [pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)]
-        return pa.Table.from_arrays(columns, names=["bucket", "whole", "seating"])
-
-    wholes = checkpointed(parts.select("bucket", "whole").groupBy("bucket").applyInArrow(add_up, merged))
-    seating = cold.select("bucket", "seating").unionByName(wholes.select("bucket", "seating"))
-    hot_rows = parts.drop("whole", "seating").join(wholes, "bucket")
-    names = ["bucket", "blocks", "asked", "whole"]
-    questions = cold.select(*names).unionByName(hot_rows.select(*names))
-    return seating, questions
+        asked = part.column("whole").to_pylist()
+        bucket = Bucket(asked)
+        number = key[0].as_py()
+        found = [(number, -1, bucket.as_question(), bucket.times(1), bucket.times(2), None)]
+        for at, (word, pair) in zip(part.column("part").to_pylist(), bucket.places(), strict=True):
+            found.append((number, at, None, None, None, pressed(word.astype("<u4"), pair.astype("<u4"))))
+        columns = zip(*found, strict=True)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
+
+    split = parts.where("part >= 0").select("bucket", "part", "whole").groupBy("bucket")
+    split = checkpointed(split.applyInArrow(add_up, merged))
+    wholes = wholes.unionByName(split.where("part < 0").select(*names))
+    links = split.where("part >= 0").select("bucket", "part", "link")
+    return wholes, questions.join(links, ["bucket", "part"], "left")
 
 
 class Bucket:
@@ -255,89 +276,83 @@ class Bucket:
         parts = [opened(x) for x in asked]
         self.n_words = [len(p[0]) for p in parts]
         self.n_pairs = [len(p[2]) for p in parts]
-        words = np.concatenate([p[0] for p in parts])
-        self.words, self.word_at = np.unique(words, return_inverse=True)
+        self.words, self.word_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         of = np.repeat(self.word_at, np.concatenate([p[1] for p in parts]).astype(np.int64))
-        key = of * CLASSES + np.concatenate([p[2] for p in parts]).astype(np.int64)
-        pairs, self.pair_at = np.unique(key, return_inverse=True)
+        self.contexts, context = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        pairs, self.pair_at = np.unique(of * len(self.contexts) + context, return_inverse=True)
         times = np.concatenate([p[3] for p in parts])
         self.count = np.bincount(self.pair_at, weights=times, minlength=len(pairs)).astype(np.int64)
-        self.word, self.context = pairs // CLASSES, pairs % CLASSES
-        self.total = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
+        self.word, self.context = pairs // len(self.contexts), pairs % len(self.contexts)
 
     def as_question(self) -> bytes:
         """The bucket in the form in which a block sends its part of it."""
         pairs = np.bincount(self.word, minlength=len(self.words))
+        contexts = self.contexts[self.context]
         return pressed(
-            self.words.astype("<u8"), pairs.astype("<u2"), self.context.astype("<u2"), self.count.astype("<u4")
+            self.words.astype("<u8"), pairs.astype("<u4"), contexts.astype("<u8"), self.count.astype("<u8")
         )
 
-    def places_in(self, whole: Bucket) -> tuple[np.ndarray, np.ndarray]:
-        """Where this bucket's words and pairs are in one that has them all."""
-        word = np.searchsorted(whole.words, self.words)
-        key = word[self.word] * CLASSES + self.context
-        return word, np.searchsorted(whole.word * CLASSES + whole.context, key)
+    def places(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Where the words and pairs of each part are."""
+        words = np.split(self.word_at, np.cumsum(self.n_words)[:-1])
+        return list(zip(words, np.split(self.pair_at, np.cumsum(self.n_pairs)[:-1]), strict=True))
 
+    def keys(self, kind: int) -> list[np.ndarray]:
+        """The keys of a kind."""
+        return [(self.words, self.contexts)[kind]]
 
-def to_seat(bucket: Bucket) -> list[np.ndarray]:
-    """Customers by context; per trained word its pairs with one customer; the other pairs.
+    def times(self, n: int) -> int:
+        """How many pairs were seen so many times."""
+        return int((self.count == n).sum())
 
-    A pair with one customer has one table, whatever is sampled.
-    """
-    seen = bucket.count > 0
-    customers = np.bincount(bucket.context[seen], weights=bucket.count[seen], minlength=CLASSES)
-    ones = bucket.count == 1
-    lone = np.bincount(bucket.word[ones], minlength=len(bucket.words))
-    lone_tables = np.bincount(bucket.context[ones], minlength=CLASSES)
-    more = bucket.count > 1
-    return [
-        customers.astype("<i8"),
-        lone_tables.astype("<i8"),
-        lone.astype("<u4"),
-        bucket.word[more].astype("<u4"),
-        bucket.context[more].astype("<u2"),
-        bucket.count[more].astype("<u4"),
-        (bucket.total > 0).astype("u1"),
-    ]
+    def sums(self, kind: int) -> list[np.ndarray]:
+        """The keys of a kind with their customers, and their pairs that were seen."""
+        keys, of = ((self.words, self.word), (self.contexts, self.context))[kind]
+        customers = np.bincount(of, weights=self.count, minlength=len(keys))
+        return [keys, customers.astype("<i8"), np.bincount(of, self.count > 0, len(keys)).astype("<i8")]
 
 
 class Seating:
-    """Tables of a bucket's words in all restaurants, resampled against the totals of the rest."""
-
-    def __init__(self, arrays: list[np.ndarray], seed: int) -> None:
-        self.customers, self.lone_tables, self.lone = arrays[0], arrays[1], arrays[2].astype(np.int64)
-        self.word, self.context = arrays[3].astype(np.int64), arrays[4].astype(np.int64)
-        self.count, self.known = arrays[5].astype(np.int64), arrays[6] > 0
-        self.tables = np.ones(len(self.count), np.int64)
-        self.parent_tables = self.known.astype(np.int64)
-        self.random = np.random.default_rng(seed)
-
-    def sent(self) -> np.ndarray:
-        """Customers of each word in the parent: its tables in all contexts."""
-        return self.lone + np.bincount(self.word, weights=self.tables, minlength=len(self.lone)).astype(np.int64)
-
-    def by_context(self) -> np.ndarray:
-        """Tables of this bucket's words in each context."""
-        more = np.bincount(self.context, weights=self.tables, minlength=CLASSES)
-        return self.lone_tables + more.astype(np.int64)
-
-    def parent(self, totals: Totals) -> np.ndarray:
-        """The parent's probability of every word, a word it has not seen included."""
-        mass = self.sent() - totals.parent_discount * self.parent_tables
-        return (mass + new_mass(totals)) / (STRENGTH + totals.parent_customers)
-
-    def sweep(self, totals: Totals) -> None:
-        """Unseat the customers of every dish of every restaurant in turn, and seat them again."""
-        above = self.parent(totals)[self.word]
-        others = np.maximum(totals.tables[self.context] - self.tables, 0)
-        self.tables = seated(
-            self.count, above, others, totals.discount, self.random
-        )
-        sent = self.sent()
-        at = np.flatnonzero(self.known)
-        base = np.full(len(at), 1 / (totals.words + 1))
-        others = np.maximum(totals.parent_tables - self.parent_tables[at], 0)
-        self.parent_tables[at] = seated(sent[at], base, others, totals.parent_discount, self.random)
+    """The pairs of a bucket seen more than once, with their tables in the last seatings.
+
+    A pair with one customer has one table, whatever is sampled, and is known to the shards alone.
+    """
+
+    def __init__(self, data: bytes) -> None:
+        self.keys = [None, None]
+        self.keys[WORDS], self.keys[CONTEXTS], *rest = opened(data)
+        self.word, self.context, self.count, *self.tables = (x.astype(np.int64) for x in rest)
+
+    @staticmethod
+    def of(bucket: Bucket) -> bytes:
+        """The first seating: every pair has one table."""
+        more = bucket.count > 1
+        words, word = np.unique(bucket.word[more], return_inverse=True)
+        contexts, context = np.unique(bucket.context[more], return_inverse=True)
+        numbers = word.astype("<u4"), context.astype("<u4"), bucket.count[more].astype("<u8")
+        ones = np.ones(len(word), "<u4")
+        return pressed(bucket.words[words].astype("<u8"), bucket.contexts[contexts].astype("<u8"), *numbers, ones)
+
+    def extra(self, kind: int, last: int) -> list[np.ndarray]:
+        """The keys of a kind with their tables beyond one a pair, in each of the last seatings."""
+        of = (self.word, self.context)[kind]
+        keys = self.keys[kind]
+        return [keys, *(np.bincount(of, t - 1, len(keys)).astype("<i8") for t in self.tables[-last:])]
+
+    def swept(self, sent: np.ndarray, parent_tables: np.ndarray, tables: np.ndarray, totals: Totals, seed: int) -> bytes:
+        """Unseat the customers of every pair and seat them again, against totals by word and context."""
+        above = above_of(sent, parent_tables, totals)[self.word]
+        others = np.maximum(tables[self.context] - self.tables[-1], 0)
+        new = seated(self.count, above, others, totals.discount, np.random.default_rng(seed))
+        kept = [t.astype("<u4") for t in [*self.tables, new][-SAMPLES:]]
+        numbers = self.word.astype("<u4"), self.context.astype("<u4"), self.count.astype("<u8")
+        return pressed(self.keys[WORDS], self.keys[CONTEXTS], *numbers, *kept)
+
+
+def above_of(sent: np.ndarray, parent_tables: np.ndarray, totals: Totals) -> np.ndarray:
+    """The parent's probability of words, a word it has not seen included."""
+    mass = sent - totals.parent_discount * parent_tables
+    return (mass + new_mass(totals)) / (STRENGTH + totals.parent_customers)
 
 
 def new_mass(totals: Totals) -> float:
@@ -373,51 +388,199 @@ def seated(
     return tables
 
 
-def totals_of(buckets: DataFrame, seats: Totals | None) -> Totals:
-    """The totals of all restaurants after a sweep against ``seats``, or before the first one.
+MESSAGE = "shard int, bucket int, what int, data binary"
+STATIC, ADDS, ASKS, BOTH = range(4)
+"""Totals of a shard; what a bucket adds to them; for which keys it asks; both."""
+
+
+def by_shard(arrays: list[np.ndarray], kind: int, shards: int) -> list[tuple[int, bytes]]:
+    """Arrays along sorted keys cut by the shards of the keys; words and contexts have shards of their own."""
+    part = part_of(arrays[0], shards)
+    edge = np.flatnonzero(np.concatenate([part[:1] >= 0, part[1:] != part[:-1]]))
+    ends = np.append(edge[1:], len(part))
+    return [
+        (int(part[x]) * 2 + kind, pressed(*(a[x:y] for a in arrays))) for x, y in zip(edge, ends, strict=True)
+    ]
 
-    The driver gets one number for each context and a few more, summed over all buckets.
-    """
-    schema = "what int, n long"
-    arrow = to_arrow(buckets.sparkSession, schema)
+
+def sent_out(rows: DataFrame, column: str, make: Callable[[bytes], Callable[[int], list[np.ndarray]]], what: int, shards: int) -> DataFrame:
+    """What ``make`` says of the words and contexts of each bucket, as messages to the shards."""
+    arrow = to_arrow(rows.sparkSession, MESSAGE)
 
     def run(batches: Batches) -> Batches:
-        sums = np.zeros(2 * CLASSES + 7, np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
-                arrays = opened(row["seating"])
-                state = Seating(arrays, row["bucket"])
-                for _ in range(BURN_IN if seats else 0):
-                    state.sweep(seats)
-                sent = state.sent()
-                sums[:CLASSES] += state.customers
-                sums[CLASSES : 2 * CLASSES] += state.by_context()
-                contexts = state.lone + np.bincount(state.word, minlength=len(state.lone))
-                sums[2 * CLASSES :] += [
-                    int(sent.sum()),
-                    int(state.parent_tables.sum()),
-                    int(state.known.sum()),
-                    int(state.lone.sum()),
-                    int((state.count == 2).sum()),
-                    int((contexts == 1).sum()),
-                    int((contexts == 2).sum()),
-                ]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array(sums)], schema=arrow)
-
-    found = buckets.select("bucket", "seating").mapInArrow(run, schema).groupBy("what").agg(F.sum("n").alias("n"))
-    sums = np.zeros(2 * CLASSES + 7, np.int64)
-    for what, n in found.collect():
-        sums[what] = n
-    sent, parent_tables, words, once, twice, word_once, word_twice = sums[2 * CLASSES :].tolist()
-    return Totals(
-        sums[:CLASSES],
-        sums[CLASSES : 2 * CLASSES],
-        sent,
-        parent_tables,
-        words,
-        discount_of(once, twice),
-        discount_of(word_once, word_twice),
-    )
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column(column).to_pylist(), strict=True):
+                state = make(data)
+                found = [m for kind in (WORDS, CONTEXTS) for m in by_shard(state(kind), kind, shards)]
+                if found:
+                    names, messages = zip(*found, strict=True)
+                    n = len(found)
+                    arrays = [names, [bucket] * n, [what] * n, messages]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, f.type) for x, f in zip(arrays, arrow, strict=True)], schema=arrow
+                    )
+
+    return rows.select("bucket", column).mapInArrow(run, MESSAGE)
+
+
+def shard_totals(wholes: DataFrame, shards: int) -> DataFrame:
+    """By shard the sorted keys, with their customers and pairs in all buckets; what is known of the words."""
+    messages = sent_out(wholes, "whole", lambda data: Bucket([data]).sums, ADDS, shards)
+    schema = f"{MESSAGE}, words long, once long, twice long, customers long"
+    arrow = to_arrow(wholes.sparkSession, schema)
+
+    def add_up(key: tuple, part: pa.Table) -> pa.Table:
+        parts = [opened(x) for x in part.column("data").to_pylist()]
+        keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        customers, pairs = (
+            np.bincount(at, np.concatenate([p[k] for p in parts]), len(keys)).astype("<i8") for k in (1, 2)
+        )
+        row = [key[0].as_py(), None, STATIC, pressed(keys, customers, pairs)]
+        if row[0] % 2 == WORDS:
+            row += [int((pairs > 0).sum()), int((pairs == 1).sum()), int((pairs == 2).sum()), int(customers.sum())]
+        else:
+            row += [0] * 4
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
+
+    return checkpointed(messages.groupBy("shard").applyInArrow(add_up, schema))
+
+
+def exchanged(static: DataFrame, messages: DataFrame, totals: Totals, samples: int, seed: int) -> DataFrame:
+    """Replies to what buckets ask: by word customers, and in each seating its customers and tables in the parent;
+    by context customers, and in each seating its tables. Each shard of words also says what it sums up to.
+    """
+    schema = f"{MESSAGE}, sent array<long>, tables array<long>"
+    arrow = to_arrow(static.sparkSession, schema)
+
+    def reply(key: tuple, part: pa.Table) -> pa.Table:
+        shard = key[0].as_py()
+        own = [[], [], []]
+        for what, bucket, data in zip(*(part.column(n).to_pylist() for n in ("what", "bucket", "data")), strict=True):
+            if what == STATIC:
+                keys, customers, pairs = opened(data)
+                values = [pairs.copy() for _ in range(samples)]
+            else:
+                own[what - 1].append((bucket, opened(data)))
+        adds, asks, both = own
+        for _, (found, *extra) in adds + both:
+            at = np.searchsorted(keys, found)
+            for value, more in zip(values, extra, strict=True):
+                value[at] += more
+        answers, sums = [customers, *values], ([], [])
+        if shard % 2 == WORDS:
+            base = np.full(len(keys), 1 / (totals.words + 1))
+            answers = [customers]
+            for k, sent in enumerate(values):
+                random = np.random.default_rng([seed, shard, k])
+                known = sent > 0
+                tables = known.astype(np.int64)
+                # the first draw stands for the seating before, which is taken off the total in the second
+                for _ in range(2):
+                    others = np.maximum(totals.parent_tables - tables, 0)[known]
+                    tables[known] = seated(sent[known], base[known], others, totals.parent_discount, random)
+                answers += [sent, tables]
+                sums[0].append(int(sent.sum()))
+                sums[1].append(int(tables.sum()))
+        rows = [(shard, -1, STATIC, None, *sums)]
+        for bucket, (found, *_) in asks + both:
+            at = np.searchsorted(keys, found)
+            rows.append((shard, bucket, STATIC, pressed(*(x[at].astype("<u8") for x in answers)), None, None))
+        columns = zip(*rows, strict=True)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    names = ["shard", "bucket", "what", "data"]
+    asked = static.select(*names).unionByName(messages.select(*names))
+    return checkpointed(asked.groupBy("shard").applyInArrow(reply, schema))
+
+
+def sums_of(replies: DataFrame, totals: Totals, samples: int) -> list[Totals]:
+    """The totals of the parent in each seating."""
+    found = replies.where("bucket < 0").select(F.posexplode(F.arrays_zip("sent", "tables")).alias("k", "x"))
+    sums = {k: x for k, *x in found.groupBy("k").agg(F.sum("x.sent"), F.sum("x.tables")).collect()}
+    found = (sums.get(k, (0, 0)) for k in range(samples))
+    return [totals._replace(parent_customers=sent, parent_tables=tables) for sent, tables in found]
+
+
+def replies_in(part: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The replies to a bucket along its words and along its contexts."""
+    part = part.filter(pc.equal(part.column("what"), STATIC)).sort_by("shard")
+    found = [[], []]
+    for shard, data in zip(part.column("shard").to_pylist(), part.column("data").to_pylist(), strict=True):
+        found[shard % 2].append([x.astype(np.int64) for x in opened(data)])
+    words, contexts = ([np.concatenate(x) for x in zip(*kind, strict=True)] for kind in found)
+    return words, contexts
+
+
+SEATS, WHOLE = 1, 2
+
+
+def as_rows(frame: DataFrame, column: str, what: int) -> DataFrame:
+    """Rows of buckets in the form of replies."""
+    return frame.select(F.lit(-1).alias("shard"), "bucket", F.lit(what).alias("what"), F.col(column).alias("data"))
+
+
+def data_of(part: pa.Table, what: int) -> bytes:
+    """The one row of a kind."""
+    return part.filter(pc.equal(part.column("what"), what)).column("data")[0].as_py()
+
+
+def first_seats(wholes: DataFrame) -> DataFrame:
+    """The first seating of every bucket that has a pair seen more than once."""
+
+    def make(batch: pa.RecordBatch) -> dict:
+        buckets = [Bucket([x]) for x in batch.column("whole").to_pylist()]
+        kept = [(k, Seating.of(b)) for k, b in zip(batch.column("bucket").to_pylist(), buckets, strict=True) if b.count.max() > 1]
+        return {"bucket": [k for k, _ in kept], "seats": [x for _, x in kept]}
+
+    return map_batches(wholes.select("bucket", "whole"), make, "bucket int, seats binary")
+
+
+def seats_after(seats: DataFrame, replies: DataFrame, totals: Totals, seed: int) -> DataFrame:
+    """The seatings after one more sweep."""
+    schema = "bucket int, seats binary"
+    arrow = to_arrow(seats.sparkSession, schema)
+
+    def sweep(key: tuple, part: pa.Table) -> pa.Table:
+        state = Seating(data_of(part, SEATS))
+        (_, sent, parent_tables), (_, tables) = replies_in(part)
+        number = key[0].as_py()
+        row = number, state.swept(sent, parent_tables, tables, totals, [seed, number])
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
+
+    rows = replies.where("bucket >= 0").select("shard", "bucket", "what", "data")
+    return rows.unionByName(as_rows(seats, "seats", SEATS)).groupBy("bucket").applyInArrow(sweep, schema)
+
+
+def settled(static: DataFrame, wholes: DataFrame, totals: Totals, shards: int) -> tuple[DataFrame, Totals, int]:
+    """The last seatings, written after every pass; the totals, and the number of passes.
+
+    A pass sums up the tables of all buckets by word and context, and sweeps every bucket against them.
+    Passes end when burn-in and samples are done and all tables together change little, or at ``MOST_PASSES``.
+    """
+    spark = wholes.sparkSession
+    folder = scratch_path(spark, "seats")
+    frame = first_seats(wholes)
+    frame.write.parquet(folder)
+    before = 0
+    for number in range(MOST_PASSES + 1):
+        seats = spark.read.schema(frame.schema).parquet(folder)
+        moves = abs(totals.parent_customers - before) > SETTLED * totals.parent_customers
+        if number == MOST_PASSES or number >= BURN_IN + SAMPLES and not moves:
+            return seats, totals, number
+        messages = sent_out(seats, "seats", extra_of(1), BOTH, shards)
+        replies = exchanged(static, messages, totals, 1, number)
+        before = totals.parent_customers
+        totals = sums_of(replies, totals, 1)[0]
+        after = scratch_path(spark, "seats")
+        seats_after(seats, replies, totals, number).write.parquet(after)
+        delete_path(spark, folder)
+        folder = after
+    raise AssertionError
+
+
+def extra_of(last: int) -> Callable[[bytes], Callable[[int], list[np.ndarray]]]:
+    """Tables beyond one a pair in the last seatings, by kind of key."""
+    return lambda data: lambda kind: Seating(data).extra(kind, last)
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -425,55 +588,58 @@ def discount_of(once: int, twice: int) -> float:
     return min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
 
 
-def answers(questions: DataFrame, totals: Totals) -> DataFrame:
-    """For every block and bucket the log10 probabilities of pairs, and the counts of words.
+def probabilities(wholes: DataFrame, seats: DataFrame, replies: DataFrame, totals: list[Totals]) -> DataFrame:
+    """For every bucket the log10 probabilities of its pairs, and how often its words were seen.
 
-    Probabilities are the mean of the predictive ones of ``SAMPLES`` seatings.
+    Probabilities are the mean of the predictive ones of the last seatings, each with its own totals.
     """
+    schema = "bucket int, logs binary, counts binary"
+    arrow = to_arrow(wholes.sparkSession, schema)
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        bucket = Bucket([data_of(part, WHOLE)])
+        (words, *parent), (mass, *tables) = replies_in(part)
+        more = bucket.count > 1
+        own = Seating(data_of(part, SEATS)).tables if more.any() else [0] * len(totals)
+        found, mean = (bucket.count == 1).astype(np.int64), np.zeros(len(bucket.count))
+        for k, total in enumerate(totals):
+            found[more] = own[k]
+            above = above_of(parent[2 * k], parent[2 * k + 1], total)[bucket.word]
+            back_off = (STRENGTH + total.discount * tables[k][bucket.context]) * above
+            mean += (bucket.count - total.discount * found + back_off) / (STRENGTH + mass[bucket.context])
+        row = key[0].as_py(), pressed(np.log10(mean / len(totals)).astype("<f4")), pressed(words.astype("<u8"))
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
+
+    rows = replies.where("bucket >= 0").select("shard", "bucket", "what", "data")
+    rows = rows.unionByName(as_rows(seats, "seats", SEATS)).unionByName(as_rows(wholes, "whole", WHOLE))
+    return rows.groupBy("bucket").applyInArrow(run, schema)
+
+
+def answers(questions: DataFrame, found: DataFrame) -> DataFrame:
+    """For every block and bucket the log10 probabilities of pairs, and the counts of words."""
     schema = "block long, bucket int, logs binary, counts binary"
     arrow = to_arrow(questions.sparkSession, schema)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for row in batch.to_pylist():
-                bucket = Bucket(row["asked"])
-                whole = Bucket([row["whole"]]) if row["whole"] else bucket
-                seen = mean_probability(whole, to_seat(whole), row["bucket"], totals)
-                logs = np.log10(seen).astype("<f4")
-                word, pair = bucket.places_in(whole)
-                counts = whole.total.astype("<u4" if whole.total.max(initial=0) < 1 << 32 else "<u8")
-                pairs = np.split(logs[pair][bucket.pair_at], np.cumsum(bucket.n_pairs)[:-1])
-                words = np.split(counts[word][bucket.word_at], np.cumsum(bucket.n_words)[:-1])
-                n = len(row["blocks"])
+                logs, counts = opened(row["logs"])[0], opened(row["counts"])[0]
+                if row["link"]:
+                    word, pair = opened(row["link"])
+                    logs, counts = logs[pair], counts[word]
+                places = [opened(x) for x in row["places"]]
+                n = len(places)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row["blocks"], pa.int64()),
                         pa.array([row["bucket"]] * n, pa.int32()),
-                        pa.array([pressed(x) for x in pairs], pa.binary()),
-                        pa.array([pressed(x) for x in words], pa.binary()),
+                        pa.array([pressed(logs[pair]) for _, pair in places], pa.binary()),
+                        pa.array([pressed(counts[word]) for word, _ in places], pa.binary()),
                     ],
                     schema=arrow,
                 )
 
-    return questions.mapInArrow(run, schema)
-
-
-def mean_probability(bucket: Bucket, arrays: list[np.ndarray], seed: int, totals: Totals) -> np.ndarray:
-    """The probability of each pair of a bucket, over several seatings."""
-    state = Seating(arrays, seed)
-    for _ in range(BURN_IN):
-        state.sweep(totals)
-    more, ones = bucket.count > 1, bucket.count == 1
-    back_off = STRENGTH + totals.discount * totals.tables[bucket.context]
-    mass = STRENGTH + totals.customers[bucket.context]
-    total = np.zeros(len(bucket.count))
-    tables = ones.astype(np.int64)
-    for _ in range(SAMPLES):
-        state.sweep(totals)
-        tables[more] = state.tables
-        above = state.parent(totals)[bucket.word]
-        total += (bucket.count - totals.discount * tables + back_off * above) / mass
-    return total / SAMPLES
+    return questions.join(found, "bucket").mapInArrow(run, schema)
 
 
 def scored(
@@ -488,10 +654,22 @@ def scored(
     size = docs.agg(F.sum(F.octet_length(present(text)))).first()[0] or 0
     folder = counted(docs, text, doc_id, max(16, -(-size // BUCKET)))
     uses = stored(spark, folder, USES)
-    seating, questions = in_buckets(stored(spark, folder, COUNTS), hot_bytes)
-    first = totals_of(seating, None)
-    totals = totals_of(seating, first)
-    n_train, n_words = int(first.customers.sum()), first.words
+    wholes, questions = in_buckets(stored(spark, folder, COUNTS), hot_bytes)
+    # what blocks sent is in the buckets now
+    delete_path(spark, f"{folder}/kind={COUNTS}")
+    shards = max(8, -(-size // SHARD))
+    static = shard_totals(wholes, shards)
+    n_words, word_once, word_twice, n_train = (
+        x or 0 for x in static.agg(*(F.sum(n) for n in ("words", "once", "twice", "customers"))).first()
+    )
+    once, twice = (x or 0 for x in wholes.agg(F.sum("once"), F.sum("twice")).first())
+    totals = Totals(0, n_words, n_words, discount_of(once, twice), discount_of(word_once, word_twice))
+    seats, totals, passes = settled(static, wholes, totals, shards)
+    messages = sent_out(seats, "seats", extra_of(SAMPLES), ADDS, shards).unionByName(
+        sent_out(wholes, "whole", lambda data: Bucket([data]).keys, ASKS, shards)
+    )
+    replies = exchanged(static, messages, totals, SAMPLES, passes)
+    logs = probabilities(wholes, seats, replies, sums_of(replies, totals, SAMPLES))
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
@@ -522,7 +700,7 @@ def scored(
         return pa.Table.from_arrays(columns, schema=arrow)
 
     both = uses.select("block", "data", "about").groupBy("block").cogroup(
-        answers(questions, totals).groupBy("block")
+        answers(questions, logs).groupBy("block")
     )
     return both.applyInArrow(add_up, schema)
 

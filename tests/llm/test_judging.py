@@ -153,6 +153,18 @@ def test_large_buckets_are_dealt(spark, monkeypatch):
     assert rows(1 << 30) == rows(1500) == rows(100)
 
 
+def test_every_word_before_has_a_restaurant(spark):
+    """3000 words, each followed by one of its own: what follows is likely however many there are."""
+    ids = (k for k in range(1, 100_000))
+    rows = [(next(i for i in ids if zlib.crc32(str(i).encode()) % 7 != 2), f"c{k} s{k}") for k in range(3000) for _ in range(3)]
+    probes = [(next(i for i in ids if zlib.crc32(str(i).encode()) % 7 == 2), f"c{k} s{k}") for k in range(0, 3000, 30)]
+    found = scored(plain.frame(spark, rows + probes)).where("held_out")
+    scores = [r["score"] for r in found.collect()]
+    assert len(scores) == 100
+    # the first word has one chance in 3000; the other two steps were seen three times out of three
+    assert min(10**x for x in scores) * 3000 > 0.2
+
+
 def test_model_probabilities_sum_to_one(spark):
     """Documents of one word: the chances of all words after the start, and of a new one, are one."""
     rng = random.Random(2)
