@@ -18,16 +18,13 @@ from featloom.llm.planes import encoded_files
 from featloom.llm.quality import judged
 from featloom.llm.repeats import repeat_report
 from featloom.llm.simhash import near_groups
-from featloom.llm.urls import Rule, judged_urls
+from featloom.llm.urls import Rule, judged_urls, page_outcomes
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts on all page urls; outcomes are the labels of the pages' texts."""
-    pages = table(spark, sf_dir, "pages")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    outcomes = pages.join(labels, pages["page_id"] == labels["doc_id"]).select(
-        "url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
-    )
+    """Verdicts on all page urls; outcomes are the labels of the documents whose text the pages carry."""
+    pages, docs, labels = (table(spark, sf_dir, n) for n in ("pages", "documents", "labels"))
+    outcomes = page_outcomes(pages, docs, labels)
     found = judged_urls(pages, outcomes)
     return found.withColumns({n: F.round(n, 6) for n in ("rate", "low")})
 

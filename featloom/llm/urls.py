@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featloom.llm.common import map_batches, present, text_bytes, wide_hash
+from featloom.llm.crf import NOT_MAIN, blocks
 from featloom.llm.quality import beta_prior
 from featloom.session import checkpointed
 
@@ -76,6 +79,43 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
+def carried(page: str) -> str:
+    """The text that a page carries in its article or main element, below the heading, with single blanks."""
+    found = (b for b in blocks(page) if {"in article", "in main"} & b.around and not NOT_MAIN & b.around)
+    return " ".join(b.text for b in found if b.tag != "h1")
+
+
+def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """url and bad of every page that carries the text of a labelled document.
+
+    Texts are compared by 128 bits of their words with single blanks between; they are not moved. A text
+    with several labels is bad if one says so. A page without text carries none.
+    """
+
+    def digests(batch: pa.RecordBatch, key: str, texts: list[str]) -> dict:
+        found = [wide_hash(x.encode()) if x else (None, None) for x in texts]
+        return {key: batch.column(key), "high": [a for a, _ in found], "low": [b for _, b in found]}
+
+    def of_docs(batch: pa.RecordBatch) -> dict:
+        return digests(batch, "doc_id", [" ".join(x.decode().split()) for x in text_bytes(batch)])
+
+    def of_pages(batch: pa.RecordBatch) -> dict:
+        return digests(batch, "url", [carried(x.decode()) for x in text_bytes(batch, "html")])
+
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    told = map_batches(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), present("text").alias("text")),
+        of_docs,
+        "doc_id long, high long, low long",
+    ).where("high IS NOT NULL")
+    told = told.join(labels.select(F.col("doc_id").cast("long").alias("doc_id"), bad), "doc_id")
+    told = told.groupBy("high", "low").agg(F.max("bad").alias("bad"))
+    found = map_batches(
+        pages.select("url", present("html").alias("html")), of_pages, "url string, high long, low long"
+    ).where("high IS NOT NULL")
+    return found.join(told, ["high", "low"]).select("url", "bad")
+
+
 def reputation(outcomes: DataFrame) -> DataFrame:
     """host, n_pages, n_bad, rate, low: hosts' chances of a bad page from ``outcomes`` (host, bad).
 

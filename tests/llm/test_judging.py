@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import math
 import random
 import zlib
@@ -14,7 +15,8 @@ from featloom.llm import crf
 from featloom.llm.crf import blocks, extracted, features, labelled, main_text, trained, viterbi
 from featloom.llm.pitman_yor import perplexities, scored, seated
 from featloom.llm.quality import beta_prior, drop_low_quality, host_verdicts, judged, measures
-from featloom.llm.urls import Rule, judged_urls, reputation
+from featloom.llm.queries import op1_url_reputation
+from featloom.llm.urls import Rule, judged_urls, page_outcomes, reputation
 from tests.llm import plain
 
 
@@ -118,6 +120,40 @@ def test_reputation_is_shrunk(spark):
     assert verdicts == {1: "block", 2: "allow"}
 
 
+def test_outcomes_follow_the_text(spark, tmp_path):
+    """Numbers of pages and documents have nothing to do with each other; the text tells whose label it is."""
+    rng = random.Random(5)
+    texts = {k: plain.words(rng, 30) + "\n<b> & " + plain.words(rng, 9) for k in range(60)}
+    labels = {k: (int(k % 3 > 0), 0) for k in range(60) if k % 5} | {70: (0, 0)}
+    docs = plain.frame(spark, [*texts.items(), (70, texts[1]), (71, None), (72, "")])
+    pages = []
+    for k in range(90):
+        doc = rng.randrange(60)
+        lines = (html.escape(x) for x in texts[doc].split("\n"))
+        host = f"h{doc % 3}.example.net"
+        body = f"<nav>Home</nav><article><h1>{texts[doc][:9]}</h1><p>{'</p> <p>'.join(lines)}</article><p>More"
+        pages.append((k, f"http://{host}/x", body, doc))
+    pages += [(90, "http://h1.example.net/", None, None), (91, "http://h1.example.net/", "<p>none", None)]
+    wanted = {}
+    for _, url, _, doc in pages:
+        told = [labels[d] == (0, 0) for d in labels if doc is not None and texts.get(d, texts[1]) == texts[doc]]
+        if told:
+            n, k = wanted.get(url.split("/")[2], (0, 0))
+            wanted[url.split("/")[2]] = n + 1, k + any(told)
+    frames = {
+        "pages": spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string"),
+        "labels": spark.createDataFrame([(k, *v) for k, v in labels.items()], "doc_id long, quality int, toxic int"),
+        "documents": docs,
+    }
+    for name, frame in frames.items():
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = page_outcomes(frames["pages"], docs, frames["labels"]).collect()
+    got = Counter(r["url"].split("/")[2] for r in found), Counter(r["url"].split("/")[2] for r in found if r["bad"])
+    assert {h: (n, got[1][h]) for h, n in got[0].items()} == wanted
+    verdicts = {r["host"]: r["verdict"] for r in op1_url_reputation(spark, str(tmp_path)).collect()}
+    assert verdicts == {"h0.example.net": "block", "h1.example.net": "allow", "h2.example.net": "allow"}
+
+
 @pytest.mark.parametrize("clashes", [False, True])
 def test_language_model(spark, clashes):
     rows = plain.awkward(8) + [(300 + k, ("the cat sat on the mat " * 9)[: 20 + k]) for k in range(80)]
