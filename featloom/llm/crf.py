@@ -57,7 +57,9 @@ PURPOSES = {
 PURPOSE = {word: name for name, words in PURPOSES.items() for word in words.split()}
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|([^<]+)|(<)",
+    # a quote opens a string only after "="; elsewhere in a tag it is a character as others are
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]*)|[^>=])*+)>|<[!?/][^>]*>|([^<]+)|(<)",
     re.S,
 )
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)

@@ -251,6 +251,17 @@ def test_blocks():
         assert isinstance(blocks(broken), list)
 
 
+def test_quotes_within_tags():
+    """A quote opens a string only after an equals sign; elsewhere the first > ends the tag."""
+    for page, wanted in (
+        ("<p data-t=it's>One.</p><p>Two isn't it.</p>", ["One.", "Two isn't it."]),
+        ('<p class="x"">Text', ["Text"]),
+        ("<p a = 'x>y' b=\"'>\">z", ["z"]),
+        ("<p a=>t<p a==\"x>u", ["t", "u"]),
+    ):
+        assert [b.text for b in blocks(page)] == wanted
+
+
 def test_viterbi_is_the_best_path():
     rng = random.Random(3)
     for _ in range(60):
