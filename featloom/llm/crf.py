@@ -350,7 +350,13 @@ def labelled(page: str, number: int) -> list[tuple[list[Block], list[bool]]]:
     main = [b.text for b, mark in zip(found, marks, strict=True) if mark]
     if not main:
         return []
-    rest = [b.text for b, mark in zip(found, marks, strict=True) if not mark] or ["-"]
+    rest = [b.text for b, mark in zip(found, marks, strict=True) if not mark]
+    return [(found, marks), set_again(main, rest, number)]
+
+
+def set_again(main: list[str], rest: list[str], number: int) -> tuple[list[Block], list[bool]]:
+    """Texts in one of the layouts, with the labels that it gives them."""
+    rest = rest or ["-"]
     short = [" ".join(x.split()[:4]) for x in main[1:] or main]
     values = {
         "title": html.escape(main[0]),
@@ -361,20 +367,55 @@ def labelled(page: str, number: int) -> list[tuple[list[Block], list[bool]]]:
     }
     layout = LAYOUTS[number % len(LAYOUTS)]
     again = blocks(layout.format(*(html.escape(x) for x in (rest[0], *short, *["-"] * 4)[:4]), **values))
-    return [(found, marks), (again, [b.main for b in again])]
+    return again, [b.main for b in again]
+
+
+def unlabelled(page: str, number: int) -> list[tuple[list[Block], list[bool]]]:
+    """The texts of a page that marks no main text in one of the layouts, the long ones as main text."""
+    texts = [b.text for b in blocks(page)]
+    main = [x for x in texts if x.count(" ") >= 7] or sorted(texts, key=len)[-1:]
+    return [set_again(main, [x for x in texts if x not in main], number)] if main else []
+
+
+def sampled(given: DataFrame, sample: int, marked: bool) -> list[str]:
+    """At most ``sample`` pages, taken by a hash of number and text; if asked only those that mark a main text.
+
+    Tasks send what lies under a bound of the hash, about half as many pages again in all. The bound
+    rises until there are enough such pages, or all have been looked at.
+    """
+    if marked:
+        # what has no such tag is out at once; the others are parsed
+        given = given.where(F.col("page").rlike(r"(?i)<(?:article|main)[\s/>]"))
+    count = given.count()
+    share = min(1.0, 1.5 * sample / max(1, count))
+    while count:
+        # the bound is reached by the share of all 64-bit numbers
+        bound = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
+        found = given.where(F.xxhash64("id", "page") <= F.lit(bound)).select("page")
+        if marked:
+            found = map_batches(found, with_main_text, "page string")
+        rows = found.limit(sample).collect()
+        if len(rows) >= min(sample, count) or share >= 1:
+            return [row["page"] for row in rows]
+        share = min(1.0, 4 * share)
+    return []
+
+
+def with_main_text(batch: pa.RecordBatch) -> dict:
+    """The pages that mark a main text."""
+    return {"page": [x.decode() for x in text_bytes(batch, "page") if labelled(x.decode(), 0)]}
 
 
 def fitted(pages: DataFrame, page_id: str = "page_id", page: str = "html", sample: int = SAMPLE) -> Model:
-    """The model of at most ``sample`` pages, taken by a hash of number and text.
+    """The model of at most ``sample`` pages that mark their main text.
 
-    Tasks send what lies under a bound of the hash, about half as many pages again in all.
+    If no page does, the model knows the layouts alone, with texts of at most ``sample`` of the pages.
     """
     given = pages.where(F.col(page).isNotNull()).select(F.col(page_id).alias("id"), F.col(page).alias("page"))
-    share = min(1.0, 1.5 * sample / max(1, given.count()))
-    # the bound is reached by the share of all 64-bit numbers
-    bound = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
-    rows = given.where(F.xxhash64("id", "page") <= F.lit(bound)).select("page").limit(sample).collect()
-    examples = [x for k, row in enumerate(rows) for x in labelled(row["page"], k)]
+    label, found = labelled, sampled(given, sample, True)
+    if not found:
+        label, found = unlabelled, sampled(given, sample, False)
+    examples = [x for k, page in enumerate(found) for x in label(page, k)]
     return trained([(features(found), marks) for found, marks in examples])
 
 

@@ -295,6 +295,27 @@ def test_held_out_pages(spark):
     assert main_text(PAGE, model) == MAIN
 
 
+PLAIN = (
+    "<body><nav><a href='/'>Home {0}</a></nav><div class='content'><h1>Head {0}</h1><p>The first part of page {0} has some words "
+    "to be read.</p><p>The second part of page {0} has a few more words than that.</p></div><div class='footer'>&copy; {0}</div>"
+)
+
+
+def test_pages_that_mark_no_main_text(spark):
+    """Marked pages are found among many others; without any, the layouts are what the model knows."""
+    schema = "page_id long, url string, html string"
+    plain_pages = [(k, "u", PLAIN.format(k)) for k in range(300)]
+    marked = [(1000 + k, "u", PLAIN.format(k).replace("div class='content'", "article")) for k in range(3)]
+    hidden = [(2000, "u", "<!-- <article>x</article> -->" + PLAIN.format(9))]
+    pages = spark.createDataFrame(plain_pages + marked + hidden, schema)
+    given = pages.selectExpr("page_id as id", "html as page")
+    assert sorted(crf.sampled(given, 2, True))[0] in {p for _, _, p in marked}
+    assert sorted(crf.sampled(given, 200, True)) == sorted(p for _, _, p in marked)
+    for rows in (plain_pages, plain_pages + hidden):
+        for r in extracted(spark.createDataFrame(rows, schema)).collect():
+            assert "The second part" in r["text"] and "Home" not in r["text"] and "©" not in r["text"]
+
+
 def test_extraction(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", PAGE), (1, "u", PAGE)]
     pages = real_pages(spark).select("page_id", "url", "html").unionByName(
