@@ -19,6 +19,13 @@ BOUND = 0.5
 SURE = 1.645
 """Standard deviations of the posterior below its mean: 95 % for one side."""
 
+SUFFIXES = (
+    *("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.kr"),
+    *("co.jp", "ne.jp", "or.jp", "ac.jp", "com.br", "com.cn", "com.mx", "com.tr", "com.ar", "com.sg", "com.tw"),
+    *("example.com", "example.org", "example.net", "github.io", "blogspot.com", "wordpress.com"),
+)
+"""Suffixes of more than one label under which domains are registered; any last label is one, too."""
+
 
 class Rule(NamedTuple):
     """An allow or block rule for a host with its subdomains, and a beginning of the path."""
@@ -66,17 +73,18 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the last three labels, whose last two are the suffix here.
-
-    A host of fewer labels is its own domain.
-    """
-    return F.substring_index(host, ".", -3)
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The longest of ``suffixes`` that ends the host at a label, else its last label; an IPv4 address whole."""
+    found = F.substring_index(host, ".", -1)
+    for suffix in sorted(suffixes, key=lambda s: s.count(".")):
+        found = F.when((host == suffix) | host.endswith("." + suffix), suffix).otherwise(found)
+    return F.when(host.rlike(r"^[0-9.]+$"), host).otherwise(found)
 
 
-def suffix_of(host: Column) -> Column:
-    """The last two labels, under which domains are registered."""
-    return F.substring_index(host, ".", -2)
+def domain_of(host: Column, suffix: Column) -> Column:
+    """The registered domain: the suffix and one label more. A host that is a suffix is its own domain."""
+    own = host.substr(F.lit(1), F.length(host) - F.length(suffix) - 1)
+    return F.when(host == suffix, host).otherwise(F.concat_ws(".", F.substring_index(own, ".", -1), suffix))
 
 
 def carried(page: str) -> str:
@@ -116,7 +124,7 @@ def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataF
     return found.join(told, ["high", "low"]).select("url", "bad")
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """host, n_pages, n_bad, rate, low: hosts' chances of a bad page from ``outcomes`` (host, bad).
 
     Suffixes are shrunk towards all pages, domains towards their suffix, hosts towards their domain.
@@ -127,9 +135,8 @@ def reputation(outcomes: DataFrame) -> DataFrame:
         outcomes.where(F.col("bad").isNotNull())
         .groupBy("host")
         .agg(F.count("*").alias("n"), F.count_if(F.col("bad")).alias("k"))
-        .select(
-            "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "k"
-        )
+        .withColumn("suffix", suffix_of(F.col("host"), suffixes))
+        .select("host", domain_of(F.col("host"), F.col("suffix")).alias("domain"), "suffix", "n", "k")
     )
     hosts = checkpointed(hosts)
     domains = checkpointed(
@@ -163,6 +170,7 @@ def judged_urls(
     key: str = "page_id",
     url: str = "url",
     bound: float = BOUND,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """Every page with host, path, rule, verdict, rate and low.
 
@@ -171,7 +179,7 @@ def judged_urls(
     or has no ``://`` has an empty host, which no rule fits and which is allowed.
     """
     told = outcomes.select(host_of(F.col("url")).alias("host"), F.col("bad").cast("boolean").alias("bad"))
-    known = checkpointed(reputation(told.where("host <> ''")))
+    known = checkpointed(reputation(told.where("host <> ''"), suffixes))
     rows = pages.select(
         F.col(key).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
     )

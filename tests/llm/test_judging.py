@@ -10,8 +10,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from featloom.llm import crf
+from featloom.llm import crf, urls
 from featloom.llm.crf import blocks, extracted, features, labelled, main_text, trained, viterbi
 from featloom.llm.pitman_yor import perplexities, scored, seated
 from featloom.llm.quality import beta_prior, drop_low_quality, host_verdicts, judged, measures
@@ -102,6 +103,22 @@ def test_url_rules(spark):
     assert [(r["host"], r["path"], r["rule"], r["verdict"]) for r in found] == [plain_verdict(u) for u in URLS]
 
 
+def test_domains_of_ordinary_hosts(spark):
+    wanted = {
+        "www.foo.com": ("foo.com", "com"), "blog.foo.com": ("foo.com", "com"), "foo.com": ("foo.com", "com"),
+        "a.b.foo.co.uk": ("foo.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "com": ("com", "com"),
+        "h.d.example.com": ("d.example.com", "example.com"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in wanted], "host string").withColumn("suffix", urls.suffix_of(F.col("host")))
+    found = hosts.select("host", urls.domain_of(F.col("host"), F.col("suffix")), "suffix").collect()
+    assert {h: tuple(x) for h, *x in found} == wanted
+    rows = [(h, True) for h in ("www.foo.com", "blog.foo.com") for _ in range(40)] + [(f"w{k}.d{k % 9}.com", False) for k in range(90)]
+    rows += [("new.foo.com", True), ("new.d1.com", True)]
+    rates = {r["host"]: r["rate"] for r in reputation(spark.createDataFrame(rows, "host string, bad boolean")).collect()}
+    # a host with one page is judged by the others of its domain
+    assert rates["new.foo.com"] > rates["new.d1.com"]
+
+
 def test_reputation_is_shrunk(spark):
     rng = random.Random(0)
     rows = []
