@@ -61,11 +61,13 @@ def fingerprint(text: bytes, words: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(values), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SHINGLE
+) -> DataFrame:
     """doc_id, text_hash and fingerprint (a signed number) of every row; null counts as empty."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        marks = np.array([fingerprint(x) for x in text_bytes(batch)], np.uint64)
+        marks = np.array([fingerprint(x, words) for x in text_bytes(batch)], np.uint64)
         return {
             "doc_id": batch.column("doc_id"),
             "text_hash": batch.column("text_hash"),
@@ -80,16 +82,18 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return map_batches(columns, make, "doc_id long, text_hash long, fp long")
 
 
-def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_groups(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SHINGLE, bits: int = BITS
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, fp, component_id, n_keep.
 
-    component_id is the smallest doc_id that links of at most ``BITS`` differing bits reach; it is
+    component_id is the smallest doc_id that links of at most ``bits`` differing bits reach; it is
     null only if all of them are null. ``n_keep`` counts the component's rows with that doc_id.
     Equal fingerprints are one node. Empty input gives no rows; other columns are not read.
     """
-    marks = checkpointed(fingerprints(docs, text, doc_id))
+    marks = checkpointed(fingerprints(docs, text, doc_id, words))
     nodes = checkpointed(marks.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(near_links(nodes.select("fp")))
+    roots = components(near_links(nodes.select("fp"), bits=bits))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
@@ -108,12 +112,14 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     )
 
 
-def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SHINGLE, bits: int = BITS
+) -> DataFrame:
     """``docs`` with one row of every near-duplicate group, the one with the smallest doc_id.
 
     Columns stay as they are; of several rows with that doc_id in a group one is left.
     """
-    groups = near_groups(docs, text, doc_id)
+    groups = near_groups(docs, text, doc_id, words, bits)
     verdicts = groups.select(
         "doc_id",
         F.col("text_hash").alias("key"),
@@ -124,8 +130,8 @@ def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     return without(docs, checkpointed(verdicts), doc_id, F.xxhash64(present(text)))
 
 
-def near_links(fps: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
-    """Links ``a``, ``b`` that connect all fingerprints of at most ``BITS`` differing bits.
+def near_links(fps: DataFrame, limit: int = LIMIT, step: int = STEP, bits: int = BITS) -> DataFrame:
+    """Links ``a``, ``b`` that connect all fingerprints of at most ``bits`` differing bits, ``BITS`` at most.
 
     The trie is walked once for each of four rotations of the bits, the first ``BLOCK`` levels
     without a difference: one of four blocks of two near fingerprints is equal. Below, pairs of
@@ -133,6 +139,8 @@ def near_links(fps: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFram
     nodes with more than ``limit`` fingerprints are first split by Spark, ``step`` levels at a time; tasks
     then join the pairs in memory, and return a spanning forest of what they find.
     """
+    if not 0 <= bits <= BITS:
+        raise ValueError(f"four blocks find links of 0 to {BITS} bits, not {bits}")
     ship(fps.sparkSession)
     turned = None
     for turn in range(64 // BLOCK):
@@ -159,7 +167,7 @@ def near_links(fps: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFram
         keys = ["turn", "depth", "pa", "pb"]
         ready.append(pairs.join(large, keys, "left_anti"))
         open_pairs = large.where((F.col("pa") == F.col("pb")) | F.col("both")).select(*keys)
-        pairs = checkpointed(split_pairs(pairs.join(open_pairs, keys), step))
+        pairs = checkpointed(split_pairs(pairs.join(open_pairs, keys), step, bits))
     rows = ready[0]
     for more in ready[1:]:
         rows = rows.unionByName(more)
@@ -169,13 +177,13 @@ def near_links(fps: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFram
 
     def run(batches: Batches) -> Batches:
         for whole in whole_groups(batches, ["turn", "pa", "pb", "depth"], FLUSH):
-            a, b = joined({c: whole.column(c).to_numpy().astype(np.int64) for c in whole.column_names})
+            a, b = joined({c: whole.column(c).to_numpy().astype(np.int64) for c in whole.column_names}, bits)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=arrow)
 
     return rows.select("turn", "pa", "pb", "depth", "side", "v").mapInArrow(run, schema)
 
 
-def split_pairs(pairs: DataFrame, step: int) -> DataFrame:
+def split_pairs(pairs: DataFrame, step: int, bits: int) -> DataFrame:
     """Pairs of nodes ``step`` levels lower that are still within the budget of differing bits."""
     lower = F.least(F.lit(step), F.lit(64) - F.col("depth"))
     depth = F.col("depth") + lower
@@ -186,7 +194,7 @@ def split_pairs(pairs: DataFrame, step: int) -> DataFrame:
     deeper = deeper.select("*", other.alias("other"), masks.alias("low"))
     partner = F.expr("shiftleft(other, lower)").bitwiseOR(F.col("low"))
     deeper = deeper.where("low < shiftleft(1L, lower)").withColumn("partner", partner)
-    deeper = deeper.where(F.bit_count(F.col("own").bitwiseXOR(F.col("partner"))) <= BITS)
+    deeper = deeper.where(F.bit_count(F.col("own").bitwiseXOR(F.col("partner"))) <= bits)
     same = F.col("pa") == F.col("pb")
     # below a node paired with itself, the smaller of two children is the first side
     first = F.when(same, F.col("own") <= F.col("partner")).otherwise(F.col("side") == 0)
@@ -200,7 +208,7 @@ def split_pairs(pairs: DataFrame, step: int) -> DataFrame:
     )
 
 
-def joined(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def joined(rows: dict[str, np.ndarray], most: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest, as fingerprints, of the links inside the given pairs of nodes."""
     value = rows["v"].view(np.uint64)
     order = np.lexsort((value, rows["side"], rows["depth"], rows["pb"], rows["pa"], rows["turn"]))
@@ -223,15 +231,15 @@ def joined(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     for bit in range(63 - BLOCK, -1, -1):
         if not pairs.shape[1]:
             break
-        pairs, differing = compared_leaves(pairs, differing, value, root)
-        pairs, differing = one_level(pairs, differing, value, bit)
-    compared_leaves(pairs, differing, value, root, all_pairs=True)
+        pairs, differing = compared_leaves(pairs, differing, value, root, most)
+        pairs, differing = one_level(pairs, differing, value, bit, most)
+    compared_leaves(pairs, differing, value, root, most, all_pairs=True)
     # what is one fingerprint may stand below several pairs of nodes
     far = np.flatnonzero(root != np.arange(len(root)))
     return plain[far].view(np.int64), plain[root[far]].view(np.int64)
 
 
-def one_level(pairs: np.ndarray, differing: np.ndarray, value: np.ndarray, bit: int) -> tuple:
+def one_level(pairs: np.ndarray, differing: np.ndarray, value: np.ndarray, bit: int, most: int) -> tuple:
     """The pairs of children of all pairs of nodes; pairs over the budget of bits end here."""
     a0, a2, b0, b2 = pairs
     shift = np.uint64(bit)
@@ -247,7 +255,7 @@ def one_level(pairs: np.ndarray, differing: np.ndarray, value: np.ndarray, bit:
     ]
     out, bits = [], []
     for x0, x1, y0, y1, d, where in children:
-        keep = (x1 > x0) & (y1 > y0) & (d <= BITS)
+        keep = (x1 > x0) & (y1 > y0) & (d <= most)
         if where is not None:
             keep &= where
         # a fingerprint paired with itself is no link
@@ -271,7 +279,7 @@ def cut(value: np.ndarray, low: np.ndarray, high: np.ndarray, shift: np.uint64,
 
 
 def compared_leaves(
-    pairs: np.ndarray, differing: np.ndarray, value: np.ndarray, root: np.ndarray, all_pairs: bool = False
+    pairs: np.ndarray, differing: np.ndarray, value: np.ndarray, root: np.ndarray, most: int, all_pairs: bool = False
 ) -> tuple:
     """Compare the fingerprints of small pairs of nodes and join near ones; the other pairs."""
     a0, a1, b0, b1 = pairs
@@ -290,7 +298,7 @@ def compared_leaves(
         width = (b1 - b0)[some][which]
         i = a0[some][which] + place // width
         j = b0[some][which] + place % width
-        near = (i != j) & (np.bitwise_count(value[i] ^ value[j]) <= BITS)
+        near = (i != j) & (np.bitwise_count(value[i] ^ value[j]) <= most)
         unite(root, i[near], j[near])
         at = to
     return pairs[:, ~small], differing[~small]

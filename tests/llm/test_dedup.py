@@ -124,3 +124,21 @@ def test_empty_tables(spark):
     none = plain.frame(spark, [])
     assert exact_groups(none).count() == drop_exact(none).count() == 0
     assert near_groups(none).count() == drop_near(none).count() == 0
+
+
+def test_words_and_bits_are_parameters(spark):
+    rows = [(i, t) for i, t in plain.awkward(3) if i is not None]
+    docs = plain.frame(spark, rows)
+    found = near_groups(docs, words=5, bits=1).collect()
+    marks = {r["doc_id"]: set() for r in found}
+    for r in found:
+        marks[r["doc_id"]].add((r["fp"] % 2**64, r["component_id"]))
+    own = [(i, fingerprint((t or "").encode(), 5)) for i, t in rows]
+    places = plain.linked([m for _, m in own], 1)
+    low = {p: min(i for (i, _), q in zip(own, places) if q == p) for p in places}
+    wanted = {i: set() for i, _ in rows}
+    for (i, m), p in zip(own, places):
+        wanted[i].add((m, low[p]))
+    assert marks == wanted
+    with pytest.raises(ValueError, match="0 to 3 bits"):
+        near_groups(docs, bits=4)
