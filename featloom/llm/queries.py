@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import quality, urls
+from featloom.llm import mixing, quality, urls
 from featloom.llm.bytebpe import round_trip
 from featloom.llm.common import table
 from featloom.llm.crf import extracted
 from featloom.llm.exact import exact_groups
+from featloom.llm.mixing import mix_report
 from featloom.llm.packing import packed
 from featloom.llm.pitman_yor import scored
 from featloom.llm.planes import encoded_files
@@ -77,6 +78,11 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document the mix of all sources takes."""
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_repeated_strings": op2_repeated_strings,
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tree_bpe": op8_tree_bpe,
     "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     "op10_simhash_trie": op10_simhash_trie,
+    "op11_systematic_mix": op11_systematic_mix,
 }
 
 
@@ -187,4 +194,38 @@ ORACLES: dict[str, str] = {
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_systematic_mix": f"""
+        WITH sized AS (
+          SELECT doc_id, source, CAST(len(list_filter(
+                   string_split_regex(coalesce(text, ''), '{BLANK}+'), lambda x: x <> '')) AS BIGINT) AS size
+          FROM documents),
+        sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+        placed AS (
+          SELECT *, {list(mixing.WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1)
+                                           % {len(mixing.WEIGHTS)} + 1] AS weight,
+                 {mixing.MOST} * source_size AS cap
+          FROM sources),
+        filled AS (
+          SELECT *, {mixing.PERCENT} * sum(source_size) OVER () - 100 * (sum(cap) OVER o - cap) AS rest,
+                 sum(weight) OVER () - sum(weight) OVER o + weight AS share, row_number() OVER o AS place
+          FROM placed WINDOW o AS (ORDER BY cap / weight, source NULLS LAST)),
+        first AS (
+          SELECT CAST(rest AS DOUBLE) AS rest, CAST(100 * share AS DOUBLE) AS share FROM filled
+          WHERE rest / share <= 100 * cap / weight ORDER BY place LIMIT 1),
+        targets AS (
+          SELECT source, source_size, least(CAST(cap AS DOUBLE), f.rest * weight / f.share) AS target
+          FROM filled, first f),
+        rated AS (
+          SELECT *, CAST(CASE WHEN source_size > 0 THEN round(target / source_size * {1 << mixing.BITS})
+                         ELSE 0 END AS BIGINT) AS expected,
+                 ('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', source)), 1, {mixing.BITS // 4}))::BIGINT
+                   AS start
+          FROM targets),
+        summed AS (
+          SELECT doc_id, size, source_size, target, expected, start + CAST(sum(expected) OVER (
+                   PARTITION BY s.source ORDER BY size DESC, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+          FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source)
+        SELECT doc_id, size, source_size, target,
+               size * ((upto >> {mixing.BITS}) - ((upto - expected) >> {mixing.BITS})) AS taken
+        FROM summed""",
 }
