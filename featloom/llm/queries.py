@@ -20,6 +20,7 @@ from featloom.llm.quality import judged
 from featloom.llm.repeats import repeat_report
 from featloom.llm.simhash import near_groups
 from featloom.llm.urls import Rule, judged_urls, page_outcomes
+from featloom.llm.whitening import whitened
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,11 @@ def op11_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the whitened components of their covariance."""
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_repeated_strings": op2_repeated_strings,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     "op10_simhash_trie": op10_simhash_trie,
     "op11_systematic_mix": op11_systematic_mix,
+    "op12_qd_whitening": op12_qd_whitening,
 }
 
 
