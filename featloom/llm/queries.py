@@ -7,12 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import mixing, quality, urls
+from featloom.llm import mixing, negatives, quality, urls
 from featloom.llm.bytebpe import round_trip
 from featloom.llm.common import table
 from featloom.llm.crf import extracted
 from featloom.llm.exact import exact_groups
 from featloom.llm.mixing import mix_report
+from featloom.llm.negatives import mined
 from featloom.llm.packing import packed
 from featloom.llm.pitman_yor import scored
 from featloom.llm.planes import encoded_files
@@ -89,6 +90,11 @@ def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of all anchors and their positives among all embeddings."""
+    return mined(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_repeated_strings": op2_repeated_strings,
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_trie": op10_simhash_trie,
     "op11_systematic_mix": op11_systematic_mix,
     "op12_qd_whitening": op12_qd_whitening,
+    "op13_segment_negatives": op13_segment_negatives,
 }
 
 
@@ -235,4 +242,29 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
                size * ((upto >> {mixing.BITS}) - ((upto - expected) >> {mixing.BITS})) AS taken
         FROM summed""",
+    "op13_segment_negatives": f"""
+        WITH clean AS (
+          SELECT vec_id, CASE WHEN vec_id % {negatives.SHIFTED} = 0 THEN (label + 1) % {negatives.CLASSES}
+                              ELSE label END AS label,
+                 list_transform(embedding, lambda c: floor({negatives.SCALE} * CAST(c AS DOUBLE))) AS x,
+                 row_number() OVER () AS row
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        scored AS (
+          SELECT a.row AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                 CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+          FROM clean a JOIN clean b ON a.row <> b.row AND a.vec_id % {negatives.EVERY} = 0),
+        positives AS (
+          SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+          FROM scored WHERE same QUALIFY place <= {negatives.POSITIVES}),
+        ranked AS (
+          SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+                 p.score AS positive_score, n.score AS negative_score,
+                 CAST(row_number() OVER (PARTITION BY p.anchor, p.place
+                                         ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+          FROM positives p JOIN scored n
+            ON p.anchor = n.anchor AND NOT n.same AND 100 * n.score BETWEEN {negatives.LOWEST} * p.score
+                                                               AND {negatives.HIGHEST} * p.score)
+        SELECT * FROM ranked WHERE rank <= {negatives.NEGATIVES}""",
 }
