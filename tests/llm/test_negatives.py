@@ -102,7 +102,7 @@ def test_bounds_hold_and_prune(spark):
         assert last is None or (middle + reach <= last + 1e-6).all()
         last = middle + reach
     assert np.allclose(last, scores)
-    rows = [(k, [float(c) for c in np.repeat(rng.normal(0, 1, 4), 8) + rng.normal(0, 0.02, 32)], 0) for k in range(300)]
+    rows = [(7 * k + 1, [float(c) for c in np.repeat(rng.normal(0, 1, 4), 8) + rng.normal(0, 0.02, 32)], 0) for k in range(300)]
     whole, width = stored(taking_part(spark.createDataFrame(rows, SCHEMA)))
     one = Vectors.of(whole.toArrow(), width, (1, 4, 16))
     low = np.sort((one.x @ one.x.T), axis=1)[:, -6]
