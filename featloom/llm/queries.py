@@ -139,19 +139,44 @@ def rule_sql(host: str, path: str, rules: Sequence[Rule], wanted: str) -> str:
     return "CASE " + " ".join(lines) + " END"
 
 
+def suffix_sql(host: str, suffixes: Sequence[str]) -> str:
+    """The longest of ``suffixes`` that ends the host at a label, else its last label."""
+    longest = sorted(suffixes, key=lambda s: s.count("."), reverse=True)
+    lines = [f"WHEN {host} = '{s}' OR ends_with({host}, '.{s}') THEN '{s}'" for s in longest]
+    return (
+        f"CASE WHEN regexp_full_match({host}, '[0-9.]+') THEN {host} "
+        + " ".join(lines)
+        + f" ELSE list_last(string_split({host}, '.')) END"
+    )
+
+
 BLANK = r"[\x20\x09-\x0D]"
 HOST = r"""translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 
+# the article of the given pages below its heading: paragraphs of plain text, and two character references
+CARRIED = r"""trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(
+                regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '(?s)<h1>.*?</h1>', '', 'g'),
+                '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;', '&'), '[\x20\x09-\x0D]+', ' ', 'g'))"""
+
 ORACLES: dict[str, str] = {
     "op1_url_reputation": f"""
-        WITH parts AS (SELECT page_id, {HOST} AS host, {PATH} AS path FROM pages),
+        WITH parts AS (SELECT page_id, {HOST} AS host, {PATH} AS path, html FROM pages),
+        told AS (
+          SELECT trim(regexp_replace(coalesce(text, ''), '{BLANK}+', ' ', 'g')) AS words,
+                 max(quality = 0 OR toxic = 1) AS bad
+          FROM documents JOIN labels USING (doc_id) GROUP BY ALL HAVING words <> ''),
+        outcomes AS (
+          SELECT host, bad, {suffix_sql("host", urls.SUFFIXES)} AS suffix
+          FROM parts JOIN told ON words = {CARRIED} WHERE host <> ''),
         hosts AS (
-          SELECT host, array_to_string(string_split(host, '.')[-3:], '.') AS domain,
-                 array_to_string(string_split(host, '.')[-2:], '.') AS suffix,
-                 count(*) AS n, count(*) FILTER (quality = 0 OR toxic = 1) AS k
-          FROM parts JOIN labels ON page_id = doc_id WHERE host <> '' GROUP BY ALL),
+          SELECT host, suffix,
+                 CASE WHEN host = suffix THEN host
+                      ELSE list_last(string_split(left(host, length(host) - length(suffix) - 1), '.'))
+                           || '.' || suffix END AS domain,
+                 count(*) AS n, count(*) FILTER (bad) AS k
+          FROM outcomes WHERE bad IS NOT NULL GROUP BY ALL),
         domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
         suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
         {prior_sql("top", "suffixes")}, {prior_sql("middle", "domains")}, {prior_sql("low", "hosts")},

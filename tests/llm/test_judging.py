@@ -137,6 +137,67 @@ def test_reputation_is_shrunk(spark):
     assert verdicts == {1: "block", 2: "allow"}
 
 
+def plain_prior(groups):
+    """Size of the beta prior of (n, k) by moments, and its mean."""
+    n, k, c = sum(g[0] for g in groups), sum(g[1] for g in groups), len(groups)
+    mean = k / n
+    if not 0 < mean < 1:
+        size = 1 + 2 / (n + 2)
+        return (mean + 1 / (n + 2)) / size, size
+    between = sum(n * (k / n - mean) ** 2 for n, k in groups) - (c - 1) * mean * (1 - mean)
+    room = n - sum(g[0] ** 2 for g in groups) / n - (c - 1)
+    inner = between / room / (mean * (1 - mean)) if room > 0 else 1.0
+    return mean, 1 / min(max(inner, 1e-4), 0.99) - 1
+
+
+def plain_rates(rows, suffixes=("co.uk",)):
+    """rate and low of every host, level by level over dictionaries."""
+    counts = [Counter() for _ in range(6)]
+    chain = {}
+    for host, bad in rows:
+        if bad is None:
+            continue
+        labels = host.split(".")
+        two = ".".join(labels[-2:])
+        suffix = two if two in suffixes else labels[-1]
+        more = len(suffix.split(".")) + 1
+        chain[host] = (".".join(labels[-more:]), suffix)
+        for k, name in enumerate((host, *chain[host])):
+            counts[k][name] += 1
+            counts[k + 3][name] += bad
+    groups = [[(counts[k][g], counts[k + 3][g]) for g in counts[k]] for k in range(3)]
+    mean, size = plain_prior(groups[2])
+    above = {s: (counts[5][s] + mean * size) / (n + size) for s, n in counts[2].items()}
+    _, size = plain_prior(groups[1])
+    parents = {d: s for d, s in chain.values()}
+    above = {d: (counts[4][d] + above[parents[d]] * size) / (n + size) for d, n in counts[1].items()}
+    _, size = plain_prior(groups[0])
+    out = {}
+    for host, n in counts[0].items():
+        rate = (counts[3][host] + above[chain[host][0]] * size) / (n + size)
+        out[host] = (n, counts[3][host], rate, rate - urls.SURE * math.sqrt(rate * (1 - rate) / (n + size + 1)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rates_level_by_level(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for d in range(12):
+        suffix = rng.choice(["com", "org", "co.uk", "uk"])
+        rate = rng.choice([0.02, 0.3, 0.95])
+        for h in range(rng.randint(1, 4)):
+            rows += [(f"h{h}.d{d}.{suffix}", rng.random() < rate) for _ in range(rng.choice([1, 3, 200]))]
+    rows += [("com", True), ("co.uk", False), ("h0.d0.org", None), ("none.org", None)]
+    if seed == 3:
+        rows = [(h, None if b is None else False) for h, b in rows]
+    frame = spark.createDataFrame(rows, "host string, bad boolean").repartition(3)
+    found = {h: tuple(x) for h, *x in reputation(frame, ("co.uk",)).collect()}
+    wanted = plain_rates(rows)
+    assert found.keys() == wanted.keys()
+    assert all(found[h] == pytest.approx(wanted[h], rel=1e-9) for h in wanted)
+
+
 def test_outcomes_follow_the_text(spark, tmp_path):
     """Numbers of pages and documents have nothing to do with each other; the text tells whose label it is."""
     rng = random.Random(5)
