@@ -224,6 +224,22 @@ def test_search_does_not_depend_on_parallelism(spark, labelled):
     assert tie.best.trial == 0
 
 
+def test_search_learns_from_its_trials(spark, labelled):
+    """The same random beginning, then settings of its own, whatever the number of threads."""
+    noisy = labelled.withColumn("y", F.when(F.col("id").cast("int") % 4 == 0, 1 - F.col("y")).otherwise(F.col("y")))
+    train, held = split(noisy, "id")
+    space = SearchSpace(trees=(1, 9), fraction=(0.1, 0.9))
+    found = [
+        search(train, held, SPEC, "y", space, max_trials=8, parallelism=n, startup=5, ahead=2)
+        for n in (1, 3)
+    ]
+    assert found[0] == found[1] and len(found[0].trials) == 8
+    settings = [(t.trees, t.fraction) for t in found[0].trials]
+    drawn = space.draw(8, 50)
+    assert settings[:5] == drawn[:5] and not set(settings[5:]) & set(drawn[5:])
+    assert len({t.loss for t in found[0].trials}) > 1
+
+
 def test_stored_model_scores_tables_and_ids(spark, labelled, tmp_path):
     source = f"{tmp_path}/features"
     labelled.drop("y").write.parquet(source)

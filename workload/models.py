@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from featloom.learning import score as scoring
 from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor
-from featloom.learning.search import fit_best, search
+from featloom.learning.search import SearchSpace, fit_best, search
 from featloom.learning.train import (
     fit_validate_refit,
     predict,
@@ -24,7 +24,7 @@ from featloom.learning.train import (
     train_gbt_regressor,
 )
 from featloom.operators.lookup import FeatureLookup, feature_columns, lookup, training_set
-from featloom.operators.split import VALIDATION, mark_split, split
+from featloom.operators.split import VALIDATION, hash_bucket, mark_split, split
 from featloom.plans.passengers import (
     FLAT_SPEC,
     ID,
@@ -170,6 +170,45 @@ def searched_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(model, validation).select(ID, LABEL, "prediction")
 
 
+NOISE = 20
+SEARCHED, RANDOM_FIRST = 24, 12
+
+
+def noisy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trials of a search on labels of which a fifth is wrong, so that settings differ in loss.
+
+    From the thirteenth trial on, settings follow from the losses before and are no longer the random ones.
+    """
+    wrong = hash_bucket(ID, seed=7) < NOISE
+    labelled = _labelled_flat(spark, sf_dir)
+    noisy = labelled.withColumn(LABEL, F.when(wrong, 1 - F.col(LABEL)).otherwise(F.col(LABEL)))
+    train, validation = _parts(noisy)
+    space = SearchSpace(trees=(2, 12))
+    found = search(
+        train,
+        validation,
+        FLAT_SPEC,
+        LABEL,
+        space,
+        max_trials=SEARCHED,
+        patience=SEARCHED,
+        parallelism=8,
+        depth=3,
+        startup=RANDOM_FIRST,
+    )
+    losses = [t.loss for t in found.trials]
+    rows = [
+        (t.trial, 2 <= t.trees <= 12, 0.5 <= t.fraction <= 0.9, abs(1 - t.f1 - t.loss) < 1e-12, (t.trees, t.fraction) != drawn)
+        for t, drawn in zip(found.trials, space.draw(SEARCHED, 50))
+    ]
+    trials = spark.createDataFrame(
+        rows, "trial int, trees_in_range boolean, fraction_in_range boolean, loss_of_f1 boolean, guided boolean"
+    )
+    return trials.withColumns(
+        {"losses_differ": F.lit(len(set(losses)) > 1), "best_is_least": F.lit(found.best.loss == min(losses))}
+    )
+
+
 def gbt_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out vectors with a number that follows from their label, one more part of the vector."""
     parts = F.concat(F.col("embedding").cast("array<double>"), F.array(F.col("label").cast("double")))
@@ -292,6 +331,7 @@ QUERIES = {
     "refit_predictions": refit_predictions,
     "search_trials": search_trials,
     "searched_forest": searched_forest,
+    "noisy_search": noisy_search,
     "gbt_regression": gbt_regression,
     "score_table": score_table,
     "score_batch": score_batch,
@@ -335,6 +375,10 @@ ORACLES = {
         SELECT CAST(range AS INTEGER) AS trial, true AS trees_in_range, true AS fraction_in_range,
                0.0::DOUBLE AS loss, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1
         FROM range(25)""",
+    "noisy_search": f"""
+        SELECT CAST(range AS INTEGER) AS trial, true AS trees_in_range, true AS fraction_in_range,
+               true AS loss_of_f1, range >= {RANDOM_FIRST} AS guided, true AS losses_differ, true AS best_is_least
+        FROM range({SEARCHED})""",
     "gbt_regression": f"""
         SELECT vec_id, label % 3 * 2.5::DOUBLE - 1 AS target, label % 3 * 2.5::DOUBLE - 1 AS prediction
         FROM embeddings WHERE {is_validation("vec_id", seed=42, percent=20)}""",
