@@ -47,12 +47,13 @@ class Preprocessor:
     sizes: Mapping[str, int] = field(default_factory=dict)
     modes: Mapping[str, float] = field(default_factory=dict)
 
-    def transform(self, df: DataFrame, one_hot: bool = True) -> DataFrame:
+    def transform(self, df: DataFrame, one_hot: bool = True, fill: bool = True) -> DataFrame:
         """``df`` with ``features``.
 
         With ``one_hot`` every level has a slot, and an unseen level sets none. Otherwise a column
         has one slot with the position of its level, and -1 for an unseen one: a few numbers a row,
-        however many levels there are.
+        however many levels there are. Without ``fill`` a number that is not there stays NaN instead of
+        the mode, and so does the position of an unseen level, for models that take missing values.
         """
         spec = self.spec
         found = df.withColumns({f"__level_{c}": _level(spec, c) for c in spec.categorical})
@@ -63,11 +64,12 @@ class Preprocessor:
             # Spark broadcasts the levels of a column while they are small, and splits a hot level
             # of the rows in a sorted join beyond that.
             found = found.join(own, f"__level_{c}", "left")
-        unseen = {c: self.sizes[c] if one_hot else -1 for c in spec.categorical}
+        absent = -1 if fill else float("nan")
+        unseen = {c: self.sizes[c] if one_hot else absent for c in spec.categorical}
         found = found.withColumns(
             {
-                **{f"__at_{c}": F.coalesce(f"__at_{c}", F.lit(n)).cast("double") for c, n in unseen.items()},
-                **{f"__number_{c}": _imputed(c, self.modes[c]) for c in spec.numeric},
+                **{f"__at_{c}": F.coalesce(F.col(f"__at_{c}").cast("double"), F.lit(float(n))) for c, n in unseen.items()},
+                **{f"__number_{c}": _imputed(c, self.modes[c] if fill else float("nan")) for c in spec.numeric},
                 **{f"__number_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in spec.binary},
             }
         )
@@ -81,7 +83,8 @@ class Preprocessor:
             found = encoder.fit(df.sparkSession.createDataFrame([last], schema)).transform(found)
             parts = slots
         parts = [*parts, *[f"__number_{c}" for c in (*spec.numeric, *spec.binary)]]
-        return VectorAssembler(inputCols=parts, outputCol=FEATURES).transform(found).select(*df.columns, FEATURES)
+        assembler = VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="error" if fill else "keep")
+        return assembler.transform(found).select(*df.columns, FEATURES)
 
 
 def _level(spec: FeatureSpec, column: str) -> Column:

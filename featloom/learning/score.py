@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from featloom.learning.boost import BoostedTrees
 from featloom.learning.prep import FeatureSpec, Preprocessor
 from featloom.learning.train import TreeModel
 from featloom.operators.evaluate import evaluate_classifier
@@ -40,13 +41,20 @@ def save_model(stored: StoredModel, path: str, spark: SparkSession) -> None:
     if not all(isinstance(one.table, str) for one in stored.lookups):
         raise TypeError("a stored lookup needs the name or path of its table")
     prepared = stored.model.preprocessor
+    trees = stored.model.trees
+    boosted = isinstance(trees, BoostedTrees)
     facts = {
+        "boosted": boosted,
+        "fill": stored.model.fill,
         "spec": asdict(prepared.spec),
         "sizes": dict(prepared.sizes),
         "modes": dict(prepared.modes),
         "lookups": [asdict(one) for one in stored.lookups],
     }
-    stored.model.trees.write().overwrite().save(f"{path}/trees")
+    if boosted:
+        trees.save(f"{path}/trees", spark)
+    else:
+        trees.write().overwrite().save(f"{path}/trees")
     if prepared.levels is not None:
         prepared.levels.write.mode("overwrite").parquet(f"{path}/levels")
     text = spark.createDataFrame([(json.dumps(facts),)], "value string")
@@ -63,8 +71,11 @@ def load_model(spark: SparkSession, path: str) -> StoredModel:
     )
     levels = spark.read.parquet(f"{path}/levels") if facts["sizes"] else None
     prepared = Preprocessor(FeatureSpec(**groups), levels, facts["sizes"], facts["modes"])
-    trees = DefaultParamsReader.loadParamsInstance(f"{path}/trees", spark.sparkContext)
-    return StoredModel(TreeModel(prepared, trees), lookups)
+    if facts.get("boosted"):
+        trees = BoostedTrees.load(spark, f"{path}/trees")
+    else:
+        trees = DefaultParamsReader.loadParamsInstance(f"{path}/trees", spark.sparkContext)
+    return StoredModel(TreeModel(prepared, trees, facts.get("fill", True)), lookups)
 
 
 def load_current(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator, Model
@@ -13,6 +15,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featloom.learning.boost import SQUARES, BoostedTrees, BoostSettings, fit_boosted
 from featloom.learning.prep import FEATURES, FeatureSpec, Preprocessor, fit_preprocessor
 from featloom.operators.evaluate import compare_splits
 from featloom.operators.split import VALIDATION, mark_split
@@ -28,14 +31,16 @@ class TreeModel:
     """Preprocessing and trees.
 
     The trees see the position of a level as one number. They split it as often as they need to, so
-    neither their bins nor the rows grow with the number of levels.
+    neither their bins nor the rows grow with the number of levels. Without ``fill`` the trees see what is
+    missing.
     """
 
     preprocessor: Preprocessor
-    trees: Model
+    trees: Model | BoostedTrees
+    fill: bool = True
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.trees.transform(self.preprocessor.transform(df, one_hot=False))
+        return self.trees.transform(self.preprocessor.transform(df, one_hot=False, fill=self.fill))
 
 
 def _fit(train: DataFrame, spec: FeatureSpec, label: str, estimator: Estimator) -> TreeModel:
@@ -65,6 +70,26 @@ def train_gbt(
     )
 
 
+def train_boosted(
+    train: DataFrame,
+    spec: FeatureSpec,
+    label: str,
+    rounds: int = 25,
+    fill: bool = True,
+    settings: BoostSettings | None = None,
+) -> TreeModel:
+    """Boosted trees of second order for 0/1 labels.
+
+    With ``fill`` numbers that are missing become the mode first, as for the other trees; without it
+    each split learns on which side they belong. ``settings`` replaces ``rounds`` and all defaults.
+    """
+    settings = settings or BoostSettings(rounds=rounds, depth=TREE_DEPTH, rate=LEARNING_RATE)
+    with kept(train.select(*spec.columns, F.col(label).cast("double").alias(label))) as rows:
+        preprocessor = fit_preprocessor(rows, spec)
+        prepared = preprocessor.transform(rows, one_hot=False, fill=fill).select(FEATURES, label)
+        return TreeModel(preprocessor, fit_boosted(prepared, FEATURES, label, settings), fill)
+
+
 def forest(
     label: str, trees: int, fraction: float, depth: int = 5, seed: int = 123
 ) -> RandomForestClassifier:
@@ -117,18 +142,22 @@ def fit_validate_refit(
     rounds: int = 50,
     test: float = 0.25,
     seed: int = 123,
+    fit: Callable[[DataFrame, FeatureSpec, str, int], TreeModel] | None = None,
 ) -> Refit:
     """Fit on the training part, measure both parts, and fit again on all rows.
 
+    ``fit`` takes rows, spec, label and rounds: by default :func:`train_gbt` with the seed, or for
+    instance :func:`train_boosted`.
+
     ``metrics`` has one row for each part (``is_validation``). Neither fit needs the other, so
     their jobs are submitted side by side and share the kept rows.
     """
     spark = df.sparkSession
     marked = mark_split(df.select(key, label, *spec.columns), key, test, seed)
     with kept(marked) as rows, ThreadPoolExecutor(2) as pool:
-        fit = inheritable_thread_target(spark)(train_gbt)
+        learn = inheritable_thread_target(spark)(fit or partial(train_gbt, seed=seed))
         training = rows.filter(~F.col(VALIDATION))
-        fits = [pool.submit(fit, part, spec, label, rounds, seed) for part in (training, rows)]
+        fits = [pool.submit(learn, part, spec, label, rounds) for part in (training, rows)]
         validated, final = [one.result() for one in fits]
         metrics = compare_splits(predict(validated, rows), VALIDATION, label).collect()
     schema = (
@@ -156,3 +185,12 @@ def train_gbt_regressor(
     )
     with kept(train.select(features, F.col(label).cast("double").alias(label))) as rows:
         return regressor.fit(rows)
+
+
+def train_boosted_regressor(
+    train: DataFrame, features: str, label: str, rounds: int = 10, depth: int = 10, **settings: float
+) -> BoostedTrees:
+    """Regression by boosted trees of second order on a vector or array column; NaN is missing."""
+    return fit_boosted(
+        train, features, label, BoostSettings(rounds=rounds, depth=depth, objective=SQUARES, **settings)
+    )

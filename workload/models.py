@@ -19,6 +19,8 @@ from featloom.learning.search import SearchSpace, fit_best, search
 from featloom.learning.train import (
     fit_validate_refit,
     predict,
+    train_boosted,
+    train_boosted_regressor,
     train_forest,
     train_gbt,
     train_gbt_regressor,
@@ -129,6 +131,31 @@ def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(model, validation).select(ID, LABEL, "prediction")
 
 
+def boosted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by trees of second order, which see that ages and fares are missing."""
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
+    model = train_boosted(train, FLAT_SPEC, LABEL, fill=False)
+    return predict(model, validation).select(ID, LABEL, "prediction")
+
+
+def missing_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number that only the missing measurements of all events tell, learned from a part of them."""
+    events = measured_events(spark, sf_dir).select(
+        "event_id", "value", F.isnan("value").cast("double").alias("target"), F.array("value").alias("features")
+    )
+    train, _ = split(events, "event_id", test=0.5, seed=42)
+    model = train_boosted_regressor(train, "features", "target", rounds=4, depth=3, rate=1.0, ridge=0.0)
+    return model.transform(events).select("event_id", F.round("prediction", 6).alias("prediction"))
+
+
+def boosted_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of both parts by trees of second order, before they are fitted again on all rows."""
+    rows = checkpointed(_looked_up(spark, sf_dir))
+    refit = fit_validate_refit(rows, LOOKUP_SPEC, LABEL, ID, rounds=5, fit=train_boosted)
+    wrong = predict(refit.model, rows).where(F.col("prediction") != F.col(LABEL)).count()
+    return refit.metrics.withColumn("wrong_after_refit", F.lit(wrong).cast("long"))
+
+
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, validation = _parts(_labelled_flat(spark, sf_dir))
     model = train_forest(train, FLAT_SPEC, LABEL, trees=40, fraction=0.7, depth=DEPTH)
@@ -327,6 +354,9 @@ QUERIES = {
     "impute_mode": impute_mode,
     "assemble": assembled,
     "gbt_predictions": gbt_predictions,
+    "boosted_predictions": boosted_predictions,
+    "boosted_refit": boosted_refit,
+    "missing_side": missing_side,
     "forest_predictions": forest_predictions,
     "refit_predictions": refit_predictions,
     "search_trials": search_trials,
@@ -367,6 +397,15 @@ FROM labelled WHERE is_validation"""
 ORACLES = {
     "gbt_predictions": HELD_OUT,
     "forest_predictions": HELD_OUT,
+    "boosted_predictions": HELD_OUT,
+    "boosted_refit": f"""
+        WITH {LABELLED}
+        SELECT is_validation, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1,
+               count(*) AS support, 0::BIGINT AS wrong_after_refit
+        FROM labelled GROUP BY is_validation""",
+    "missing_side": f"""
+        WITH {MEASURED}
+        SELECT event_id, CASE WHEN isnan(value) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM measured""",
     "searched_forest": HELD_OUT,
     "refit_predictions": f"""
         WITH {LABELLED}
