@@ -350,7 +350,10 @@ def best_by_node(columns: list[np.ndarray], turn: np.ndarray, rules: Rules, entr
 
 
 PARTS = "slot int, codes binary, g binary, h binary"
-DONE = "slot int, entry array<int>, code array<int>, missing_low array<boolean>, low array<int>, high array<int>, value array<double>"
+DONE = (
+    "slot int, entry array<int>, code array<int>, missing_low array<boolean>, low array<int>, "
+    "high array<int>, value array<double>"
+)
 
 
 def _finished(
@@ -398,9 +401,9 @@ def _finished(
 
     dealt = state.mapInArrow(deal, PARTS)
     out = [Tree(value=[rules.value(0.0, 0.0)]) for _ in nodes]
-    for row in dealt.groupBy("slot").applyInArrow(finish, DONE).toLocalIterator():
-        lists = {n: list(row[n]) for n in ("entry", "code", "missing_low", "low", "high", "value")}
-        out[row["slot"]] = Tree(cut=[0.0] * len(lists["entry"]), **lists)
+    for row in dealt.groupBy("slot").applyInArrow(finish, DONE).toArrow().to_pylist():
+        slot = row.pop("slot")
+        out[slot] = Tree(cut=[0.0] * len(row["entry"]), **row)
     return out
 
 

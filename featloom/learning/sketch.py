@@ -130,7 +130,7 @@ def weighted_cuts(
         place = F.pmod(F.xxhash64("part"), F.lit(-(-most // FAN))).alias("place")
         parts = parts.groupBy("feature", place).applyInArrow(meet, SUMMARY)
     found = [np.empty(0)] * width
-    for row in parts.drop("part").toLocalIterator():
+    for row in parts.drop("part").collect():
         one = Summary(*(np.array(row[n]) for n in ("value", "least", "most", "weight")))
         found[row["feature"]] = one.cuts(bins)
     return found

@@ -225,7 +225,13 @@ def noisy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     losses = [t.loss for t in found.trials]
     rows = [
-        (t.trial, 2 <= t.trees <= 12, 0.5 <= t.fraction <= 0.9, abs(1 - t.f1 - t.loss) < 1e-12, (t.trees, t.fraction) != drawn)
+        (
+            t.trial,
+            2 <= t.trees <= 12,
+            0.5 <= t.fraction <= 0.9,
+            abs(1 - t.f1 - t.loss) < 1e-12,
+            (t.trees, t.fraction) != drawn,
+        )
         for t, drawn in zip(found.trials, space.draw(SEARCHED, 50))
     ]
     trials = spark.createDataFrame(
