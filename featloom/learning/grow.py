@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-
 from pyspark.sql import functions as F
 
 CELLS = 1 << 22
@@ -98,6 +97,8 @@ class Rules:
 
     ``depth`` None grows until nothing is gained. ``fraction`` looks at so many of the entries at each
     node, chosen by a hash of ``seed`` and the node's place; if none of those gains, at the next in turn.
+    ``classes`` is for slopes g = -label, h = 1 of labels 0 and 1: a node of one class is not split.
+    ``empty`` is what a leaf without rows is worth.
     """
 
     depth: int | None = 6
@@ -107,9 +108,11 @@ class Rules:
     rate: float = 1.0
     fraction: float | None = None
     seed: int = 0
+    classes: bool = False
+    empty: float = 0.0
 
     def value(self, g: float, h: float) -> float:
-        return -g / (h + self.ridge) * self.rate if h + self.ridge > 0 else 0.0
+        return -g / (h + self.ridge) * self.rate if h + self.ridge > 0 else self.empty
 
 
 def mixed(x: np.ndarray | int) -> np.ndarray:
@@ -317,7 +320,10 @@ def best_by_entry(columns: list[np.ndarray], rules: Rules, scale: float) -> list
         fits &= (rest_h >= rules.least_weight) & (gain / 2 > rules.least_gain)
         if missing_low:
             fits &= absent[2] > 0
-        gains.append(np.where(fits, gain, 0.0))
+        if rules.classes:
+            fits &= (whole[0] != 0) & (whole[0] != -whole[1])
+        # a gain that is enough is above zero here, also where splits may gain nothing
+        gains.append(np.where(fits, gain - 2 * min(rules.least_gain, 0.0), 0.0))
         counts.append(n)
     both = np.maximum(*gains)
     best = np.maximum.reduceat(both, starts)

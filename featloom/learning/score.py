@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from featloom.learning.boost import BoostedTrees
+from featloom.learning.forest import Forest
 from featloom.learning.prep import FeatureSpec, Preprocessor
 from featloom.learning.train import TreeModel
 from featloom.operators.evaluate import evaluate_classifier
@@ -24,6 +25,10 @@ from featloom.operators.runs import PRODUCTION, current, run
 from featloom.operators.skew import HotKeys
 
 
+# Trees of our own, by the name that a stored model has for them; others are stored by Spark.
+OWN = {"boosted": BoostedTrees, "forest": Forest}
+
+
 @dataclass(frozen=True)
 class StoredModel:
     """A fitted model and the lookups that supply its inputs."""
@@ -42,16 +47,16 @@ def save_model(stored: StoredModel, path: str, spark: SparkSession) -> None:
         raise TypeError("a stored lookup needs the name or path of its table")
     prepared = stored.model.preprocessor
     trees = stored.model.trees
-    boosted = isinstance(trees, BoostedTrees)
+    kind = next((name for name, one in OWN.items() if isinstance(trees, one)), None)
     facts = {
-        "boosted": boosted,
+        "kind": kind,
         "fill": stored.model.fill,
         "spec": asdict(prepared.spec),
         "sizes": dict(prepared.sizes),
         "modes": dict(prepared.modes),
         "lookups": [asdict(one) for one in stored.lookups],
     }
-    if boosted:
+    if kind:
         trees.save(f"{path}/trees", spark)
     else:
         trees.write().overwrite().save(f"{path}/trees")
@@ -71,8 +76,8 @@ def load_model(spark: SparkSession, path: str) -> StoredModel:
     )
     levels = spark.read.parquet(f"{path}/levels") if facts["sizes"] else None
     prepared = Preprocessor(FeatureSpec(**groups), levels, facts["sizes"], facts["modes"])
-    if facts.get("boosted"):
-        trees = BoostedTrees.load(spark, f"{path}/trees")
+    if facts.get("kind"):
+        trees = OWN[facts["kind"]].load(spark, f"{path}/trees")
     else:
         trees = DefaultParamsReader.loadParamsInstance(f"{path}/trees", spark.sparkContext)
     return StoredModel(TreeModel(prepared, trees, facts.get("fill", True)), lookups)

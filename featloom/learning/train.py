@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featloom.learning.boost import SQUARES, BoostedTrees, BoostSettings, fit_boosted
+from featloom.learning.forest import Forest, fit_forest
 from featloom.learning.prep import FEATURES, FeatureSpec, Preprocessor, fit_preprocessor
 from featloom.operators.evaluate import compare_splits
 from featloom.operators.split import VALIDATION, mark_split
@@ -36,7 +37,7 @@ class TreeModel:
     """
 
     preprocessor: Preprocessor
-    trees: Model | BoostedTrees
+    trees: Model | BoostedTrees | Forest
     fill: bool = True
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -117,6 +118,27 @@ def train_forest(
     return _fit(train, spec, label, forest(label, trees, fraction, depth, seed))
 
 
+def train_deep_forest(
+    train: DataFrame,
+    spec: FeatureSpec,
+    label: str,
+    key: str,
+    trees: int = 100,
+    fraction: float = 1.0,
+    depth: int | None = None,
+    least_rows: int = 1,
+    seed: int = 123,
+    fill: bool = True,
+) -> TreeModel:
+    """Random-forest classifier whose trees are as deep as the rows ask for; ``key`` names the rows."""
+    columns = [*dict.fromkeys([key, *spec.columns]), F.col(label).cast("double").alias(label)]
+    with kept(train.select(*columns)) as rows:
+        preprocessor = fit_preprocessor(rows, spec)
+        prepared = preprocessor.transform(rows, one_hot=False, fill=fill)
+        grown = fit_forest(prepared, FEATURES, label, key, trees, fraction, depth, least_rows, seed)
+        return TreeModel(preprocessor, grown, fill)
+
+
 def predict(model: TreeModel, df: DataFrame) -> DataFrame:
     """The columns of ``df``, ``prediction``, and the probability of class 1 as ``score``."""
     scored = model.transform(df)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.operators.lookup import FeatureLookup, lookup, lookup_all, training_set
-from featloom.operators.split import mark_split
+from featloom.operators.split import VALIDATION, mark_exact_split, mark_split
 from featloom.plans.passengers import (
     demographic_features,
     passenger_lookups,
@@ -112,12 +112,28 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
 
+def exact_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which exactly a quarter, rounded up, is held out."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return mark_exact_split(orders, "o_orderkey")
+
+
+def exact_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out line items by the key of their part: many rows share a hash, and the bound cuts through one."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    marked = mark_exact_split(lines, "l_partkey", test=0.31, seed=5)
+    held = F.count_if(VALIDATION).alias("held_out")
+    return marked.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("rows"), held)
+
+
 QUERIES = {
     "feature_lookup": feature_lookup,
     "multi_lookup": multi_lookup,
     "training_set": training,
     "upsert": upsert,
     "hash_split": hash_split,
+    "exact_shares": exact_shares,
+    "exact_ties": exact_ties,
 }
 
 TRAINING_SET = f"""
@@ -159,4 +175,15 @@ ORACLES = {
                ('0x' || substr(md5(concat('123:', o_orderkey)), 1, 8))::BIGINT % 100 < 25
                  AS is_validation
         FROM orders""",
+    "exact_shares": """
+        SELECT o_orderkey, row_number() OVER (ORDER BY hash) <= ceil(0.25 * count(*) OVER ()) AS is_validation
+        FROM (SELECT o_orderkey, ('0x' || substr(md5(concat('123:', o_orderkey)), 1, 15))::BIGINT AS hash
+              FROM orders)""",
+    "exact_ties": """
+        SELECT l_partkey, count(*) AS rows,
+               greatest(0, least(count(*), ceil(0.31 * (SELECT count(*) FROM lineitem))::BIGINT
+                 - (sum(count(*)) OVER (ORDER BY hash) - count(*))))::BIGINT AS held_out
+        FROM (SELECT l_partkey, ('0x' || substr(md5(concat('5:', l_partkey)), 1, 15))::BIGINT AS hash
+              FROM lineitem)
+        GROUP BY l_partkey, hash""",
 }

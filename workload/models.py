@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.learning import score as scoring
+from featloom.learning.forest import fit_forest
 from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor
 from featloom.learning.search import SearchSpace, fit_best, search
 from featloom.learning.train import (
@@ -21,6 +22,7 @@ from featloom.learning.train import (
     predict,
     train_boosted,
     train_boosted_regressor,
+    train_deep_forest,
     train_forest,
     train_gbt,
     train_gbt_regressor,
@@ -162,6 +164,28 @@ def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(model, validation).select(ID, LABEL, "prediction")
 
 
+def deep_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the rows of the fit, whose labels are a hash of their id: leaves must be pure."""
+    digit = F.floor(F.col("s_suppkey") / (1 << 12))
+    keys = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"),
+        hash_bucket("s_suppkey", seed=3, buckets=2).alias("label"),
+        F.array(*[c.cast("double") for c in (digit, F.col("s_suppkey") % (1 << 12), F.col("s_acctbal"))]).alias(
+            "features"
+        ),
+    )
+    rows = checkpointed(keys)
+    grown = fit_forest(rows, "features", "label", None, trees=3, fraction=0.4)
+    return grown.transform(rows).select("key", "label", "prediction")
+
+
+def deep_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out labels by a forest without a bound on depth."""
+    train, validation = _parts(_labelled_flat(spark, sf_dir))
+    model = train_deep_forest(train, FLAT_SPEC, LABEL, ID, trees=40, fraction=0.7)
+    return predict(model, validation).select(ID, LABEL, "prediction")
+
+
 def _looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine, lookups = spine_and_lookups(spark, sf_dir)
     rows = training_set(spine, lookups, LABEL).df
@@ -360,6 +384,8 @@ QUERIES = {
     "impute_mode": impute_mode,
     "assemble": assembled,
     "gbt_predictions": gbt_predictions,
+    "deep_forest": deep_forest,
+    "deep_predictions": deep_predictions,
     "boosted_predictions": boosted_predictions,
     "boosted_refit": boosted_refit,
     "missing_side": missing_side,
@@ -404,6 +430,10 @@ ORACLES = {
     "gbt_predictions": HELD_OUT,
     "forest_predictions": HELD_OUT,
     "boosted_predictions": HELD_OUT,
+    "deep_predictions": HELD_OUT,
+    "deep_forest": """
+        SELECT s_suppkey AS key, label, CAST(label AS DOUBLE) AS prediction
+        FROM (SELECT s_suppkey, ('0x' || substr(md5(concat('3:', s_suppkey)), 1, 8))::BIGINT % 2 AS label FROM supplier)""",
     "boosted_refit": f"""
         WITH {LABELLED}
         SELECT is_validation, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1,
