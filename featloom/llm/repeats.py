@@ -15,7 +15,9 @@ by the groups of their anchors:
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,12 @@ LIMIT = 2048
 PORTION = 2048
 """Pieces whose groups share a suffix array."""
 
+WORDS = 50
+"""Words of a passage that is cut out of texts where it stands elsewhere, too."""
+REMEMBERED = 1 << 25
+"""Bytes of words whose hashes a worker remembers; beyond, it forgets them and starts again."""
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
 ROW = ["doc_id", "text_hash"]
 PIECE = "doc_id long, text_hash long, anchor long, digest long, first int, n int, offset int"
 SPANS = "doc_id long, text_hash long, begin int, stop int"
@@ -145,7 +153,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     Stretches of a text may overlap. Equal rows repeat one another and have the same stretches.
     """
-    rows = keyed(docs, text, doc_id)
+    return spans_of(keyed(docs, text, doc_id), limit)
+
+
+def spans_of(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """The repeated stretches of ``rows`` (doc_id, text_hash, text), whose texts may be any bytes."""
     pieces = checkpointed(all_pieces(rows))
     counts = checkpointed(pieces.groupBy("anchor", "digest").agg(F.count("*").alias("n_equal")))
     groups = counts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n_equal").alias("least"))
@@ -369,11 +381,63 @@ def agreement(a: bytes, b: bytes) -> int:
     return int(x.argmax())
 
 
-def with_spans(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, str]:
-    """``docs`` with an array of their repeated stretches, null if there is none, and its name."""
-    spans = repeated_spans(docs, text, doc_id).groupBy(*ROW).agg(
-        F.collect_set(F.struct("begin", "stop")).alias("spans")
-    )
+class WordHashes(dict):
+    """The hashes of words as ``width`` bytes each; what is remembered is bounded in bytes."""
+
+    def __init__(self, width: int) -> None:
+        super().__init__()
+        self.width, self.room = width, REMEMBERED
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = xxhash.xxh3_128_digest(word)[: self.width]
+        if len(word) <= 64:
+            self.room -= len(word) + 100
+            if self.room < 0:
+                self.clear()
+                self.room = REMEMBERED
+            self[word] = found
+        return found
+
+
+@lru_cache(4)
+def known_hashes(width: int) -> WordHashes:
+    """What this worker remembers."""
+    return WordHashes(width)
+
+
+def hash_width(words: int) -> int:
+    """Bytes that stand for a word, so that ``words`` of them are one string."""
+    if LENGTH % words or not 4 <= LENGTH // words <= 16:
+        raise ValueError(f"a passage has 25, 40, 50, 80 or 100 words, not {words}")
+    return LENGTH // words
+
+
+def word_units(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """``rows`` with each word of a text as a hash of few bytes, and nothing between them.
+
+    Strings of LENGTH bytes are passages of ``words`` words then, whatever white space is between them.
+    A repeated stretch can begin or end inside a hash only by a chance agreement of some of its bytes.
+    """
+    width = hash_width(words)
+
+    def make(batch: pa.RecordBatch) -> dict:
+        known = known_hashes(width)
+        texts = [b"".join(map(known.__getitem__, text.split())) for text in text_bytes(batch)]
+        return {"text": pa.array(texts, pa.binary())} | {n: batch.column(n) for n in ROW}
+
+    return map_batches(rows, make, "doc_id long, text_hash long, text binary")
+
+
+def with_spans(docs: DataFrame, text: str, doc_id: str, words: int | None = None) -> tuple[DataFrame, str]:
+    """``docs`` with an array of their repeated stretches, null if there is none, and its name.
+
+    The stretches are bytes of the texts, or with ``words`` bytes of their words' hashes.
+    """
+    if words is None:
+        found = repeated_spans(docs, text, doc_id)
+    else:
+        found = spans_of(word_units(keyed(docs, text, doc_id), words))
+    spans = found.groupBy(*ROW).agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
     name = free_name(docs, "_spans")
     key = F.struct(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(0)),
@@ -407,6 +471,27 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
+def kept_text(text: bytes, spans: list[tuple[int, int]]) -> str:
+    """The text without the stretches and without the rest of characters that they go through."""
+    whole = []
+    for begin, stop in spans:
+        while begin > 0 and begin < len(text) and text[begin] & 0xC0 == 0x80:
+            begin -= 1
+        while stop < len(text) and text[stop] & 0xC0 == 0x80:
+            stop += 1
+        if whole and begin < whole[-1][1]:
+            begin = whole.pop()[0]
+        whole.append((begin, stop))
+    return kept_bytes(text, whole).decode()
+
+
+def kept_words(text: bytes, spans: list[tuple[int, int]], width: int) -> bytes:
+    """The text without the words whose hashes lie in the stretches, and the white space after them."""
+    starts = [m.start() for m in WORD.finditer(text)] + [len(text)]
+    cuts = [(-(-begin // width), stop // width) for begin, stop in spans]
+    return kept_bytes(text, [(starts[a], starts[b]) for a, b in cuts if a < b])
+
+
 def stretches(batch: pa.RecordBatch, name: str) -> Iterator[list[tuple[int, int]]]:
     """The merged stretches of every row."""
     column = batch.column(name)
@@ -419,40 +504,57 @@ def stretches(batch: pa.RecordBatch, name: str) -> Iterator[list[tuple[int, int]
 
 
 def repeat_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; null texts are empty."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept and text of every row; null texts are empty.
+
+    ``text`` is what is left, without the rest of characters that a cut goes through; ``kept_sha256`` and
+    ``n_kept`` count all bytes that are left.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found, name = with_spans(rows, "text", "doc_id")
 
     def make(batch: pa.RecordBatch) -> dict:
-        out: dict = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
+        out: dict = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "text")}
         for data, spans in zip(text_bytes(batch), stretches(batch, name), strict=True):
             out["n_bytes"].append(len(data))
             out["n_removed"].append(sum(b - a for a, b in spans))
             out["n_spans"].append(len(spans))
-            out["kept_sha256"].append(hashlib.sha256(kept_bytes(data, spans)).hexdigest())
+            kept = kept_bytes(data, spans)
+            out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            out["n_kept"].append(len(kept))
+            out["text"].append(kept_text(data, spans))
         return out | {"doc_id": batch.column("doc_id")}
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = (
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, text string"
+    )
     return map_batches(found, make, schema)
 
 
 def cut_repeats(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars"
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    n_chars: str = "n_chars",
+    words: int = WORDS,
 ) -> DataFrame:
-    """``docs`` with all repeated strings cut out of their texts; n_chars, if there, is counted anew.
+    """``docs`` without the passages of ``words`` words and more that stand elsewhere, too.
 
-    Where a cut goes through a character, the rest of the character goes too. A text without repeats
-    stays as it is, null included, and a text that is all repeats becomes empty.
+    White space between words does not matter; other differences do. Every copy is cut, the first one as
+    well, with the white space after it; n_chars, if there, is counted anew. A text without repeats stays as
+    it is, null included, and a text that is all repeats becomes empty. Equal rows repeat one another. An
+    empty table stays empty, and further columns, whatever their names, stay as they are.
     """
-    found, name = with_spans(docs, text, doc_id)
+    found, name = with_spans(docs, text, doc_id, words)
+    width = hash_width(words)
     position = found.columns.index(text)
     names = docs.columns
+
     def cut(batch: pa.RecordBatch) -> list[str | None]:
         texts = batch.column(position)
         out = []
         for k, spans in enumerate(stretches(batch, name)):
             value = texts[k].as_py()
-            out.append(kept_bytes(value.encode(), spans).decode("utf-8", "ignore") if spans else value)
+            out.append(kept_words(value.encode(), spans, width).decode() if spans else value)
         return out
 
     def run(batches: Batches) -> Batches:

@@ -77,6 +77,23 @@ def repeats(texts, length=400):
     return out
 
 
+def passages(texts, words=50):
+    """Each text without the words of repeated passages, and the white space after them."""
+    found = [SPACE.findall(t or "") for t in texts]
+    seen = Counter(tuple(w[k : k + words]) for w in found for k in range(len(w) - words + 1))
+    out = []
+    for text, w in zip(texts, found):
+        gone = bytearray(len(w))
+        for k in range(len(w) - words + 1):
+            if seen[tuple(w[k : k + words])] > 1:
+                gone[k : k + words] = b"\1" * words
+        starts = [m.start() for m in SPACE.finditer(text or "")] + [len(text or "")]
+        cut = {k for k, g in enumerate(gone) if g}
+        head = (text or "")[: starts[0]]
+        out.append(head + "".join(text[starts[k] : starts[k + 1]] for k in range(len(w)) if k not in cut))
+    return out
+
+
 def simhash(text):
     found = SPACE.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not found:

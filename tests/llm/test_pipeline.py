@@ -41,7 +41,7 @@ def test_run(spark, tmp_path, clashes):
         rank = (i < 0, i)
         low[k] = min(low.get(k, (rank, t)), (rank, t))
     rows = [(rank[1], t) for rank, t in low.values()]
-    texts = [k.decode("utf-8", "ignore") for k, _ in plain.repeats([t for _, t in rows])]
+    texts = plain.passages([t for _, t in rows])
     wanted = Counter()
     for (i, _), t in zip(rows, texts):
         n = len(token_ids(t.encode())) // 4 + 1

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from featloom.llm.repeats import LENGTH, cut_repeats, pieces_of, repeat_report
+from featloom.llm.repeats import LENGTH, cut_repeats, kept_text, pieces_of, repeat_report
 from featloom.llm.suffixes import common_prefixes, lyndon_groups, suffix_array
 from tests.llm import plain
 
@@ -72,24 +72,49 @@ def test_report(spark, rows, limit, monkeypatch):
         (i or -1, len((t or "").encode()), len((t or "").encode()) - len(k), n, plain.sha(k))
         for (i, t), (k, n) in zip(rows, kept)
     )
-    assert sorted((x[0] or -1, *x[1:]) for x in found) == wanted
+    assert sorted((x[0] or -1, *x[1:5]) for x in found) == wanted
+    left = sorted((i or -1, len(k), plain.sha(k)) for (i, _), (k, _) in zip(rows, kept))
+    assert sorted((x["doc_id"] or -1, x["n_kept"], x["kept_sha256"]) for x in found) == left
+    assert all(len(x["text"].encode()) <= x["n_kept"] for x in found)
 
 
-def test_texts_are_cut(spark):
-    rows = plain.awkward(1)
-    docs = plain.frame(spark, rows, True)
-    found = cut_repeats(docs)
+def test_whole_characters():
+    text = "aéèöb".encode()
+    # from the second byte of one letter to the first of another: both go, and no third one appears
+    assert kept_text(text, [(2, 4)]) == "aöb" and kept_text(text, [(2, 4), (4, 6)]) == "ab"
+    assert kept_text(text, []) == "aéèöb" and kept_text(text, [(0, len(text))]) == ""
+    assert kept_text(text, [(2, 3), (4, 5)]) == "aöb"
+
+
+def shared_passages(seed):
+    """Texts that share passages around fifty words, with other white space, within texts too."""
+    rng = random.Random(seed)
+    base = plain.words(rng, 200).split(" ")
+    out = []
+    for k in range(30):
+        a, n = rng.randint(0, 140), rng.choice([48, 49, 50, 51, 60])
+        part = rng.choice([" ", "\n", " \t "]).join(base[a : a + n])
+        out.append((k, f"{plain.words(rng, rng.randint(0, 30))} {part}\n{plain.words(rng, rng.randint(0, 30))}"))
+    alone = plain.words(rng, 55)
+    out.append((40, f"  {alone}\n\n{plain.words(rng, 9)}\n{alone} "))
+    return out + [(41, "same " * 120), (42, "é " * 70 + "ü"), (43, None), (44, "")]
+
+
+@pytest.mark.parametrize("words", [25, 50, 100])
+@pytest.mark.parametrize("rows", [plain.awkward(1), shared_passages(4)], ids=["awkward", "shared"])
+def test_texts_are_cut(spark, rows, words):
+    docs = plain.frame(spark, rows, True).repartition(3)
+    found = cut_repeats(docs, words=words)
     assert found.columns == docs.columns
-    kept = plain.repeats([t for _, t in rows])
-    wanted = sorted(
-        ((i or -1), None if t is None else k.decode("utf-8", "ignore")) for (i, t), (k, _) in zip(rows, kept)
-        if t is not None
-    )
+    kept = plain.passages([t for _, t in rows], words)
+    wanted = sorted((i or -1, k) for (i, t), k in zip(rows, kept) if t is not None)
     got = found.collect()
     assert sorted(((r["doc_id"] or -1), r["text"]) for r in got if r["text"] is not None) == wanted
     assert all(r["text"] is None or r["n_chars"] == len(r["text"]) for r in got)
 
 
 def test_empty_tables(spark):
+    with pytest.raises(ValueError):
+        cut_repeats(plain.frame(spark, [(1, "a")]), words=51)
     none = plain.frame(spark, [])
     assert repeat_report(none).count() == cut_repeats(none).count() == 0
