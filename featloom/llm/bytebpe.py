@@ -142,8 +142,14 @@ class ByteBpe:
 NEVER = 1 << 62
 
 
-def kept(memory: dict, key: object, value: object) -> object:
-    """``value``, remembered; a full memory starts again."""
+SHORT = 64
+"""Longer words and matches are not remembered: paragraphs without white space would fill the memory."""
+
+
+def kept(memory: dict, key: str | bytes | tuple, value: object) -> object:
+    """``value``, remembered if its key is short; a full memory starts again."""
+    if len(key) > SHORT:
+        return value
     if len(memory) >= REMEMBERED:
         memory.clear()
     memory[key] = value

@@ -16,6 +16,8 @@ REMEMBERED = 400_000
 """Words that a worker remembers; beyond, it forgets them and starts again."""
 STEMS = 900_000
 """The same for words without capitals and marks."""
+SHORT = 64
+"""Only words of at most so many bytes are remembered: paragraphs without white space would fill the memory."""
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
@@ -44,8 +46,6 @@ class Stems(dict):
         self.model, self.merges = model, model.model
 
     def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= STEMS:
-            self.clear()
         text = piece.decode()
         if LATIN.fullmatch(text) and text.islower():
             # one unit for the merges already; they work on characters that stand for bytes
@@ -53,7 +53,11 @@ class Stems(dict):
             ids = [token.id for token in self.merges.tokenize(characters)]
         else:
             ids = self.model.encode(text, add_special_tokens=False).ids
-        found = self[piece] = array("I", ids).tobytes()
+        found = array("I", ids).tobytes()
+        if len(piece) <= SHORT:
+            if len(self) >= STEMS:
+                self.clear()
+            self[piece] = found
         return found
 
 
@@ -62,7 +66,8 @@ class Words(dict):
 
     The vocabulary is of lower case, and letters never share a token with what follows them, so a
     Latin word in capitals or before a stop or comma has the ids of the plain word, and then those
-    of the mark.
+    of the mark. That is so only if the letters stay letters in lower case: one of them gets a combining
+    mark, which does join what follows, so a word with it is left to the library as it is.
     """
 
     def __init__(self, stems: Stems) -> None:
@@ -70,17 +75,18 @@ class Words(dict):
         self.stems = stems
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         stem = word.rstrip(b".,")
-        text = stem.decode()
-        if LATIN.fullmatch(text):
-            found = self.stems[text.lower().encode()]
+        lowered = stem.decode().lower()
+        if LATIN.fullmatch(lowered) and LATIN.fullmatch(stem.decode()):
+            found = self.stems[lowered.encode()]
             if len(stem) < len(word):
                 found += self.stems[word[len(stem) :]]
         else:
             found = self.stems[word]
-        self[word] = found
+        if len(word) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
 

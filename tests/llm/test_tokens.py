@@ -48,6 +48,33 @@ def test_ids_of_words(monkeypatch):
             assert np.frombuffer(tokens.token_ids(text.encode()), "<u4").tolist() == real_ids(text)
 
 
+def test_every_latin_letter_before_every_mark():
+    """One capital gets a combining dot in lower case, which joins the mark behind it."""
+    letters = [chr(c) for c in range(0x41, 0x250) if tokens.LATIN.fullmatch(chr(c))]
+    assert "İ" in letters
+    for mark in ("", ".", ",", "..", ".,", ",."):
+        for one in letters:
+            for word in (one, f"a{one}", f"{one}b", f"{one}{one.upper()}"):
+                assert np.frombuffer(tokens.token_ids((word + mark).encode()), "<u4").tolist() == real_ids(word + mark)
+
+
+def test_text_without_spaces_is_not_remembered():
+    """Long texts without spaces: workers remember short words only."""
+    rng = random.Random(9)
+    bpe, words = ByteBpe(), tokens.known_words(tokens.WORD_BPE)
+    words.clear()
+    words.stems.clear()
+    for k in range(200):
+        text = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(300))
+        assert np.frombuffer(tokens.token_ids(text.encode()), "<u4").tolist() == real_ids(text)
+        if k < 40:
+            bpe.encode(text)
+    assert not words and not words.stems and not bpe.known and not bpe.matches
+    for k in range(2000):
+        tokens.token_ids(f"word{k} ".encode())
+    assert all(len(w) <= tokens.SHORT for w in words) and len(words) == 2000
+
+
 @pytest.mark.parametrize("bits", [True, False])
 def test_planes(bits):
     rng = np.random.default_rng(1)
