@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featloom.operators.profile import category_levels, column_modes
-from featloom.session import checkpointed
+from featloom.operators.profile import column_modes, distinct_levels, numbered_levels
+from featloom.session import checkpointed, kept
 
 FEATURES = "features"
+BROADCAST_BYTES = 32 << 20
+"""Levels of up to so many bytes go to the executors whole; columns beyond that meet theirs by a shuffle."""
+FEW_LEVELS = 1 << 16
+"""Up to so many levels are numbered without ranges."""
+LEVEL_BYTES = 40
+"""What a level takes beside its text."""
 
 
 @dataclass(frozen=True)
@@ -46,6 +52,7 @@ class Preprocessor:
     levels: DataFrame | None = None
     sizes: Mapping[str, int] = field(default_factory=dict)
     modes: Mapping[str, float] = field(default_factory=dict)
+    bytes: Mapping[str, int] = field(default_factory=dict)
 
     def transform(self, df: DataFrame, one_hot: bool = True, fill: bool = True) -> DataFrame:
         """``df`` with ``features``.
@@ -56,14 +63,7 @@ class Preprocessor:
         the mode, and so does the position of an unseen level, for models that take missing values.
         """
         spec = self.spec
-        found = df.withColumns({f"__level_{c}": _level(spec, c) for c in spec.categorical})
-        for c in spec.categorical:
-            own = self.levels.filter(F.col("column") == c).select(
-                F.col("level").alias(f"__level_{c}"), F.col("position").alias(f"__at_{c}")
-            )
-            # Spark broadcasts the levels of a column while they are small, and splits a hot level
-            # of the rows in a sorted join beyond that.
-            found = found.join(own, f"__level_{c}", "left")
+        found = self._placed(df)
         absent = -1 if fill else float("nan")
         unseen = {c: self.sizes[c] if one_hot else absent for c in spec.categorical}
         found = found.withColumns(
@@ -87,6 +87,62 @@ class Preprocessor:
         return assembler.transform(found).select(*df.columns, FEATURES)
 
 
+    def _placed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the position of each column's level as ``__at_<column>``, null for an unseen one.
+
+        All columns look into one table of levels, named by column and level. Columns whose levels are
+        small together share one broadcast of it and move no row. With one larger column the rows are
+        shuffled by its level. With several, the rows are written once with a number, the cells of those
+        columns meet the levels in one shuffle, and what they found comes back by number: the rows
+        themselves are shuffled once, however many such columns there are.
+        """
+        spec = self.spec
+        numbers = {c: k for k, c in enumerate(spec.categorical)}
+        if not numbers:
+            return df
+        small, large = _by_size(self.bytes, spec.categorical)
+        column = F.col("column")
+        number = F.coalesce(*[F.when(column == c, F.lit(str(k))) for c, k in numbers.items()])
+        named = self.levels.select(F.concat(number, F.lit(":"), "level").alias("name"), "position", "column")
+
+        def key(c: str) -> Column:
+            return F.concat(F.lit(f"{numbers[c]}:"), _level(spec, c)).alias(f"__level_{c}")
+
+        found = df.select("*", *[key(c) for c in small])
+        few = F.broadcast(named.where(column.isin(small)).select("name", "position"))
+        for c in small:
+            # the same table each time, so Spark broadcasts it once
+            own = few.select(F.col("name").alias(f"__level_{c}"), F.col("position").alias(f"__at_{c}"))
+            found = found.join(own, f"__level_{c}", "left")
+        if len(large) == 1:
+            (c,) = large
+            own = named.where(column == c).select(
+                F.col("name").alias(f"__level_{c}"), F.col("position").alias(f"__at_{c}")
+            )
+            return found.select("*", key(c)).join(own, f"__level_{c}", "left")
+        if large:
+            found = checkpointed(found.withColumn("__row", F.monotonically_increasing_id()))
+            cells = F.explode(F.array(*[F.struct(F.lit(c).alias("of"), key(c).alias("name")) for c in large]))
+            cells = found.select("__row", cells.alias("cell")).select("__row", "cell.*")
+            met = cells.join(named.where(column.isin(large)).select("name", "position"), "name")
+            places = [F.max(F.when(F.col("of") == c, F.col("position"))).alias(f"__at_{c}") for c in large]
+            found = found.join(met.groupBy("__row").agg(*places), "__row", "left")
+        return found
+
+
+def _by_size(sizes: Mapping[str, int], columns: Sequence[str]) -> tuple[list[str], list[str]]:
+    """The columns whose levels fit the broadcast together, the smallest first, and the others.
+
+    A column of unknown size counts as large.
+    """
+    room, small = BROADCAST_BYTES, []
+    for c in sorted((c for c in columns if c in sizes), key=lambda c: (sizes[c], c)):
+        room -= sizes[c]
+        if room >= 0:
+            small.append(c)
+    return [c for c in columns if c in small], [c for c in columns if c not in small]
+
+
 def _level(spec: FeatureSpec, column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(spec.missing_level))
 
@@ -103,21 +159,31 @@ def fill_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> Preprocessor:
     """Learn levels with their positions in sort order, and modes (the smallest on ties).
 
-    Levels are found, sorted and numbered on the executors and written once; a column may have any
-    number of them. A column without a level or without a number is an error.
+    Levels are found, sorted and numbered on the executors; a column may have any number of them. A column without a level or without a number is an error.
     """
-    levels, sizes, modes = None, {}, {}
+    levels, sizes, modes, volume = None, {}, {}, {}
+    # both passes read the columns from memory
+    with kept(train.select(*spec.categorical, *spec.numeric)) as rows:
+        if spec.categorical:
+            filled = rows.select(*[_level(spec, c).alias(c) for c in spec.categorical])
+            levels = checkpointed(distinct_levels(filled, spec.categorical))
+        if spec.numeric:
+            found = column_modes(rows.select(*spec.numeric), spec.numeric)
+            modes = {r["column"]: r["mode"] for r in found.collect()}
     if spec.categorical:
-        filled = train.select(*[_level(spec, c).alias(c) for c in spec.categorical])
-        levels = checkpointed(category_levels(filled, spec.categorical))
-        sizes = {r["column"]: r["count"] for r in levels.groupBy("column").count().collect()}
-    if spec.numeric:
-        found = column_modes(train.select(*spec.numeric), spec.numeric)
-        modes = {r["column"]: r["mode"] for r in found.collect()}
+        size = F.sum(F.octet_length("level") + LEVEL_BYTES).alias("bytes")
+        for row in levels.groupBy("column").agg(F.count("*").alias("count"), size).collect():
+            sizes[row["column"]], volume[row["column"]] = row["count"], row["bytes"]
+        if sum(sizes.values()) <= FEW_LEVELS:
+            # a bounded number of levels: sorted by one task a column wherever they are used
+            place = F.row_number().over(Window.partitionBy("column").orderBy("level")) - 1
+            levels = levels.withColumn("position", place.cast("long"))
+        else:
+            levels = checkpointed(numbered_levels(levels))
     absent = [c for c in spec.categorical if c not in sizes] + [c for c in spec.numeric if c not in modes]
     if absent:
         raise ValueError(f"nothing to learn from in columns {absent}")
-    return Preprocessor(spec, levels, sizes, modes)
+    return Preprocessor(spec, levels, sizes, modes, volume)
 
 
 def assemble(df: DataFrame, preprocessor: Preprocessor, *keep: str, one_hot: bool = True) -> DataFrame:

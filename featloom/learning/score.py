@@ -54,6 +54,7 @@ def save_model(stored: StoredModel, path: str, spark: SparkSession) -> None:
         "spec": asdict(prepared.spec),
         "sizes": dict(prepared.sizes),
         "modes": dict(prepared.modes),
+        "bytes": dict(prepared.bytes),
         "lookups": [asdict(one) for one in stored.lookups],
     }
     if kind:
@@ -75,7 +76,7 @@ def load_model(spark: SparkSession, path: str) -> StoredModel:
         for one in facts["lookups"]
     )
     levels = spark.read.parquet(f"{path}/levels") if facts["sizes"] else None
-    prepared = Preprocessor(FeatureSpec(**groups), levels, facts["sizes"], facts["modes"])
+    prepared = Preprocessor(FeatureSpec(**groups), levels, facts["sizes"], facts["modes"], facts.get("bytes", {}))
     if facts.get("kind"):
         trees = OWN[facts["kind"]].load(spark, f"{path}/trees")
     else:

@@ -51,7 +51,11 @@ def category_levels(
     df: DataFrame, cols: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """``(column, level, position)``: the levels with their place in sort order from 0."""
-    levels = distinct_levels(df, cols)
+    return numbered_levels(distinct_levels(df, cols), ranges)
+
+
+def numbered_levels(levels: DataFrame, ranges: int | None = None) -> DataFrame:
+    """``(column, level, position)`` of distinct levels, over as many ranges as they need."""
     placed = running_totals(
         levels,
         order="level",

@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from featloom.learning import prep
 from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor
 from featloom.learning.score import (
     StoredModel,
@@ -81,6 +82,51 @@ def test_columns_with_few_and_many_levels(spark):
     assert (found.sum(axis=0)[:50] == 1).all()
 
 
+def exchanges(df):
+    """How often the plan that has run shuffles, broadcasts and reuses."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    names = ("Exchange hashpartitioning", "BroadcastExchange", "ReusedExchange")
+    # levels are numbered by a shuffle of their own table, by column
+    plan = "\n".join(line for line in plan.split("\n") if "hashpartitioning(column" not in line)
+    found = {n: sum(n in line for line in plan.split("\n")) for n in names}
+    # by the number of a row: the rows, and what their cells have found
+    found["rows"] = sum("Exchange hashpartitioning(__row" in line for line in plan.split("\n"))
+    return found
+
+
+@pytest.mark.parametrize("room", [32 << 20, 4000, 0])
+def test_one_pass_for_all_columns(spark, monkeypatch, room):
+    """All columns small, some, and none: the same positions, with at most one shuffle of the rows."""
+    columns = [f"c{k}" for k in range(6)]
+    df = spark.range(0, 3000, 1, 4).select(
+        "id",
+        # a hot level, nulls, a text of digits and a colon, and one column with the levels of another
+        *[F.when(F.col("id") % 3 > 0, (F.col("id") % (7 + 40 * k)).cast("string")).alias(c) for k, c in enumerate(columns[:4])],
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("0:"), (F.col("id") % 5).cast("string"))).alias("c4"),
+        (F.col("id") % 7).cast("string").alias("c5"),
+    )
+    monkeypatch.setattr(prep, "BROADCAST_BYTES", room)
+    spec = FeatureSpec(tuple(columns))
+    model = fit_preprocessor(df.where("id < 2000"), spec)
+    small, large = prep._by_size(model.bytes, columns)
+    assert len(small) == {32 << 20: 6, 4000: 4, 0: 0}[room] and sorted(small + large) == columns
+    found = model.transform(df, one_hot=False)
+    rows = df.collect()
+    wanted = {}
+    for c in columns:
+        levels = sorted({"missing" if r[c] is None else r[c] for r in rows if r["id"] < 2000})
+        wanted[c] = {v: k for k, v in enumerate(levels)}
+    got = {r["id"]: r["v"] for r in found.select("id", vector_to_array("features").alias("v")).collect()}
+    for r in rows:
+        assert got[r["id"]] == [wanted[c].get("missing" if r[c] is None else r[c], -1) for c in columns]
+    seen = exchanges(found)
+    if not large:
+        assert seen["BroadcastExchange"] - seen["ReusedExchange"] == 1 == len(small) - seen["ReusedExchange"]
+    # the rows and the cells that come back to them by number; the cells and the levels by level
+    assert seen["rows"] <= 2 and seen["Exchange hashpartitioning"] <= (4 if large else 0)
+
+
 @pytest.mark.parametrize("levels", [60, 200_000])
 def test_any_number_of_levels_trains(spark, levels):
     """As many levels as rows, and more than a driver would want to hold."""
