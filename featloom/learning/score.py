@@ -25,6 +25,8 @@ from featloom.operators.runs import PRODUCTION, current, run
 from featloom.operators.skew import HotKeys
 
 
+FEW_IDS = 1000
+"""Ids that are told to the scans of feature tables before they read."""
 # Trees of our own, by the name that a stored model has for them; others are stored by Spark.
 OWN = {"boosted": BoostedTrees, "forest": Forest}
 
@@ -132,12 +134,14 @@ def score_batch(
     model: StoredModel,
     output: str = "prediction",
     hot_keys: Mapping[str, HotKeys] | None = None,
+    few: int = FEW_IDS,
 ) -> DataFrame:
     """Score bare ids: join the features the model was trained with, then predict.
 
-    The features stay in the result, between the columns of ``ids`` and the prediction.
+    The features stay in the result, between the columns of ``ids`` and the prediction. Of at most ``few``
+    ids only the buckets of the feature tables are read that they hash to.
     """
-    return score(lookup_all(ids, model.lookups, hot_keys), model, output)
+    return score(lookup_all(ids, model.lookups, hot_keys, few=few), model, output)
 
 
 def add_n(df: DataFrame, n: int) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import groupby
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,15 @@ class FeatureLookup:
     key: str
     table_key: str | None = None
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, keys: Sequence[Any] | None = None) -> DataFrame:
+        """The table's rows, or only those of ``keys``.
+
+        Keys are given to the scan as values: a bucketed feature table is then read in the buckets that they
+        hash to, and within those in the row groups whose range they lie in.
+        """
         source = load(spark, self.table) if isinstance(self.table, str) else self.table
+        if keys is not None:
+            source = source.where(F.col(self.table_key or self.key).isin(list(keys)))
         return source.select(F.col(self.table_key or self.key).alias(self.key), *self.features)
 
 
@@ -47,6 +55,7 @@ def lookup_all(
     lookups: Sequence[FeatureLookup],
     hot_keys: Mapping[str, HotKeys] | None = None,
     check_unique: bool | None = None,
+    few: int = 0,
 ) -> DataFrame:
     """Attach the features of several lookups in order. Every spine row stays; misses give NULL.
 
@@ -59,9 +68,16 @@ def lookup_all(
 
     A table in which a key is missing or occurs twice is an error. ``check_unique`` says whether to look;
     by default feature tables of the catalog, which guarantee it, are not looked at.
+
+    With ``few`` a spine of at most so many keys tells them to the scans before they read: that costs
+    one look at the spine's keys, which stops at one more than ``few``, and then only the parts of the
+    tables are read that can hold them. Such lookups need no search for hot keys.
     """
     spark = spine.sparkSession
-    read = [(one, one.read(spark)) for one in lookups]
+    asked = _few_keys(spine, lookups, few) if few else {}
+    if asked and hot_keys is None and all(one.key in asked for one in lookups):
+        hot_keys = {}
+    read = [(one, one.read(spark, asked.get(one.key))) for one in lookups]
     for one, features in read:
         if check_unique or (check_unique is None and not _guaranteed(spark, one)):
             assert_unique(features, [one.key], missing=False)
@@ -94,6 +110,16 @@ def lookup_all(
     return df.select(*spine.columns, *names)
 
 
+def _few_keys(spine: DataFrame, lookups: Sequence[FeatureLookup], few: int) -> dict[str, list[Any]]:
+    """The keys of the spine by column, for columns that have at most ``few``; NULL finds nothing anyway."""
+    found = {}
+    for key in dict.fromkeys(one.key for one in lookups if one.key in spine.columns):
+        rows = spine.select(key).where(F.col(key).isNotNull()).distinct().limit(few + 1).collect()
+        if len(rows) <= few:
+            found[key] = [r[0] for r in rows]
+    return found
+
+
 def _guaranteed(spark: SparkSession, one: FeatureLookup) -> bool:
     """Whether the lookup's key is that of a feature table in the catalog."""
     if not isinstance(one.table, str) or "/" in one.table:

@@ -175,3 +175,43 @@ def test_split_does_not_depend_on_placement(spark):
     assert "Exchange" not in mark_split(df, "key")._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError, match="percentage"):
         split(df, "key", test=0.123)
+
+
+def scanned_files(df):
+    """The names of the files that the scans of a plan open."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    out = []
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "FileSourceScanExec":
+            for part in leaf.inputRDDs().apply(0).partitions():
+                out += [f.toPath().getName() for f in part.files()]
+    return out
+
+
+def test_few_ids_read_few_buckets(spark, tmp_path):
+    """Twenty ids against a table in 64 buckets: the scan opens the buckets they hash to, and no others."""
+    name = f"few_{uuid.uuid4().hex}"
+    rows = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") * 2).alias("twice"))
+    create_feature_table(spark, name, "key", rows.schema, buckets=64, location=f"{tmp_path}/t")
+    merge(spark, name, rows)
+    ids = [f"k{k * 131}" for k in range(18)] + [None, "nobody"]
+    spine = spark.createDataFrame([(k,) for k in ids], "key string")
+    one = FeatureLookup(name, ("twice",), "key")
+    found = lookup_all(spine, [one], few=20)
+    assert {(r["key"], r["twice"]) for r in found.collect()} == {
+        (k, int(k[1:]) * 2 if k and k != "nobody" else None) for k in ids
+    }
+    buckets = {
+        r[0]
+        for r in spine.where("key IS NOT NULL").select(F.expr("pmod(hash(key), 64)")).collect()
+    }
+    # the number of a bucket stands at the end of its files' names
+    read = [int(f.split("_")[1].split(".")[0]) for f in scanned_files(one.read(spark, ids[:18] + ["nobody"]))]
+    assert set(read) == buckets and len(read) < 64
+    assert set(read) == {int(f.split("_")[1].split(".")[0]) for f in scanned_files(found)}
+    # one id more than few: the whole table
+    whole = lookup_all(spine, [one], few=18)
+    assert len(scanned_files(whole)) >= 64
+    assert {tuple(r) for r in whole.collect()} == {tuple(r) for r in found.collect()}
+    drop_feature_table(spark, name)
