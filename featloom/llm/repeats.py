@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +52,6 @@ PORTION = 2048
 
 WORDS = 50
 """Words of a passage that is cut out of texts where it stands elsewhere, too."""
-REMEMBERED = 1 << 25
-"""Bytes of words whose hashes a worker remembers; beyond, it forgets them and starts again."""
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 ROW = ["doc_id", "text_hash"]
@@ -381,30 +378,6 @@ def agreement(a: bytes, b: bytes) -> int:
     return int(x.argmax())
 
 
-class WordHashes(dict):
-    """The hashes of words as ``width`` bytes each; what is remembered is bounded in bytes."""
-
-    def __init__(self, width: int) -> None:
-        super().__init__()
-        self.width, self.room = width, REMEMBERED
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = xxhash.xxh3_128_digest(word)[: self.width]
-        if len(word) <= 64:
-            self.room -= len(word) + 100
-            if self.room < 0:
-                self.clear()
-                self.room = REMEMBERED
-            self[word] = found
-        return found
-
-
-@lru_cache(4)
-def known_hashes(width: int) -> WordHashes:
-    """What this worker remembers."""
-    return WordHashes(width)
-
-
 def hash_width(words: int) -> int:
     """Bytes that stand for a word, so that ``words`` of them are one string."""
     if LENGTH % words or not 4 <= LENGTH // words <= 16:
@@ -420,9 +393,13 @@ def word_units(rows: DataFrame, words: int = WORDS) -> DataFrame:
     """
     width = hash_width(words)
 
+    def units(text: bytes) -> bytes:
+        if width == 8:
+            return b"".join(map(xxhash.xxh3_64_digest, text.split()))
+        return b"".join([xxhash.xxh3_128_digest(word)[:width] for word in text.split()])
+
     def make(batch: pa.RecordBatch) -> dict:
-        known = known_hashes(width)
-        texts = [b"".join(map(known.__getitem__, text.split())) for text in text_bytes(batch)]
+        texts = [units(text) for text in text_bytes(batch)]
         return {"text": pa.array(texts, pa.binary())} | {n: batch.column(n) for n in ROW}
 
     return map_batches(rows, make, "doc_id long, text_hash long, text binary")
