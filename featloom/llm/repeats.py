@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,13 +120,14 @@ def pieces_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return *(np.concatenate(x) for x in zip(*found, strict=True)), digests
 
 
-def all_pieces(rows: DataFrame) -> DataFrame:
-    """The pieces of all texts; short texts have none."""
+def all_pieces(rows: DataFrame, words: int | None = None) -> DataFrame:
+    """The pieces of all texts, or of their words' hashes; short texts have none."""
+    units = word_units(words)
 
     def make(batch: pa.RecordBatch) -> dict | None:
         parts, counts = [], []
         for text in text_bytes(batch):
-            parts.append(pieces_of(text))
+            parts.append(pieces_of(units(text)))
             counts.append(len(parts[-1][4]))
         if not sum(counts):
             return None
@@ -142,7 +143,7 @@ def all_pieces(rows: DataFrame) -> DataFrame:
             "offset": offset,
         }
 
-    return map_batches(rows.where(F.octet_length("text") >= LENGTH), make, PIECE)
+    return map_batches(rows.where(F.octet_length("text") >= shortest(words)), make, PIECE)
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = LIMIT) -> DataFrame:
@@ -153,9 +154,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return spans_of(keyed(docs, text, doc_id), limit)
 
 
-def spans_of(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """The repeated stretches of ``rows`` (doc_id, text_hash, text), whose texts may be any bytes."""
-    pieces = checkpointed(all_pieces(rows))
+def spans_of(rows: DataFrame, limit: int = LIMIT, words: int | None = None) -> DataFrame:
+    """The repeated stretches of ``rows`` (doc_id, text_hash, text), in bytes of the texts or of their words' hashes."""
+    pieces = checkpointed(all_pieces(rows, words))
     counts = checkpointed(pieces.groupBy("anchor", "digest").agg(F.count("*").alias("n_equal")))
     groups = counts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n_equal").alias("least"))
     groups = groups.where((F.col("kinds") > 1) | (F.col("least") > 1))
@@ -169,7 +170,7 @@ def spans_of(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     )
     kinds = kinds.select("anchor", "digest", "n_equal", "at.*")
     whole = F.lit(0).alias("low"), F.lit(SPAN).alias("width"), F.lit(0).cast("long").alias("part")
-    loose = checkpointed(with_bytes(rows, kinds).select("*", *whole))
+    loose = checkpointed(with_bytes(rows, kinds, words).select("*", *whole))
     closed = []
     while True:
         keys = ["anchor", "low", "width", "part"]
@@ -220,12 +221,13 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
 
 
-def with_bytes(rows: DataFrame, kinds: DataFrame) -> DataFrame:
+def with_bytes(rows: DataFrame, kinds: DataFrame, words: int | None = None) -> DataFrame:
     """Pieces with their bytes, for which the texts that have any come to their rows."""
+    units = word_units(words)
     listed = kinds.groupBy(*ROW).agg(
         F.collect_list(F.struct("anchor", "digest", "n_equal", "first", "n", "offset")).alias("pieces")
     )
-    once = rows.where(F.octet_length("text") >= LENGTH)
+    once = rows.where(F.octet_length("text") >= shortest(words))
     both = once.join(listed, same_row(once, listed)).select(
         listed["doc_id"], listed["text_hash"], "text", "pieces"
     )
@@ -238,7 +240,7 @@ def with_bytes(rows: DataFrame, kinds: DataFrame) -> DataFrame:
         names = ("anchor", "digest", "n_equal", "first", "n", "offset")
         out = dict(zip(names, (inner.field(n) for n in names), strict=True))
         texts = np.repeat(np.arange(len(counts)), counts).tolist()
-        held, first, n = list(text_bytes(batch)), out["first"].to_pylist(), out["n"].to_pylist()
+        held, first, n = [units(text) for text in text_bytes(batch)], out["first"].to_pylist(), out["n"].to_pylist()
         out["bytes"] = [
             held[t][a : a + k + LENGTH - 1] for t, a, k in zip(texts, first, n, strict=True)
         ]
@@ -385,24 +387,23 @@ def hash_width(words: int) -> int:
     return LENGTH // words
 
 
-def word_units(rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """``rows`` with each word of a text as a hash of few bytes, and nothing between them.
+def word_units(words: int | None) -> Callable[[bytes], bytes]:
+    """What turns a text into bytes to look for repeats in: itself, or with ``words`` the hashes of its words.
 
     Strings of LENGTH bytes are passages of ``words`` words then, whatever white space is between them.
     A repeated stretch can begin or end inside a hash only by a chance agreement of some of its bytes.
     """
+    if words is None:
+        return bytes
     width = hash_width(words)
+    if width == 8:
+        return lambda text: b"".join(map(xxhash.xxh3_64_digest, text.split()))
+    return lambda text: b"".join([xxhash.xxh3_128_digest(word)[:width] for word in text.split()])
 
-    def units(text: bytes) -> bytes:
-        if width == 8:
-            return b"".join(map(xxhash.xxh3_64_digest, text.split()))
-        return b"".join([xxhash.xxh3_128_digest(word)[:width] for word in text.split()])
-
-    def make(batch: pa.RecordBatch) -> dict:
-        texts = [units(text) for text in text_bytes(batch)]
-        return {"text": pa.array(texts, pa.binary())} | {n: batch.column(n) for n in ROW}
 
-    return map_batches(rows, make, "doc_id long, text_hash long, text binary")
+def shortest(words: int | None) -> int:
+    """Bytes that a text has at least if it can hold a repeat."""
+    return LENGTH if words is None else 2 * words - 1
 
 
 def with_spans(docs: DataFrame, text: str, doc_id: str, words: int | None = None) -> tuple[DataFrame, str]:
@@ -413,7 +414,7 @@ def with_spans(docs: DataFrame, text: str, doc_id: str, words: int | None = None
     if words is None:
         found = repeated_spans(docs, text, doc_id)
     else:
-        found = spans_of(word_units(keyed(docs, text, doc_id), words))
+        found = spans_of(keyed(docs, text, doc_id), words=words)
     spans = found.groupBy(*ROW).agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
     name = free_name(docs, "_spans")
     key = F.struct(
