@@ -119,7 +119,9 @@ def test_storage_does_not_grow(spark, tmp_path):
         for k in range(10):
             merge(spark, name, rows(spark, (k % 3, f"v{k}")))
     assert content(spark.table(name)) == [(0, "v9"), (1, "v7"), (2, "v8")]
-    assert len(list((tmp_path / "t").iterdir())) == 2
+    # two snapshots of two buckets, and a bucket that did not change is in both
+    assert len(list((tmp_path / "t").glob("s*/*=*"))) <= 4
+    assert len(list((tmp_path / "t").iterdir())) <= 4
     assert len([t for t in spark.catalog.listTables() if t.name.startswith(f"{name}__")]) == 2
     drop_feature_table(spark, name)
     assert list((tmp_path / "t").iterdir()) == []
@@ -192,6 +194,54 @@ def test_bucketed_merge_does_not_move_stored_rows(spark):
     drop_feature_table(spark, name)
 
 
+def files(table):
+    return {f.rpartition("=")[2].partition("/")[0]: f for f in table.inputFiles()}
+
+
+def test_merge_writes_only_buckets_with_updates(spark, tmp_path):
+    name = f"features_{uuid.uuid4().hex}"
+    create_feature_table(spark, name, "id", rows(spark, (1, "a")).schema, buckets=8, location=f"{tmp_path}/t")
+    merge(spark, name, rows(spark, *[(i, "a") for i in range(200)]))
+    expected = {i: "a" for i in range(200)}
+    before = files(spark.table(name))
+    assert len(before) == 8
+    earlier = spark.table(f"{name}__s1")
+    for round_, ids in enumerate([[7], [7], [300], [3, 4], [], range(200)]):
+        merge(spark, name, rows(spark, *[(i, f"r{round_}") for i in ids]))
+        expected |= {i: f"r{round_}" for i in ids}
+        after = files(spark.table(name))
+        buckets = spark.range(1).selectExpr("explode(array(%s)) id" % ",".join(f"{i}L" for i in ids) if ids else "0L id")
+        touched = {str(r[0]) for r in buckets.selectExpr("pmod(hash(id), 8)").collect()} if ids else set()
+        assert {b for b in after if after[b] != before.get(b)} == touched
+        assert content(spark.table(name)) == sorted(expected.items())
+        if round_ == 0:  # readers of the snapshot before still have their files
+            assert content(earlier.select("id", "v")) == [(i, "a") for i in range(200)]
+        before = after
+    # a lookup by the key finds every row in the bucket it is read from
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.range(400).join(spark.table(name), "id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert content(joined) == sorted(expected.items())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+    assert [r.v for r in spark.table(name).filter("id = 300").collect()] == ["r2"]
+    drop_feature_table(spark, name)
+    assert list((tmp_path / "t").iterdir()) == []
+
+
+def test_merge_with_keys_of_another_type(spark):
+    name = f"features_{uuid.uuid4().hex}"
+    create_feature_table(spark, name, "id", rows(spark, (1, "a")).schema, buckets=8)
+    merge(spark, name, rows(spark, *[(i, "a") for i in range(20)]))
+    merge(spark, name, rows(spark, (3, "b"), (30, "b")).selectExpr("CAST(id AS int) AS id", "v"))
+    merge(spark, name, rows(spark, (3, "c")))
+    wanted = {i: "a" for i in range(20)} | {3: "c", 30: "b"}
+    assert content(spark.table(name)) == sorted(wanted.items())
+    drop_feature_table(spark, name)
+
+
 def test_qualified_name_and_leftover_snapshot(spark, tmp_path):
     """A snapshot that a failed merge left behind is replaced by the next merge."""
     name = f"default.features_{uuid.uuid4().hex}"
