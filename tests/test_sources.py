@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import random
 import uuid
 
 import pytest
@@ -93,6 +95,62 @@ def test_broken_records(spark, tmp_path):
             found.select("b").collect()
 
 
+@pytest.mark.parametrize("told", [True, False])
+def test_records_across_splits(spark, tmp_path, monkeypatch, told):
+    """Many tasks give the rows that one reader of the whole file gives, line breaks as they are."""
+    from featloom.sources import records
+
+    if not told:
+        monkeypatch.setattr(records, "TOLD_CHARACTERS", -1)
+    pick = random.Random(4)
+    parts = ["a", '""', "\n", "\r\n", ",", "é", "x y", "\n\n", "1", '"",\n""']
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for number in range(4):
+        end = "\n" if number % 2 else "\r\n"
+        out = ["a,b,c" + end]
+        for row in range(400):
+            long = 3000 if row % 97 == 5 else 6
+            quoted = "".join(pick.choices(parts, k=pick.randrange(long)))
+            out.append(f'{number}-{row},"{quoted}",{pick.choice(["", "plain", "NA"])}{end * pick.choice([1, 1, 2])}')
+        (folder / f"{number}.csv").write_bytes("".join(out).encode())
+    expected = []
+    for file in folder.iterdir():
+        with file.open(newline="") as text:
+            held = [tuple(None if f in ("", "NA") else f for f in r) for r in list(csv.reader(text))[1:] if r]
+        assert len(held) == 400
+        expected += held
+        if file.stem in "13":  # with line feeds, Spark's reader with one task a file says the same
+            plain = spark.read.csv(str(file), header=True, escape='"', multiLine=True, nullValue="NA")
+            rows_ = [tuple(f or None for f in r) for r in plain.collect()]
+            assert sorted(rows_, key=str) == sorted(held, key=str)
+    expected.sort(key=str)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        found = read_csv_typed(spark, str(folder), "a string, b string, c string", null_tokens=["NA"], multiline=True)
+        assert sorted(map(tuple, found.collect()), key=str) == expected
+        lines = spark.read.text(str(folder)).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+        assert lines > 16
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_errors_of_broken_records(spark, tmp_path):
+    def found(text, schema="a string, b int"):
+        return read_csv_typed(spark, write(tmp_path, text), schema, multiline=True)
+
+    for wrong in ("a,b\n1,2,3\n", 'a,b\n"x\ny"\n'):
+        for frame in (found(wrong), found(wrong).select("b")):
+            with pytest.raises(Exception, match="(?i)malformed"):
+                frame.collect()
+    with pytest.raises(Exception, match="names of the schema"):
+        found('a,c\n"x\ny",1\n').collect()
+    with pytest.raises(Exception, match="not int"):
+        found('a,b\n"x\ny",z\n').collect()
+    assert found("a,b\n").collect() == [] and found("").collect() == []
+    assert [tuple(r) for r in found('A,b\n"",""\n"x",2').collect()] == [(None, None), ("x", 2)]
+
+
 def test_failed_overwrite_changes_nothing(spark, tmp_path):
     name = f"t_{uuid.uuid4().hex}"
     save_overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), name, f"{tmp_path}/t")

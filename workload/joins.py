@@ -108,6 +108,17 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(spark, name, updates)
 
 
+def upsert_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second merge with the richest customer of each nation only: it rewrites their buckets."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    name = f"balances_{uuid.uuid4().hex}"
+    create_feature_table(spark, name, "c_custkey", customer.schema, buckets=64, location=scratch_path(spark, name))
+    merge(spark, name, customer)
+    richest = customer.groupBy("c_nationkey").agg(F.max(F.struct("c_acctbal", "c_custkey")).alias("top"))
+    emptied = richest.select("top.c_custkey", "c_nationkey", F.lit(0.0).alias("c_acctbal"))
+    return merge(spark, name, emptied)
+
+
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
@@ -131,6 +142,7 @@ QUERIES = {
     "multi_lookup": multi_lookup,
     "training_set": training,
     "upsert": upsert,
+    "upsert_few": upsert_few,
     "hash_split": hash_split,
     "exact_shares": exact_shares,
     "exact_ties": exact_ties,
@@ -170,6 +182,12 @@ ORACLES = {
         SELECT c_custkey, c_acctbal FROM customer
         WHERE c_custkey NOT IN (SELECT c_custkey FROM updates)
         UNION ALL SELECT c_custkey, c_acctbal FROM updates""",
+    "upsert_few": """
+        SELECT c_custkey, c_nationkey,
+               CASE WHEN row_number() OVER (PARTITION BY c_nationkey
+                                            ORDER BY c_acctbal DESC, c_custkey DESC) = 1
+                    THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal
+        FROM customer""",
     "hash_split": """
         SELECT o_orderkey,
                ('0x' || substr(md5(concat('123:', o_orderkey)), 1, 8))::BIGINT % 100 < 25
