@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from featloom.llm.common import map_batches, text_bytes
 
 SAMPLE = 200
-"""Pages of the table that the model is trained on, each as it is and once in another layout."""
-EPOCHS = 60
-RATE = 0.3
+"""Pages of the table that the model is trained on, each as it is and in two other layouts."""
+EPOCHS = 100
+RATE = 1.0
 DECAY = 1e-3
 
 # elements that begin a block of their own (fixed values of the HTML standard)
@@ -27,6 +28,7 @@ BLOCKS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol "
     "option p pre search section select summary table tbody td tfoot th thead title tr ul caption".split()
 )
+INLINE = frozenset("a abbr b button cite code em font i label mark q s small span strong sub sup time u".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template svg iframe math object canvas audio video".split())
 # a start tag ends an open element of these kinds, if no element of the second set is in between
@@ -54,11 +56,13 @@ PURPOSES = {
     "form": "form search login contact input field",
     "main": "article content post entry story main body text maincontent articlebody prose",
 }
+# what no main text is for, where a part within it is named so
+STRANGE = frozenset(("menu", "advert", "side", "notice", "comment", "form"))
 PURPOSE = {word: name for name, words in PURPOSES.items() for word in words.split()}
 
 TOKEN = re.compile(
     # a quote opens a string only after "="; elsewhere in a tag it is a character as others are
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)"
     r"((?:=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]*)|[^>=])*+)>|<[!?/][^>]*>|([^<]+)|(<)",
     re.S,
 )
@@ -82,6 +86,8 @@ class Block(NamedTuple):
     around: frozenset[str]
     linked: float
     main: bool
+    article: int = 0
+    """The number of the article element it is in, from 1; 0 for none."""
 
 
 ROOT = Element("", frozenset(), False)
@@ -93,14 +99,17 @@ def element(parent: Element, tag: str, attributes: str) -> Element:
     key = (parent, tag, attributes)
     found = _SEEN.get(key)
     if found is None:
-        features = {f"in {tag}"}
+        # what all blocks are in says nothing
+        names = {f"in {tag if tag in BLOCKS or tag in INLINE else 'other'}"} - {"in html", "in body"}
         for value in NAMED.findall(attributes):
             for word in PARTS.findall(value):
                 purpose = PURPOSE.get(word.lower())
                 if purpose:
-                    features.add(f"for {purpose}")
+                    names.add(f"for {purpose}")
+        if {"in article", "in main"} & parent.features:
+            names |= {f"inner {name}" for name in names}
         main = (parent.main or "data-main" in attributes) and "data-off" not in attributes
-        found = Element(tag, parent.features | features, main)
+        found = Element(tag, parent.features | names, main)
         if len(_SEEN) > 20_000:
             _SEEN.clear()
         _SEEN[key] = found
@@ -111,29 +120,44 @@ def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; scripts, styles and comments are no text."""
     out: list[Block] = []
     stack = [ROOT]
+    # where each kind of element is open, so that no tag looks through all that are
+    places: dict[str, list[int]] = defaultdict(list)
+    containers = [0]
+    articles = [(0, 0)]
     parts: list[str] = []
-    linked = links = 0
+    linked = seen = 0
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                inner = next((e for e in reversed(stack) if e.tag in BLOCKS or not e.tag), ROOT)
+                top = stack[-1]
                 share = min(1.0, linked / len(text))
-                out.append(Block(text, inner.tag, stack[-1].features, share, stack[-1].main))
+                out.append(
+                    Block(text, stack[containers[-1]].tag, top.features, share, top.main, articles[-1][1])
+                )
             parts.clear()
         linked = 0
 
+    def last(tags: Iterable[str]) -> int:
+        return max((places[tag][-1] for tag in tags if places[tag]), default=0)
+
+    def cut(k: int) -> None:
+        while len(stack) > k:
+            places[stack.pop().tag].pop()
+        while containers[-1] >= k:
+            containers.pop()
+        while articles[-1][0] >= k:
+            articles.pop()
+
     def shut(tags: tuple[str, ...], within: tuple[str, ...]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                close()
-                del stack[k:]
-                return
-            if stack[k].tag in within:
-                return
+        k = last(tags)
+        if k > last(within):
+            close()
+            cut(k)
 
+    end_of_tags = page.rfind(">")
     at = 0
     while at < len(page):
         match = TOKEN.match(page, at)
@@ -143,9 +167,12 @@ def blocks(page: str) -> list[Block]:
         at = match.end()
         text = match[4] or match[5]
         if text:
+            if match.start() > end_of_tags:
+                # no tag ends any more
+                text, at = page[match.start() :].partition("<!--")[0], len(page)
             text = html.unescape(text)
             parts.append(text)
-            if links:
+            if places["a"]:
                 linked += len(text.strip())
             continue
         name = match[2]
@@ -155,13 +182,9 @@ def blocks(page: str) -> list[Block]:
         if match[1]:
             if tag in BLOCKS:
                 close()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCKS and tag not in BLOCKS:
-                    break
-            links = sum(e.tag == "a" for e in stack)
+            k = last((tag,))
+            if k and (tag in BLOCKS or k > containers[-1]):
+                cut(k)
             continue
         if tag in RAW:
             if not match[3].endswith("/"):
@@ -177,15 +200,22 @@ def blocks(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
         elif tag not in VOID and not match[3].endswith("/"):
+            places[tag].append(len(stack))
+            if tag in BLOCKS:
+                containers.append(len(stack))
+            if tag == "article":
+                seen += 1
+                articles.append((len(stack), seen))
             stack.append(element(stack[-1], tag, match[3]))
-        links = sum(e.tag == "a" for e in stack)
     close()
     return out
 
 
 def features(found: Sequence[Block]) -> list[list[str]]:
-    """What the model sees of each block: its ancestors, its own tag, and its text."""
+    """What the model sees of each block: its ancestors, its own tag, its text, and which parts the page has."""
     out = []
+    has_main = any("in main" in b.around for b in found)
+    largest = largest_article(found)
     for k, block in enumerate(found):
         words = block.text.count(" ") + 1
         size = next(n for n, limit in enumerate((3, 8, 20, 50, math.inf)) if words < limit or limit == math.inf)
@@ -200,10 +230,27 @@ def features(found: Sequence[Block]) -> list[list[str]]:
         ]
         if "©" in block.text or "(c)" in block.text:
             own.append("has copyright")
+        if not has_main and not largest:
+            own += [f"bare size {size}", f"bare links {math.ceil(block.linked * 3)}", f"bare is {block.tag}"]
+        elif not {"in main", "in article"} & block.around:
+            own.append("beside marks")
+        elif has_main and "in main" not in block.around:
+            own.append("beside main")
+        if block.article not in (0, largest):
+            own.append("lesser article")
         out.append([*own, *block.around])
     return out
 
 
+def largest_article(found: Iterable[Block]) -> int:
+    """The number of the article element with the longest text of its own; 0 without one."""
+    sizes: Counter[int] = Counter()
+    for block in found:
+        if block.article:
+            sizes[block.article] += len(block.text)
+    return max(sizes, key=lambda number: (sizes[number], -number), default=0)
+
+
 class Model(NamedTuple):
     """Weights for main text, by feature, and for neighbouring labels."""
 
@@ -334,24 +381,45 @@ LAYOUTS = (
     "</div><aside class='widget'><h4>{1}</h4><p>{long}</p></aside><footer><ul>{links}</ul><p>{long}</p></footer>",
     '<body><table><tr><td class="nav">{links}</td><td data-main><h1>{title}</h1>{paragraphs}<pre>{2}</pre>{more}</td>'
     "<td class='ads'><p>{long}</p></td></tr></table><div class='legal'><p>{long}</p></div>",
+    "<body><nav><ul>{links}</ul></nav><article data-main><h1>{title}</h1>{paragraphs}<aside data-off><h3>{0}</h3><p>{long}</p>"
+    "</aside>{more}<form data-off><label>{1}</label><input><button>{0}</button><p>{long}</p></form><div class='notice' data-off><p>{long}</p></div><section class='comments' "
+    "data-off><h3>{1}</h3><p>{long}</p><p>{0}</p></section></article><footer><p>{long}</p></footer>",
+    "<body><div>{anchors}</div><div data-main><h1>{title}</h1>{plain}</div><div>{anchors}</div><div>&copy; {0}</div>",
+    "<body><header><p>{0}</p><ul>{links}</ul></header><main data-main><h1>{title}</h1>{paragraphs}{more}</main><article><h3>"
+    "<a href='/'>{0}</a></h3><p>{2}</p></article><article><h3><a href='/'>{1}</a></h3><p>{3}</p></article><footer>{0}</footer>",
+    "<body><nav>{anchors}</nav><article data-main><h1>{title}</h1>{paragraphs}<div class='ad' data-off><p>{long}</p></div>{plain}<ul>"
+    "<li>{2}</li><li>{3}</li></ul><p>{4}</p><aside data-off><p>{long}</p></aside>{more}</article><section class='comments'><h2>{1}</h2><div><p>{long}</p></div></section><footer><p>&copy; {0}</p></footer>",
+    "<body><nav><ul>{links}</ul></nav><main><article data-main><h1>{title}</h1>{paragraphs}<div class='related' data-off><h4>"
+    "{0}</h4><ul>{links}</ul></div><p>{2}</p><div class='newsletter' data-off><p>{long}</p></div>{more}<aside data-off><p>{long}</p></aside></article><section id='comments'><h2>{0}</h2><article class='comment'><p>{long}</p>"
+    "</article><article class='comment'><p>{2}</p></article></section></main><footer>{0}</footer>",
+    "<body><p>{anchors}</p><h1 data-main>{title}</h1><div data-main>{paragraphs}</div><div class='advert'>{long}</div><div data-main>"
+    "{more}</div><p>&copy; {0}</p>",
 )
 NOT_MAIN = frozenset(
     f"in {t}" for t in ("nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "select")
-)
+) | {f"inner for {purpose}" for purpose in STRANGE}
 
 
 def labelled(page: str, number: int) -> list[tuple[list[Block], list[bool]]]:
-    """A page with labels from its own article or main element, and its text in another layout.
+    """A page with labels from its own main element or largest article, and its text in two other layouts.
+
+    Parts of the main text that are named for something else, by tag, class or id, are none of it.
 
     Pages without such an element have no labels and are left out.
     """
     found = blocks(page)
-    marks = [bool({"in article", "in main"} & b.around) and not (NOT_MAIN & b.around) for b in found]
+    whole = [b for b in found if "in main" in b.around] or [b for b in found if b.article]
+    best = largest_article(whole)
+    share = sum(len(b.text) for b in whole if b.article == best)
+    if best and 2 * share >= sum(len(b.text) for b in whole):
+        whole = [b for b in whole if b.article == best]
+    chosen = {id(b) for b in whole if not (NOT_MAIN & b.around)}
+    marks = [id(b) in chosen for b in found]
     main = [b.text for b, mark in zip(found, marks, strict=True) if mark]
     if not main:
         return []
     rest = [b.text for b, mark in zip(found, marks, strict=True) if not mark]
-    return [(found, marks), set_again(main, rest, number)]
+    return [(found, marks), *(set_again(main, rest, k) for k in (number, number + len(LAYOUTS) // 2))]
 
 
 def set_again(main: list[str], rest: list[str], number: int) -> tuple[list[Block], list[bool]]:
@@ -362,11 +430,13 @@ def set_again(main: list[str], rest: list[str], number: int) -> tuple[list[Block
         "title": html.escape(main[0]),
         "paragraphs": "".join(f"<p>{html.escape(x)}</p>" for x in main[1 : 1 + len(main) // 2]),
         "more": "".join(f"<p>{html.escape(x)}</p>" for x in main[1 + len(main) // 2 :]),
+        "plain": "".join(f"<div>{html.escape(x)}</div>" for x in main[1:]),
+        "anchors": " ".join(f'<a href="/">{html.escape(x[:20])}</a>' for x in rest[:4]),
         "links": "".join(f'<li><a href="/">{html.escape(x[:20])}</a></li>' for x in rest[:5]),
         "long": html.escape(max([*rest, main[number % len(main)]], key=len)),
     }
     layout = LAYOUTS[number % len(LAYOUTS)]
-    again = blocks(layout.format(*(html.escape(x) for x in (rest[0], *short, *["-"] * 4)[:4]), **values))
+    again = blocks(layout.format(*(html.escape(x) for x in (rest[0], *short, *["-"] * 5)[:5]), **values))
     return again, [b.main for b in again]
 
 
@@ -378,9 +448,9 @@ def unlabelled(page: str, number: int) -> list[tuple[list[Block], list[bool]]]:
 
 
 def sampled(given: DataFrame, sample: int, marked: bool) -> list[str]:
-    """At most ``sample`` pages, taken by a hash of number and text; if asked only those that mark a main text.
+    """The ``sample`` pages of least hash of number and text; if asked only those that mark a main text.
 
-    Tasks send what lies under a bound of the hash, about half as many pages again in all. The bound
+    The same in any partitioning. Tasks send what lies under a bound of the hash, about half as many pages again in all. The bound
     rises until there are enough such pages, or all have been looked at.
     """
     if marked:
@@ -391,10 +461,10 @@ def sampled(given: DataFrame, sample: int, marked: bool) -> list[str]:
     while count:
         # the bound is reached by the share of all 64-bit numbers
         bound = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
-        found = given.where(F.xxhash64("id", "page") <= F.lit(bound)).select("page")
+        found = given.select(F.xxhash64("id", "page").alias("hash"), "page").where(F.col("hash") <= bound)
         if marked:
-            found = map_batches(found, with_main_text, "page string")
-        rows = found.limit(sample).collect()
+            found = map_batches(found, with_main_text, "hash long, page string")
+        rows = found.orderBy("hash", "page").limit(sample).collect()
         if len(rows) >= min(sample, count) or share >= 1:
             return [row["page"] for row in rows]
         share = min(1.0, 4 * share)
@@ -402,8 +472,10 @@ def sampled(given: DataFrame, sample: int, marked: bool) -> list[str]:
 
 
 def with_main_text(batch: pa.RecordBatch) -> dict:
-    """The pages that mark a main text."""
-    return {"page": [x.decode() for x in text_bytes(batch, "page") if labelled(x.decode(), 0)]}
+    """The pages that mark a main text, and their hash."""
+    pages = [x.decode() for x in text_bytes(batch, "page")]
+    marked = [k for k, page in enumerate(pages) if labelled(page, 0)]
+    return {"hash": batch.column("hash").take(pa.array(marked, pa.int64())), "page": [pages[k] for k in marked]}
 
 
 def fitted(pages: DataFrame, page_id: str = "page_id", page: str = "html", sample: int = SAMPLE) -> Model:
