@@ -62,7 +62,7 @@ PURPOSE = {word: name for name, words in PURPOSES.items() for word in words.spli
 
 TOKEN = re.compile(
     # a quote opens a string only after "="; elsewhere in a tag it is a character as others are
-    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)"
     r"((?:=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]*)|[^>=])*+)>|<[!?/][^>]*>|([^<]+)|(<)",
     re.S,
 )
@@ -160,6 +160,13 @@ def blocks(page: str) -> list[Block]:
     end_of_tags = page.rfind(">")
     at = 0
     while at < len(page):
+        if at > end_of_tags:
+            # no tag ends any more
+            text = html.unescape(page[at:].partition("<!--")[0])
+            parts.append(text)
+            if places["a"]:
+                linked += len(text.strip())
+            break
         match = TOKEN.match(page, at)
         if match is None:
             # an open tag that never ends
@@ -167,9 +174,6 @@ def blocks(page: str) -> list[Block]:
         at = match.end()
         text = match[4] or match[5]
         if text:
-            if match.start() > end_of_tags:
-                # no tag ends any more
-                text, at = page[match.start() :].partition("<!--")[0], len(page)
             text = html.unescape(text)
             parts.append(text)
             if places["a"]:
