@@ -189,3 +189,13 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec) -> Preprocessor:
 def assemble(df: DataFrame, preprocessor: Preprocessor, *keep: str, one_hot: bool = True) -> DataFrame:
     """The kept columns and ``features``; everything else is dropped."""
     return preprocessor.transform(df, one_hot).select(*keep, FEATURES)
+
+
+def width_and_values(vector: str = FEATURES) -> tuple[Column, Column]:
+    """The width of a vector and its values in order, without the zeros that a sparse one leaves out.
+
+    One-hot columns are as wide as they have levels, and those grow with the rows: what is made of the whole
+    width for each row takes work that grows with their square.
+    """
+    stored = F.unwrap_udt(vector)
+    return F.coalesce(stored["size"], F.size(stored["values"])), stored["values"]

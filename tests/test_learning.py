@@ -7,10 +7,11 @@ import uuid
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from featloom.learning import prep
-from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor
+from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor, width_and_values
 from featloom.learning.score import (
     StoredModel,
     add_n,
@@ -39,6 +40,7 @@ from featloom.learning.train import (
 )
 from featloom.operators.lookup import FeatureLookup, training_set
 from featloom.operators.split import VALIDATION, split
+from workload import models
 
 NAN = float("nan")
 
@@ -82,6 +84,29 @@ def test_columns_with_few_and_many_levels(spark):
     assert (found.sum(axis=0)[:50] == 1).all()
 
 
+def test_values_without_the_zeros_left_out(spark):
+    """A vector of two thousand million slots is never written out; a dense one has all of its values."""
+    rows = [(Vectors.sparse(2_000_000_000, [3, 1_999_999_999], [1.5, 2.0]),), (Vectors.dense([0.0, 4.0, 0.5]),)]
+    df = spark.createDataFrame(rows, ["features"])
+    assert [tuple(r) for r in df.select(*width_and_values()).collect()] == [
+        (2_000_000_000, [1.5, 2.0]),
+        (3, [0.0, 4.0, 0.5]),
+    ]
+
+
+def test_assembled_vectors_are_not_written_out(spark, tmp_path):
+    """Every document has a prefix of its own; no row's work follows the number of levels."""
+    rows = [(n, f"x{'abcdefghij'[n // 10]}{'abcdefghij'[n % 10]}. text", "en", f"src{n % 3}", 40 + n % 2) for n in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = models.assembled(spark, str(tmp_path))
+    # 100 prefixes, 3 classes from the source, one level in each of the other six columns, four numbers
+    assert {r["width"] for r in found.collect()} == {100 + 3 + 6 + 4}
+    expected = {str(n): round(8 + (40 + n % 2) / 10 + round((40 + n % 2) / 4) + 1, 3) for n, *_ in rows}
+    assert {r["PassengerId"]: r["total"] for r in found.collect()} == expected
+    assert "vector_to_array" not in found._jdf.queryExecution().toString()
+
+
 def exchanges(df):
     """How often the plan that has run shuffles, broadcasts and reuses."""
     df.collect()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from featloom.learning import score as scoring
 from featloom.learning.forest import fit_forest
-from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor
+from featloom.learning.prep import FeatureSpec, assemble, fill_missing, fit_preprocessor, width_and_values
 from featloom.learning.search import SearchSpace, fit_best, search
 from featloom.learning.train import (
     fit_validate_refit,
@@ -95,11 +95,11 @@ def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Width and sum of the feature vectors of all documents."""
     flat = flat_features(raw_passengers(spark, sf_dir))
     vectors = assemble(flat, fit_preprocessor(flat, FLAT_SPEC), ID)
-    values = vector_to_array("features")
+    width, values = width_and_values()
     total = F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
     return vectors.select(
         ID,
-        F.size(values).cast("bigint").alias("width"),
+        width.cast("bigint").alias("width"),
         F.round(total, 3).alias("total"),
     )
 
