@@ -27,11 +27,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.llm.common import Batches, map_batches, present, ship, text_bytes, to_arrow
-from featloom.session import checkpointed, delete_path, scratch_path
+from featloom.session import checkpointed, delete_path, scratch_path, shuffles_dropped
 
 START = np.uint64(0x57A257A257A257A2)
 END = np.uint64(0xE0D0E0D0E0D0E0D0)
@@ -43,6 +43,8 @@ SHARD = 16_000_000
 """Bytes of text for each shard of words or contexts."""
 HOT_BUCKET = 64_000_000
 """Bytes of a bucket's questions above which they are dealt to several tasks."""
+SLICES = 4
+"""Buckets are put together, and give their probabilities, a slice of them after the other."""
 FOLDS, HELD = 7, 2
 BURN_IN = 2
 SAMPLES = 3
@@ -51,6 +53,10 @@ SETTLED = 0.01
 """Passes end when all tables together change by less than this share, after burn-in and samples."""
 SINGLE_STEPS = 16
 """Customers of a dish that are seated one by one; then seating jumps from new table to new table."""
+KEY_BITS = 63
+"""Bits of a sorted number; pairs and documents that need more are numbered first."""
+FEW = 16
+"""Dishes that still jump from which on they are seated number by number."""
 STRENGTH = 1.0
 
 USES, COUNTS = "uses", "counts"
@@ -82,14 +88,6 @@ def word_hashes(text: bytes) -> np.ndarray:
     return out
 
 
-def contexts_of(tokens: np.ndarray) -> np.ndarray:
-    """The context of every token: the word before, or the start."""
-    out = np.empty(len(tokens), np.uint64)
-    out[0] = START
-    out[1:] = tokens[:-1]
-    return out
-
-
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     """The range of hashes that a key is in, of so many of equal size."""
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -126,27 +124,44 @@ def opened(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the place of each value among them."""
+    coded = pa.array(values).dictionary_encode()
+    found = coded.dictionary.to_numpy()
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[coded.indices.to_numpy()]
+
+
 def block_rows(block: int, ids: list, texts: list[bytes], buckets: int) -> list[tuple]:
     """What a block keeps for itself, and what it sends to every bucket."""
     tokens = [word_hashes(text) for text in texts]
     lengths = np.array([len(t) for t in tokens])
     held = np.array([is_held_out(i) for i in ids])
     doc = np.repeat(np.arange(len(ids)), lengths)
-    words, index = np.unique(np.concatenate(tokens), return_inverse=True)
-    contexts, place = np.unique(np.concatenate([contexts_of(t) for t in tokens]), return_inverse=True)
-    pair, at = np.unique(index * len(contexts) + place, return_inverse=True)
-    word, context = words[pair // len(contexts)], contexts[pair % len(contexts)]
-    bucket = bucket_of(word, context, buckets)
-    order = np.argsort(bucket, kind="stable")
-    word, context, bucket = word[order], context[order], bucket[order]
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    words, index = numbered(np.concatenate(tokens))
+    contexts = np.union1d(words, [START])
+    place = np.empty_like(index)
+    place[1:] = np.searchsorted(contexts, words)[index[:-1]]
+    place[np.cumsum(lengths) - lengths] = np.searchsorted(contexts, START)
+    pair, pairs = index * len(contexts) + place, None
     doc_bits = max(1, int(len(ids) - 1).bit_length())
-    key, times = np.unique((rank[at] << doc_bits) | doc, return_counts=True)
+    if (len(words) * len(contexts)).bit_length() + doc_bits > KEY_BITS:
+        pairs, pair = np.unique(pair, return_inverse=True)
+    # one sort by pair and document; then the pairs, each with its entries, come in the order of buckets
+    key, times = np.unique((pair << doc_bits) | doc, return_counts=True)
     pair, doc = key >> doc_bits, key & ((1 << doc_bits) - 1)
     head = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     entries = np.diff(np.append(head, len(pair)))
     trained = np.add.reduceat(np.where(held[doc], 0, times), head)
+    pair = pair[head] if pairs is None else pairs[pair[head]]
+    word, context = words[pair // len(contexts)], contexts[pair % len(contexts)]
+    bucket = bucket_of(word, context, buckets)
+    order = np.argsort(bucket, kind="stable")
+    word, context, bucket, trained, head, entries = (x[order] for x in (word, context, bucket, trained, head, entries))
+    at = np.arange(len(doc)) + np.repeat(head - (np.cumsum(entries) - entries), entries)
+    doc, times = doc[at], times[at]
     change = bucket[1:] != bucket[:-1]
     run = np.flatnonzero(np.concatenate([[True], change | (word[1:] != word[:-1])]))
     pairs_of_run = np.diff(np.append(run, len(word)))
@@ -206,22 +221,29 @@ def counted(docs: DataFrame, text: str, doc_id: str, buckets: int) -> str:
     )
     kind = F.when(F.col("bucket") < 0, USES).otherwise(COUNTS)
     folder = scratch_path(spark, "blocks")
-    columns.mapInArrow(run, schema).withColumn("kind", kind).write.partitionBy("kind").parquet(folder)
+    rows = columns.mapInArrow(run, schema).withColumns({"kind": kind, "slice": slice_of("bucket")})
+    rows.write.partitionBy("kind", "slice").parquet(folder)
     return folder
 
 
+def slice_of(bucket: str) -> Column:
+    """The slice that a bucket is in."""
+    return F.pmod(bucket, F.lit(SLICES))
+
+
 def stored(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """One kind of the rows that blocks wrote."""
-    schema = "block long, bucket int, data binary, about binary, kind string"
+    schema = "block long, bucket int, data binary, about binary, kind string, slice int"
     return spark.read.schema(schema).parquet(folder).where(F.col("kind") == kind)
 
 
-def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame, DataFrame]:
-    """Each bucket of pairs; and who asked a bucket for which of its pairs, in one row or several.
+def in_buckets(spark: SparkSession, folder: str, hot_bytes: int = HOT_BUCKET) -> tuple[str, str]:
+    """Folders of each bucket of pairs; and of who asked a bucket for which of its pairs, in one row or several.
 
     A bucket with several rows of questions has with each of them a link from its places to the whole's.
+    What blocks sent is deleted slice by slice, so that never all of it is there twice.
     """
-    rows = rows.select("block", "bucket", "data")
+    rows = stored(spark, folder, COUNTS).select("block", "bucket", "data")
     sizes = rows.groupBy("bucket").agg(F.sum(F.octet_length("data")).alias("size"))
     hot = checkpointed(
         sizes.where(F.col("size") > hot_bytes).select(
@@ -229,7 +251,7 @@ def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame,
         )
     )
     schema = "bucket int, part long, blocks array<long>, places array<binary>, whole binary, once long, twice long"
-    arrow = to_arrow(rows.sparkSession, schema)
+    arrow = to_arrow(spark, schema)
 
     def gather(key: tuple, part: pa.Table) -> pa.Table:
         part = part.sort_by("block").combine_chunks()
@@ -239,18 +261,40 @@ def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame,
         row += bucket.times(1), bucket.times(2)
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
-    dealt = rows.join(F.broadcast(hot), rows["bucket"] == hot["hot"], "left")
-    dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("block"), F.col("parts")), F.lit(-1)))
-    parts = checkpointed(
-        dealt.select("block", "bucket", "data", "part").groupBy("bucket", "part").applyInArrow(gather, schema)
-    )
     names = ["bucket", "whole", "once", "twice"]
-    wholes = parts.where("part < 0").select(*names)
-    questions = parts.select("bucket", "part", "blocks", "places")
-    if hot.isEmpty():
-        return wholes, questions.withColumn("link", F.lit(None).cast("binary"))
+    whole_path, question_path = scratch_path(spark, "wholes"), scratch_path(spark, "questions")
+    any_hot = not hot.isEmpty()
+    for k in range(SLICES):
+        rows = stored(spark, folder, COUNTS).where(F.col("slice") == k).select("block", "bucket", "data")
+        dealt = rows.join(F.broadcast(hot), rows["bucket"] == hot["hot"], "left")
+        dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("block"), F.col("parts")), F.lit(-1)))
+        found = dealt.select("block", "bucket", "data", "part").groupBy("bucket", "part").applyInArrow(gather, schema)
+        made = scratch_path(spark, "buckets")
+        found.write.parquet(made)
+        # what blocks sent to these buckets is in them now
+        delete_path(spark, f"{folder}/kind={COUNTS}/slice={k}")
+        parts = spark.read.schema(found.schema).parquet(made)
+        wholes, questions = parts.where("part < 0").select(*names), parts.select("bucket", "part", "blocks", "places")
+        if any_hot:
+            more, links = added_up(parts)
+            wholes = wholes.unionByName(more.select(*names))
+            questions = questions.join(links, ["bucket", "part"], "left")
+        else:
+            questions = questions.withColumn("link", F.lit(None).cast("binary"))
+        wholes.write.parquet(f"{whole_path}/slice={k}")
+        questions.write.parquet(f"{question_path}/slice={k}")
+        delete_path(spark, made)
+    return whole_path, question_path
+
+
+WHOLES = "bucket int, whole binary, once long, twice long, slice int"
+QUESTIONS = "bucket int, part long, blocks array<long>, places array<binary>, link binary, slice int"
+
+
+def added_up(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The buckets whose questions were dealt to several tasks, and the links of these questions."""
     merged = "bucket int, part long, whole binary, once long, twice long, link binary"
-    kinds = to_arrow(rows.sparkSession, merged)
+    kinds = to_arrow(parts.sparkSession, merged)
 
     def add_up(key: tuple, part: pa.Table) -> pa.Table:
         asked = part.column("whole").to_pylist()
@@ -264,9 +308,7 @@ def in_buckets(rows: DataFrame, hot_bytes: int = HOT_BUCKET) -> tuple[DataFrame,
 
     split = parts.where("part >= 0").select("bucket", "part", "whole").groupBy("bucket")
     split = checkpointed(split.applyInArrow(add_up, merged))
-    wholes = wholes.unionByName(split.where("part < 0").select(*names))
-    links = split.where("part >= 0").select("bucket", "part", "link")
-    return wholes, questions.join(links, ["bucket", "part"], "left")
+    return split.where("part < 0"), split.where("part >= 0").select("bucket", "part", "link")
 
 
 class Bucket:
@@ -276,10 +318,12 @@ class Bucket:
         parts = [opened(x) for x in asked]
         self.n_words = [len(p[0]) for p in parts]
         self.n_pairs = [len(p[2]) for p in parts]
-        self.words, self.word_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        self.words, self.word_at = numbered(np.concatenate([p[0] for p in parts]))
         of = np.repeat(self.word_at, np.concatenate([p[1] for p in parts]).astype(np.int64))
-        self.contexts, context = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
-        pairs, self.pair_at = np.unique(of * len(self.contexts) + context, return_inverse=True)
+        self.contexts, context = numbered(np.concatenate([p[2] for p in parts]))
+        pairs, self.pair_at = of * len(self.contexts) + context, np.arange(len(of))
+        if len(parts) > 1:
+            pairs, self.pair_at = np.unique(pairs, return_inverse=True)
         times = np.concatenate([p[3] for p in parts])
         self.count = np.bincount(self.pair_at, weights=times, minlength=len(pairs)).astype(np.int64)
         self.word, self.context = pairs // len(self.contexts), pairs % len(self.contexts)
@@ -370,14 +414,15 @@ def seated(
     seated until the next new table is drawn at once: the chance that none has come falls as a power.
     """
     tables = np.ones(len(count), np.int64)
+    at = np.arange(len(count))
     for seats in range(1, min(SINGLE_STEPS, int(count.max(initial=1)))):
-        at = np.flatnonzero(count > seats)
+        at = at[count[at] > seats]
         new = (STRENGTH + discount * (others[at] + tables[at])) * above[at]
         old = seats - discount * tables[at]
         tables[at] += random.random(len(at)) * (new + old) < new
     at = np.flatnonzero(count > SINGLE_STEPS)
     seats = np.full(len(at), float(SINGLE_STEPS))
-    while len(at):
+    while len(at) > FEW:
         new = (STRENGTH + discount * (others[at] + tables[at])) * above[at]
         old = seats - discount * tables[at] + new / 2
         with np.errstate(over="ignore"):
@@ -385,9 +430,37 @@ def seated(
         more = seats <= count[at]
         at, seats = at[more], seats[more]
         tables[at] += 1
+    seat_few(tables, at, seats, count, above, others, discount, random)
     return tables
 
 
+def seat_few(
+    tables: np.ndarray,
+    at: np.ndarray,
+    seats: np.ndarray,
+    count: np.ndarray,
+    above: np.ndarray,
+    others: np.ndarray,
+    discount: float,
+    random: np.random.Generator,
+) -> None:
+    """The last jumps of ``seated``, for few dishes with very many tables: number by number, with the same draws."""
+    rest = list(zip(at.tolist(), *(x[at].tolist() for x in (count, above, others, tables)), seats.tolist(), strict=True))
+    while rest:
+        going = []
+        for (k, most, share, other, own, seat), draw in zip(rest, random.random(len(rest)).tolist(), strict=True):
+            new = (STRENGTH + discount * (other + own)) * share
+            old = seat - discount * own + new / 2
+            try:
+                seat += math.ceil(old * (draw ** (-1 / new) - 1) + 1e-9)
+            except (OverflowError, ZeroDivisionError):
+                continue
+            if seat <= most:
+                tables[k] += 1
+                going.append((k, most, share, other, own + 1, seat))
+        rest = going
+
+
 MESSAGE = "shard int, bucket int, what int, data binary"
 STATIC, ADDS, ASKS, BOTH = range(4)
 """Totals of a shard; what a bucket adds to them; for which keys it asks; both."""
@@ -445,8 +518,8 @@ def shard_totals(wholes: DataFrame, shards: int) -> DataFrame:
     return checkpointed(messages.groupBy("shard").applyInArrow(add_up, schema))
 
 
-def exchanged(static: DataFrame, messages: DataFrame, totals: Totals, samples: int, seed: int) -> DataFrame:
-    """Replies to what buckets ask: by word customers, and in each seating its customers and tables in the parent;
+def exchanged(static: DataFrame, messages: DataFrame, totals: Totals, samples: int, seed: int) -> tuple[DataFrame, str]:
+    """Replies to what buckets ask, and their folder: by word customers, and in each seating its customers and tables in the parent;
     by context customers, and in each seating its tables. Each shard of words also says what it sums up to.
     """
     schema = f"{MESSAGE}, sent array<long>, tables array<long>"
@@ -490,7 +563,10 @@ def exchanged(static: DataFrame, messages: DataFrame, totals: Totals, samples: i
 
     names = ["shard", "bucket", "what", "data"]
     asked = static.select(*names).unionByName(messages.select(*names))
-    return checkpointed(asked.groupBy("shard").applyInArrow(reply, schema))
+    found = asked.groupBy("shard").applyInArrow(reply, schema)
+    path = scratch_path(static.sparkSession, "replies")
+    found.write.parquet(path)
+    return static.sparkSession.read.schema(found.schema).parquet(path), path
 
 
 def sums_of(replies: DataFrame, totals: Totals, samples: int) -> list[Totals]:
@@ -512,6 +588,8 @@ def replies_in(part: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 
 SEATS, WHOLE = 1, 2
+SEATINGS = "bucket int, seats binary"
+LOGS = "bucket int, logs binary, counts binary"
 
 
 def as_rows(frame: DataFrame, column: str, what: int) -> DataFrame:
@@ -532,13 +610,12 @@ def first_seats(wholes: DataFrame) -> DataFrame:
         kept = [(k, Seating.of(b)) for k, b in zip(batch.column("bucket").to_pylist(), buckets, strict=True) if b.count.max() > 1]
         return {"bucket": [k for k, _ in kept], "seats": [x for _, x in kept]}
 
-    return map_batches(wholes.select("bucket", "whole"), make, "bucket int, seats binary")
+    return map_batches(wholes.select("bucket", "whole"), make, SEATINGS)
 
 
 def seats_after(seats: DataFrame, replies: DataFrame, totals: Totals, seed: int) -> DataFrame:
     """The seatings after one more sweep."""
-    schema = "bucket int, seats binary"
-    arrow = to_arrow(seats.sparkSession, schema)
+    arrow = to_arrow(seats.sparkSession, SEATINGS)
 
     def sweep(key: tuple, part: pa.Table) -> pa.Table:
         state = Seating(data_of(part, SEATS))
@@ -548,11 +625,11 @@ def seats_after(seats: DataFrame, replies: DataFrame, totals: Totals, seed: int)
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
     rows = replies.where("bucket >= 0").select("shard", "bucket", "what", "data")
-    return rows.unionByName(as_rows(seats, "seats", SEATS)).groupBy("bucket").applyInArrow(sweep, schema)
+    return rows.unionByName(as_rows(seats, "seats", SEATS)).groupBy("bucket").applyInArrow(sweep, SEATINGS)
 
 
-def settled(static: DataFrame, wholes: DataFrame, totals: Totals, shards: int) -> tuple[DataFrame, Totals, int]:
-    """The last seatings, written after every pass; the totals, and the number of passes.
+def settled(static: DataFrame, wholes: DataFrame, totals: Totals, shards: int) -> tuple[str, Totals, int]:
+    """The folder of the last seatings, written after every pass; the totals, and the number of passes.
 
     A pass sums up the tables of all buckets by word and context, and sweeps every bucket against them.
     Passes end when burn-in and samples are done and all tables together change little, or at ``MOST_PASSES``.
@@ -566,14 +643,15 @@ def settled(static: DataFrame, wholes: DataFrame, totals: Totals, shards: int) -
         seats = spark.read.schema(frame.schema).parquet(folder)
         moves = abs(totals.parent_customers - before) > SETTLED * totals.parent_customers
         if number == MOST_PASSES or number >= BURN_IN + SAMPLES and not moves:
-            return seats, totals, number
+            return folder, totals, number
         messages = sent_out(seats, "seats", extra_of(1), BOTH, shards)
-        replies = exchanged(static, messages, totals, 1, number)
+        replies, path = exchanged(static, messages, totals, 1, number)
         before = totals.parent_customers
         totals = sums_of(replies, totals, 1)[0]
         after = scratch_path(spark, "seats")
         seats_after(seats, replies, totals, number).write.parquet(after)
         delete_path(spark, folder)
+        delete_path(spark, path)
         folder = after
     raise AssertionError
 
@@ -593,8 +671,7 @@ def probabilities(wholes: DataFrame, seats: DataFrame, replies: DataFrame, total
 
     Probabilities are the mean of the predictive ones of the last seatings, each with its own totals.
     """
-    schema = "bucket int, logs binary, counts binary"
-    arrow = to_arrow(wholes.sparkSession, schema)
+    arrow = to_arrow(wholes.sparkSession, LOGS)
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
         bucket = Bucket([data_of(part, WHOLE)])
@@ -610,9 +687,9 @@ def probabilities(wholes: DataFrame, seats: DataFrame, replies: DataFrame, total
         row = key[0].as_py(), pressed(np.log10(mean / len(totals)).astype("<f4")), pressed(words.astype("<u8"))
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
-    rows = replies.where("bucket >= 0").select("shard", "bucket", "what", "data")
+    rows = replies.select("shard", "bucket", "what", "data")
     rows = rows.unionByName(as_rows(seats, "seats", SEATS)).unionByName(as_rows(wholes, "whole", WHOLE))
-    return rows.groupBy("bucket").applyInArrow(run, schema)
+    return rows.groupBy("bucket").applyInArrow(run, LOGS)
 
 
 def answers(questions: DataFrame, found: DataFrame) -> DataFrame:
@@ -642,21 +719,16 @@ def answers(questions: DataFrame, found: DataFrame) -> DataFrame:
     return questions.join(found, "bucket").mapInArrow(run, schema)
 
 
-def scored(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot_bytes: int = HOT_BUCKET
-) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+def learned(docs: DataFrame, text: str, doc_id: str, hot_bytes: int) -> tuple[str, str, str, int, int]:
+    """Folders of what blocks keep, of questions and of what buckets answer; trained tokens, and distinct ones.
 
-    Null texts are empty and have the end alone. Equal rows are trained on and scored each. Without any
-    training token all probabilities are those of the base. Empty input gives no rows.
+    Every step is written, and what it was made of goes: the disk holds one form of the pairs and a slice of the next.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(present(text)))).first()[0] or 0
     folder = counted(docs, text, doc_id, max(16, -(-size // BUCKET)))
-    uses = stored(spark, folder, USES)
-    wholes, questions = in_buckets(stored(spark, folder, COUNTS), hot_bytes)
-    # what blocks sent is in the buckets now
-    delete_path(spark, f"{folder}/kind={COUNTS}")
+    whole_path, question_path = in_buckets(spark, folder, hot_bytes)
+    wholes = spark.read.schema(WHOLES).parquet(whole_path)
     shards = max(8, -(-size // SHARD))
     static = shard_totals(wholes, shards)
     n_words, word_once, word_twice, n_train = (
@@ -664,12 +736,38 @@ def scored(
     )
     once, twice = (x or 0 for x in wholes.agg(F.sum("once"), F.sum("twice")).first())
     totals = Totals(0, n_words, n_words, discount_of(once, twice), discount_of(word_once, word_twice))
-    seats, totals, passes = settled(static, wholes, totals, shards)
+    seat_path, totals, passes = settled(static, wholes, totals, shards)
+    seats = spark.read.schema(SEATINGS).parquet(seat_path)
     messages = sent_out(seats, "seats", extra_of(SAMPLES), ADDS, shards).unionByName(
         sent_out(wholes, "whole", lambda data: Bucket([data]).keys, ASKS, shards)
     )
-    replies = exchanged(static, messages, totals, SAMPLES, passes)
-    logs = probabilities(wholes, seats, replies, sums_of(replies, totals, SAMPLES))
+    replies, reply_path = exchanged(static, messages, totals, SAMPLES, passes)
+    sums = sums_of(replies, totals, SAMPLES)
+    log_path = scratch_path(spark, "logs")
+    for k in range(SLICES):
+        mine = (x.where(slice_of("bucket") == k) for x in (seats, replies.where("bucket >= 0")))
+        probabilities(wholes.where(F.col("slice") == k), *mine, sums).write.parquet(f"{log_path}/slice={k}")
+        delete_path(spark, f"{whole_path}/slice={k}")
+        wholes = spark.read.schema(WHOLES).parquet(whole_path)
+    delete_path(spark, seat_path)
+    delete_path(spark, reply_path)
+    return folder, question_path, log_path, n_train, n_words
+
+
+def scored(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot_bytes: int = HOT_BUCKET
+) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+
+    Null texts are empty and have the end alone. Equal rows are trained on and scored each. Without any
+    training token all probabilities are those of the base. Empty input gives no rows.
+    """
+    spark = docs.sparkSession
+    with shuffles_dropped(spark):
+        folder, question_path, log_path, n_train, n_words = learned(docs, text, doc_id, hot_bytes)
+    uses = stored(spark, folder, USES)
+    questions = spark.read.schema(QUESTIONS).parquet(question_path).drop("slice")
+    logs = spark.read.schema(LOGS).parquet(log_path).drop("slice")
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
