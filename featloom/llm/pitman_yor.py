@@ -83,7 +83,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     """A number for every token: words with A-Z as a-z, and the end."""
     words = text.lower().split()
     out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    out[:-1] = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8")
     out[-1] = END
     return out
 
@@ -99,19 +99,24 @@ def bucket_of(words: np.ndarray, contexts: np.ndarray, buckets: int) -> np.ndarr
     return part_of(words, -(-buckets // split)) * split + part_of(contexts << np.uint64(32), split)
 
 
+PRESS, OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+"""Made once in each worker: there are very many small messages."""
+
+
 def pressed(*arrays: np.ndarray) -> bytes:
     """Arrays in one compressed piece, each with its bytes sorted by rank."""
     parts = [len(arrays).to_bytes(4, "little")]
     for x in arrays:
         kind = x.dtype.str.encode()
-        planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
-        parts += [len(kind).to_bytes(4, "little"), kind, len(planes).to_bytes(8, "little"), planes]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+        raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize)
+        planes = [raw[:, k].tobytes() for k in range(x.itemsize)]
+        parts += [len(kind).to_bytes(4, "little"), kind, raw.size.to_bytes(8, "little"), *planes]
+    return PRESS.compress(b"".join(parts))
 
 
 def opened(data: bytes) -> list[np.ndarray]:
     """The arrays of ``pressed``."""
-    raw = zstandard.ZstdDecompressor().decompress(data)
+    raw = OPEN.decompress(data)
     out, at = [], 4
     for _ in range(int.from_bytes(raw[:4], "little")):
         size = int.from_bytes(raw[at : at + 4], "little")
@@ -318,7 +323,9 @@ class Bucket:
         parts = [opened(x) for x in asked]
         self.n_words = [len(p[0]) for p in parts]
         self.n_pairs = [len(p[2]) for p in parts]
-        self.words, self.word_at = numbered(np.concatenate([p[0] for p in parts]))
+        self.words, self.word_at = parts[0][0], np.arange(len(parts[0][0]))
+        if len(parts) > 1:
+            self.words, self.word_at = numbered(np.concatenate([p[0] for p in parts]))
         of = np.repeat(self.word_at, np.concatenate([p[1] for p in parts]).astype(np.int64))
         self.contexts, context = numbered(np.concatenate([p[2] for p in parts]))
         pairs, self.pair_at = of * len(self.contexts) + context, np.arange(len(of))
